@@ -10,6 +10,22 @@ from pyspark.sql import functions as F
 from ..session import read_table, shared_dir
 
 
+def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lookalikes import canonical_text
+
+    both = [("grammar_records", "record_id", "corrected"), ("survey_questions", "question_key", "question_text")]
+    parts = [canonical_text(read_table(spark, sf_dir, t), key, text).withColumn("table_name", F.lit(t)) for t, key, text in both]
+    return parts[0].unionByName(parts[1]).withColumnRenamed("key", "row_id")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _canonical(spark, sf_dir).where("changed").select("table_name", "row_id")
+
+
+def p4_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _canonical(spark, sf_dir).select("table_name", "row_id", "canonical", "changed")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .merkle import copies
 
@@ -56,7 +72,7 @@ def p8_tokens_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sized.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.max("n_tokens").alias("longest"))
 
 
-_QUERIES = [p5_found, p5_collapsed, p7_found, p7_counts, p8_ids, p8_tokens_by_source]
+_QUERIES = [p4_found, p4_canonical, p5_found, p5_collapsed, p7_found, p7_counts, p8_ids, p8_tokens_by_source]
 
 #: White space as `term_counts.BLANKS` strips it, for DuckDB's regular expressions.
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
