@@ -38,6 +38,18 @@ def p5_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapsed(read_table(spark, sf_dir, "grammar_records"), "record_id", ["survey_id", "open_question_number", "respondent_key"], "corrected")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .personal import find_mentions
+
+    return find_mentions(read_table(spark, sf_dir, "grammar_records"), "record_id", "corrected").select("record_id", "kind", "start_pos")
+
+
+def p6_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .personal import replace_mentions
+
+    return replace_mentions(read_table(spark, sf_dir, "grammar_records"), "record_id", "corrected")
+
+
 def _term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .term_counts import TermStore, svc_roles
 
@@ -72,7 +84,7 @@ def p8_tokens_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sized.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.max("n_tokens").alias("longest"))
 
 
-_QUERIES = [p4_found, p4_canonical, p5_found, p5_collapsed, p7_found, p7_counts, p8_ids, p8_tokens_by_source]
+_QUERIES = [p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source]
 
 #: White space as `term_counts.BLANKS` strips it, for DuckDB's regular expressions.
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
