@@ -133,7 +133,7 @@ _ADDRESS = re.compile(
             rf"(?<![가-힣])(?:{_KO_UNIT}(?:특별자치시|특별시|광역시|특별자치도|시|도)\s+)?(?:{_KO_UNIT}[구군]\s+)?(?:{_KO_UNIT}[읍면]\s+)?{_KO_UNIT}[동리]\s+\d+(?:-\d+)?(?:번지)?(?![\d가-힣명])(?:\s+{_KO_UNIT}(?:아파트|빌라|맨션|타운)\s*(?:\d+동\s*)?(?:\d+호)?)?",
             rf"(?:(?<=住所は)|(?<=住所：)|(?<=届け先は)|(?<![{_JA}]))(?!住所|届け先)(?:〒\s?\d{{3}}-?\d{{4}}\s*(?:[{_JA}]{{1,6}}?[都道府県])?[{_JA}]{{1,8}}?[市区町村郡][{_JA}]{{0,8}}?|(?:[{_JA}]{{1,6}}?[都道府県])?[{_JA}]{{1,6}}?[市区町村郡][{_JA}]{{1,10}}?)\d+(?:丁目\s*\d+(?:番地?)?(?:\d+号)?|(?:-\d+)+|番地?(?:\d+号)?)",
             rf"(?:(?<=址是)|(?<=址：)|(?<=址:)|(?<=址为)|(?<=住在)|(?<=寄到)|(?<=送到)|(?<![{_HAN}]))(?:[{_HAN}]{{2,4}}省)?(?:[{_HAN}]{{2,4}}[市县镇州])?(?:[{_HAN}]{{2,4}}[区县镇乡])?[{_HAN}]{{1,6}}(?:路|街|大道|巷|道)\s*\d+(?:弄\s*\d+)?号(?:\s*\d+[栋幢座])?(?:\s*\d+单元)?(?:\s*\d+[室号])?",
-            rf"(?<![\w.])\d{{1,5}}[a-z]?\s+(?:[nsew]\.\s+)?(?:[^\W\d_][\w'’-]*\s+){{1,3}}?(?:road|rd\.|street|st\.|lane|ln\.|court|ct\.|avenue|ave\.|drive|dr\.|boulevard|blvd\.|square|terrace|close|crescent|way)(?:,?\s+(?:flat|apt\.?|unit|suite|apartment)\s+\w+)?(?:,?\s+{_TOWN})?(?:,?\s+(?:\d{{5}}(?:-\d{{4}})?|[a-z]{{1,2}}\d{{1,2}}[a-z]?\s+\d[a-z]{{2}})\b)?",
+            rf"(?<![\w.])\d{{1,5}}[a-z]?\s+(?:[nsew]\.\s+)?(?:(?!(?:the|about|for|times|out|of|a|an|in|at)\b)[^\W\d_][\w'’-]*\s+){{1,3}}?(?:road|rd\.|street|st\.|lane|ln\.|court|ct\.|avenue|ave\.|drive|dr\.|boulevard|blvd\.|square|terrace|close|crescent|way)(?!\w)(?:,?\s+(?:flat|apt\.?|unit|suite|apartment)\s+\w+)?(?:,?\s+{_TOWN})?(?:,?\s+(?:\d{{5}}(?:-\d{{4}})?|[a-z]{{1,2}}\d{{1,2}}[a-z]?\s+\d[a-z]{{2}})\b)?",
             rf"(?<!\w)p\.?\s?o\.?\s+box\s+\d+(?:,\s+{_TOWN})?(?:,?\s+\d{{5}})?",
             rf"(?<!\w)(?:am|im|an\s+der|an\s+den|zum|zur|auf\s+der|auf\s+dem|in\s+der|hinter\s+der|unter\s+den)\s+(?:[^\W\d_][\w-]*\s+){{1,3}}?\d{{1,4}}\s?[a-z]?,\s+\d{{5}}\s+[^\W\d_][\w-]*",
             rf"(?<!\w)[^\W\d_][\w-]*(?:str\.|straße|strasse|weg|platz|allee|gasse|ring|ufer|damm|steig|pfad)\s+\d{{1,4}}\s?[a-z]?,\s+(?:\d{{5}}\s+)?[^\W\d_][\w-]*",
