@@ -10,6 +10,21 @@ from pyspark.sql import functions as F
 from ..session import read_table, shared_dir
 
 
+def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentences import fit_model, split_documents
+
+    model = fit_model(read_table(spark, sf_dir, "sentence_analysis"), "analysis_id", "automic_sentence")
+    return split_documents(read_table(spark, sf_dir, "grammar_records"), "record_id", "corrected", model)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sentences(spark, sf_dir).select("record_id", "end_pos")
+
+
+def p3_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sentences(spark, sf_dir)
+
+
 def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lookalikes import canonical_text
 
@@ -84,7 +99,7 @@ def p8_tokens_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sized.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.max("n_tokens").alias("longest"))
 
 
-_QUERIES = [p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source]
+_QUERIES = [p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source]
 
 #: White space as `term_counts.BLANKS` strips it, for DuckDB's regular expressions.
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
