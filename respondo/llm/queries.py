@@ -99,7 +99,27 @@ def p8_tokens_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sized.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.max("n_tokens").alias("longest"))
 
 
-_QUERIES = [p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source]
+def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import subjects
+    from .sentences import fit_model
+
+    areas = [r.subject for r in read_table(spark, sf_dir, "subject_areas").where(F.col("subject").isNotNull()).select("subject").distinct().orderBy("subject").collect()]
+    model = fit_model(read_table(spark, sf_dir, "sentence_analysis"), "analysis_id", "automic_sentence")
+    units = subjects.featurise(read_table(spark, sf_dir, "documents"), "doc_id", "text", model)
+    labels = read_table(spark, sf_dir, "subject_labels").select(F.col("doc_id").alias("key"), "subject")
+    fitted, data = subjects.fit(units, labels, areas)
+    return subjects.assign(data, fitted).withColumnRenamed("key", "doc_id")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _subjects(spark, sf_dir).select("doc_id", "subject")
+
+
+def p10_posteriors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _subjects(spark, sf_dir).select("doc_id", "subject", "n_sentences", F.round("posterior", 4).alias("posterior"))
+
+
+_QUERIES = [p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source, p10_found, p10_posteriors]
 
 #: White space as `term_counts.BLANKS` strips it, for DuckDB's regular expressions.
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
