@@ -99,6 +99,19 @@ def p8_tokens_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sized.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.max("n_tokens").alias("longest"))
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixture import mix
+
+    return mix(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..session import cut
+    from .mixture import shares
+
+    return shares(cut(p9_mix(spark, sf_dir), "mixture"), read_table(spark, sf_dir, "mix_targets"))
+
+
 def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import subjects
     from .sentences import fit_model
@@ -119,7 +132,7 @@ def p10_posteriors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _subjects(spark, sf_dir).select("doc_id", "subject", "n_sentences", F.round("posterior", 4).alias("posterior"))
 
 
-_QUERIES = [p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source, p10_found, p10_posteriors]
+_QUERIES = [p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source, p9_mix, p9_shares, p10_found, p10_posteriors]
 
 #: White space as `term_counts.BLANKS` strips it, for DuckDB's regular expressions.
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
