@@ -122,6 +122,30 @@ def weights(counts: np.ndarray) -> np.ndarray:
     return np.where(total > 0, w, 0).reshape(counts.shape).astype(np.float32)
 
 
+class Weights:
+    """Weights as they travel: only features that were seen, in half precision; whole again on first use."""
+
+    def __init__(self, w: np.ndarray):
+        self.rows = np.flatnonzero(w.any(1)).astype(np.int32)
+        self.values = w[self.rows].astype(np.float16)
+        self.classes = w.shape[1]
+        self._whole = None
+
+    def __getstate__(self):
+        return self.rows, self.values, self.classes
+
+    def __setstate__(self, state):
+        self.rows, self.values, self.classes = state
+        self._whole = None
+
+    @property
+    def whole(self) -> np.ndarray:
+        if self._whole is None:
+            self._whole = np.zeros((BUCKETS, self.classes), np.float32)
+            self._whole[self.rows] = self.values
+        return self._whole
+
+
 def _evidence(w: np.ndarray, sentences: list[list[int]]) -> np.ndarray:
     """One row of class scores per sentence."""
     flat = np.fromiter((f for s in sentences for f in s), np.int64)
@@ -148,7 +172,7 @@ def _count(df: DataFrame, classes: int, shared) -> np.ndarray:
     schema = T.StructType([T.StructField("f", T.IntegerType()), T.StructField("c", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = None if shared is None else shared.value
+        w = None if shared is None else shared.value.whole
         table = np.zeros((BUCKETS, classes))
         for batch in batches:
             for sentences, votes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -209,7 +233,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 class SubjectModel:
     """Feature weights, subject names and calibration curves."""
 
-    def __init__(self, subjects: list[str], w: np.ndarray, curves: list[tuple[float, float]]):
+    def __init__(self, subjects: list[str], w: Weights, curves: list[tuple[float, float]]):
         self.subjects, self.w, self.curves = subjects, w, curves
 
 
@@ -228,9 +252,12 @@ def fit(sentences: DataFrame, labels: DataFrame, subjects: list[str], rounds: in
     labelled = _count(data, len(names), None)
     w = weights(labelled)
     for _ in range(rounds):
-        w = weights(labelled + UNLABELLED * _count(data, len(names), spark.sparkContext.broadcast(w)))
+        shared = spark.sparkContext.broadcast(Weights(w))
+        w = weights(labelled + UNLABELLED * _count(data, len(names), shared))
+        shared.destroy()
+    w = Weights(w)
     sample = data.where(F.col("votes").isNotNull()).orderBy(F.xxhash64("key")).limit(MAX_LABELS).select("sentences", "votes").toArrow()
-    x = [_second(w, s, len(names))[0] for s in sample.column("sentences").to_pylist()]
+    x = [_second(w.whole, s, len(names))[0] for s in sample.column("sentences").to_pylist()]
     curves = [(1.0, 0.0)] * len(subjects)
     if x:
         x = np.array(x)
@@ -253,7 +280,7 @@ def assign(data: DataFrame, model: SubjectModel) -> DataFrame:
         for batch in batches:
             rows, names, sizes, strength, posterior = [], [], [], [], []
             for i, sentences in enumerate(batch.column(1).to_pylist()):
-                second, n = _second(m.w, sentences, classes)
+                second, n = _second(m.w.whole, sentences, classes)
                 for c in np.flatnonzero(n >= 2):
                     a, b = m.curves[c]
                     rows.append(i)
