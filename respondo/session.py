@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +31,26 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, unless their Python path has it already."""
+    context = spark.sparkContext
+    package = Path(__file__).parent
+    root = str(package.parent)
+    if getattr(context, "_respondo_shipped", False):
+        return
+    context._respondo_shipped = True
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or (context.master.startswith("local") and os.getcwd() == root):
+        return
+    archive = f"{tempfile.mkdtemp()}/respondo.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in package.rglob("*.py"):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables of a data directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
