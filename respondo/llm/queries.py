@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from ..session import read_table, shared_dir
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import pairs
+
+    found = pairs(read_table(spark, sf_dir, "answer_vectors"), "vec_id", "emb", k=15, least=0.6)
+    return found.select(F.col("lo").alias("vec_lo"), F.col("hi").alias("vec_hi"))
+
+
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sentences import fit_model, split_documents
 
@@ -132,7 +139,7 @@ def p10_posteriors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _subjects(spark, sf_dir).select("doc_id", "subject", "n_sentences", F.round("posterior", 4).alias("posterior"))
 
 
-_QUERIES = [p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source, p9_mix, p9_shares, p10_found, p10_posteriors]
+_QUERIES = [p1_found, p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source, p9_mix, p9_shares, p10_found, p10_posteriors]
 
 #: White space as `term_counts.BLANKS` strips it, for DuckDB's regular expressions.
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
