@@ -17,6 +17,28 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("lo").alias("vec_lo"), F.col("hi").alias("vec_hi"))
 
 
+def p1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import neighbours
+
+    found = neighbours(read_table(spark, sf_dir, "answer_vectors"), "vec_id", "emb", k=15, least=0.6)
+    return found.select(F.col("key").alias("vec_id"), F.col("other").alias("neighbour_id"), F.round("cosine", 6).alias("cosine"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .peaks import clusters
+
+    found = clusters(read_table(spark, sf_dir, "answer_vectors"), "vec_id", "emb")
+    return found.select(F.col("head").alias("head_id"), F.col("key").alias("vec_id"))
+
+
+def p2_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..session import cut
+    from .peaks import clusters, describe
+
+    found = cut(clusters(read_table(spark, sf_dir, "answer_vectors"), "vec_id", "emb"), "clusters")
+    return describe(found).select(F.col("head").alias("head_id"), "size", "typical")
+
+
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sentences import fit_model, split_documents
 
@@ -139,7 +161,7 @@ def p10_posteriors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _subjects(spark, sf_dir).select("doc_id", "subject", "n_sentences", F.round("posterior", 4).alias("posterior"))
 
 
-_QUERIES = [p1_found, p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source, p9_mix, p9_shares, p10_found, p10_posteriors]
+_QUERIES = [p1_found, p1_neighbours, p2_found, p2_clusters, p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source, p9_mix, p9_shares, p10_found, p10_posteriors]
 
 #: White space as `term_counts.BLANKS` strips it, for DuckDB's regular expressions.
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
