@@ -154,7 +154,7 @@ class Forest:
         return row[keep], leaf[keep], far[keep] == 0
 
 
-def _grouped(x: np.ndarray, similar: float = 0.6, against: int = 6000) -> np.ndarray:
+def _grouped(x: np.ndarray, similar: float = 0.6, against: int = 4000) -> np.ndarray:
     """Which vectors of the sample have a similar one among its first part."""
     head = x[:against]
     out = np.zeros(len(x), bool)
@@ -167,7 +167,7 @@ def _grouped(x: np.ndarray, similar: float = 0.6, against: int = 6000) -> np.nda
 def _split(x: np.ndarray, grouped: np.ndarray, rng) -> tuple[np.ndarray, float]:
     """The best of some random directions and thresholds: few grouped vectors within reach of the cut."""
     pool = x[grouped] if grouped.sum() > 10 else x
-    pool = pool[rng.permutation(len(pool))[:6000]]
+    pool = pool[rng.permutation(len(pool))[:4000]]
     g = pool @ pool.T >= 0.6
     alive = np.ones(len(pool), bool)
     anchors, mass = [], []
