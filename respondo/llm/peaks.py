@@ -11,7 +11,7 @@ rows of keys, cut from their lineage each round."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -22,66 +22,44 @@ from .skew import join_unique
 LINKS = 15
 
 
+def _round(df: DataFrame, name: str, still_open) -> tuple[DataFrame, int]:
+    """`df` cut from its lineage, and how many of its rows are open, counted as they are written."""
+    seen = Observation()
+    done = cut(df.observe(seen, F.count_if(still_open).alias("n")), name)
+    return done, seen.get["n"]
+
+
 def follow(pointers: DataFrame) -> DataFrame:
     """(key, peak) from (key, parent), where a peak is its own parent, by pointer doubling.
 
-    Rows that have reached a peak leave the rounds, so a peak with a large share of all rows below it is
-    never a join key of more rows than still have to reach it."""
-    current = cut(pointers.select("key", "parent", (F.col("key") == F.col("parent")).alias("done")), "pointers")
-    finished = [current.where("done").select("key", F.col("parent").alias("peak"))]
-    while True:
-        open_rows = current.where(~F.col("done"))
-        if not open_rows.take(1):
-            break
-        # every pointer leads to a row of `current`, or to a row finished in an earlier round
-        ahead = current.select(F.col("key").alias("parent"), F.col("parent").alias("next"), F.col("done").alias("next_done"))
-        stepped = cut(join_unique(open_rows.select("key", "parent"), ahead, ["parent"]), "pointers")
-        done_now = stepped.where("next_done").select("key", F.col("next").alias("peak"))
-        finished.append(done_now)
-        current = stepped.select("key", F.col("next").alias("parent"), F.col("next_done").alias("done"))
-        # finished rows stay as targets of pointers that lead to them
-        current = cut(current.unionByName(_targets(current, finished)), "pointers")
-    out = finished[0]
-    for part in finished[1:]:
-        out = out.unionByName(part)
-    return out.dropDuplicates(["key"])
-
-
-def _targets(current: DataFrame, finished: list[DataFrame]) -> DataFrame:
-    """The finished rows that pointers still lead to, as rows that are done."""
-    settled = finished[0]
-    for part in finished[1:]:
-        settled = settled.unionByName(part)
-    wanted = current.where(~F.col("done")).select(F.col("parent").alias("key")).distinct()
-    known = settled.dropDuplicates(["key"]).join(wanted, "key", "left_semi")
-    return known.join(current.select("key"), "key", "left_anti").select("key", F.col("peak").alias("parent"), F.lit(True).alias("done"))
+    Rows that have reached a peak do not move any more, so a peak with a large share of all rows below it
+    is never a join key of more rows than still have to reach it."""
+    state, n = _round(pointers.select("key", "parent", (F.col("key") == F.col("parent")).alias("done")), "pointers", ~F.col("done"))
+    while n:
+        ahead = state.select(F.col("key").alias("parent"), F.col("parent").alias("next"), F.col("done").alias("next_done"))
+        moved = join_unique(state.where(~F.col("done")).select("key", "parent"), ahead, ["parent"], total=n)
+        # a pointer to a peak is done; a pointer to a row that is done itself takes over its peak
+        stepped = moved.select("key", F.col("next").alias("parent"), "next_done")
+        state, n = _round(state.where("done").unionByName(stepped.withColumnRenamed("next_done", "done")), "pointers", ~F.col("done"))
+    return state.select("key", F.col("parent").alias("peak"))
 
 
 def join_peaks(links: DataFrame) -> DataFrame:
     """(peak, top): for every peak in `links` (a, b), the smallest peak it is linked with, directly or
-    through others. Each round points every peak to the smallest of its own and its neighbours' tops and
-    then halves the paths; links inside one top are dropped."""
+    through others. Each round takes the smallest top around and then the top of that top."""
     both = links.select(F.col("a").alias("key"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("key"), F.col("a").alias("other")))
     edges = cut(both.distinct(), "peak-links")
-    tops = edges.select("key").distinct().withColumn("top", F.col("key"))
-    while edges.take(1):
-        best = edges.groupBy("key").agg(F.min("other").alias("least"))
-        hooked = best.select("key", F.least("key", "least").alias("parent"))
-        roots = follow(hooked.unionByName(_missing_roots(hooked)))
-        roots = cut(roots, "peak-roots").withColumnRenamed("key", "at").withColumnRenamed("peak", "to")
-        tops = cut(tops.join(roots, tops["top"] == roots["at"], "left").select("key", F.coalesce("to", "top").alias("top")), "peak-tops")
-        moved = edges.join(roots, edges["key"] == roots["at"], "left").select(F.coalesce("to", "key").alias("key"), "other")
-        moved = moved.join(roots, moved["other"] == roots["at"], "left").select("key", F.coalesce("to", "other").alias("other"))
-        edges = cut(moved.where("key <> other").distinct(), "peak-links")
+    tops, n = _round(edges.select("key").distinct().withColumn("top", F.col("key")), "peak-tops", F.lit(True))
+    while n:
+        around = edges.join(tops.select(F.col("key").alias("other"), F.col("top").alias("seen")), "other").groupBy("key").agg(F.min("seen").alias("seen"))
+        hooked = tops.join(around, "key", "left").select("key", F.col("top").alias("old"), F.least("top", F.coalesce("seen", "top")).alias("top"))
+        up = hooked.select(F.col("key").alias("top"), F.col("top").alias("next"))
+        shorter = hooked.join(up, "top", "left").select("key", "old", F.least("top", F.coalesce("next", "top")).alias("top"))
+        now, n = _round(shorter, "peak-tops", F.col("old") != F.col("top"))
+        tops = now.drop("old")
     return tops.withColumnRenamed("key", "peak")
 
 
-def _missing_roots(hooked: DataFrame) -> DataFrame:
-    """Parents that have no row of their own point to themselves."""
-    parents = hooked.select(F.col("parent").alias("key")).distinct()
-    return parents.join(hooked.select("key"), "key", "left_anti").select("key", F.col("key").alias("parent"))
-
-
 def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size: int = 5, links: int = LINKS, **options) -> DataFrame:
     """(head, key, density): one row per member of every cluster of at least `least_size` vectors; head is the
     smallest key of the cluster. Two vectors belong together if their cosine is at least `similar`, directly
@@ -107,8 +85,9 @@ def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size
     nearest = rated.where(denser).groupBy("key").agg(F.min(F.struct("far", "other")).alias("n")).select("key", F.col("n.other").alias("parent"))
     pointers = density.join(nearest, "key", "left").select("key", F.coalesce("parent", "key").alias("parent"))
     peaks = cut(follow(pointers), "cluster-peaks")
-    one = join_unique(edges.where("key < other").select("key", "other"), peaks, ["key"]).withColumnRenamed("peak", "a")
-    two = join_unique(one.select("a", "other"), peaks.withColumnRenamed("key", "other"), ["other"]).withColumnRenamed("peak", "b")
+    # lists are short, so only a hub of very many lists could make a hot key here; the adaptive planner splits those
+    one = edges.where("key < other").select("key", "other").join(peaks.withColumnRenamed("peak", "a"), "key")
+    two = one.select("a", "other").join(peaks.select(F.col("key").alias("other"), F.col("peak").alias("b")), "other")
     touching = two.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tops = join_peaks(touching)
     placed = peaks.join(tops, "peak", "left").select("key", F.coalesce("top", "peak").alias("top"))

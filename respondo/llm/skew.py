@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 HOT_PART = 1000
 
 
-def join_unique(rows: DataFrame, lookup: DataFrame, keys: list[str], size: str | None = None) -> DataFrame:
+def join_unique(rows: DataFrame, lookup: DataFrame, keys: list[str], size: str | None = None, total: int | None = None) -> DataFrame:
     """Inner join of `rows` with a `lookup` whose keys are unique. Keys that hold more than one in
     `HOT_PART` of all rows go through a broadcast of their lookup rows (fewer than `HOT_PART`), the
     others through a shuffle. `size` names a lookup column with the number of rows of its key; without it
-    the rows are counted per key, before they are shuffled."""
-    total = rows.count()
+    the rows are counted per key, before they are shuffled. `total` is the number of rows, where it is known;
+    up to a thousand rows, no key is hot."""
+    total = rows.count() if total is None else total
+    if total <= 1000:
+        return rows.join(lookup, keys)
     limit = max(1000, total // HOT_PART)
     if size is None:
         hot_keys = rows.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
