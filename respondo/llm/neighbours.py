@@ -324,15 +324,17 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int,
     blocks = vectors.mapInArrow(send, blocks_schema)
     found = blocks.groupBy("leaf").applyInArrow(compare, f"key bigint, near {near_type}")
     # a vector comes from as many leaves as it lives in or visits
-    lists = found.groupBy("key").agg(F.flatten(F.collect_list("near")).alias("near"))
-    return lists.select("key", F.slice(F.array_sort(F.array_distinct("near")), 1, k).alias("near"))
+    lists = found.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"))
+    once = F.filter("near", lambda n, i: (i == 0) | (n["key"] != F.get("near", i - 1)["key"]))
+    return lists.select("key", F.slice(once, 1, k).alias("near"))
 
 
 def copy_groups(df: DataFrame, key: str, emb: str, dim: int) -> DataFrame:
     """(key, head): the usable vectors that have exact copies, each with the smallest key of its group."""
     e = F.col(emb).cast("array<float>")
     top, low = F.array_max(e), F.array_min(e)
-    fine = (top < float("inf")) & (low > float("-inf")) & ((top != 0) | (low != 0)) & (F.size(F.array_compact(e)) == dim)
+    # a search for NaN is false only where there is neither a NaN nor a null
+    fine = (top < float("inf")) & (low > float("-inf")) & ((top != 0) | (low != 0)) & ~F.array_contains(e, F.lit(float("nan")).cast("float"))
     rows = df.where(F.col(key).isNotNull() & (F.size(emb) == dim)).where(fine).select(F.col(key).cast("bigint").alias("key"), F.xxhash64(e).alias("d1"), F.xxhash64(e, F.lit(5)).alias("d2"))
     rows = cut(rows, "vector-digests")
     groups = rows.groupBy("d1", "d2").agg(F.min("key").alias("head"), F.count("*").alias("n")).where("n > 1")

@@ -2,8 +2,8 @@
 
 Neighbour joins run blocked: vectors are placed in the leaves of a random-projection forest and compared
 inside them, so no pair of blocks meets that has nothing in common. The density of a vector is the sum of
-its neighbours' cosines; its pointer goes to the nearest neighbour that is denser (equal densities: of
-smaller key). Vectors without a denser neighbour are peaks. Pointers are followed by doubling - after r
+the cosines of its nearest neighbours; its pointer goes to the nearest denser vector among those linked with it (of equal
+densities, that of smaller key is denser). Vectors without a denser neighbour are peaks. Pointers are followed by doubling - after r
 rounds a pointer has covered 2^r steps - until each vector knows its peak. Peaks whose groups touch are
 the tops of one cluster and are joined by the same doubling over the links between peaks, so that the
 clusters do not depend on how many tops a group happens to have. Everything after the blocks works on narrow
@@ -70,24 +70,24 @@ def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size
     forest, dim = fit_forest(df, key, emb)
     lists = cut(neighbour_lists(df, key, emb, forest, dim, links, similar, **options), "cluster-lists")
     copies = copy_groups(df, key, emb, dim)
-    near = lists.select("key", F.explode("near").alias("n")).select("key", F.col("n.key").alias("other"), F.col("n.far").alias("far"))
-    edges = near.unionByName(near.select(F.col("other").alias("key"), F.col("key").alias("other"), "far")).groupBy("key", "other").agg(F.min("far").alias("far"))
-    edges = cut(edges, "cluster-edges")
     multiplicity = copies.groupBy("head").agg(F.count("*").alias("n"))
     # density in whole units, so that it is the same in whatever order it is summed
-    density = edges.groupBy("key").agg(F.sum(F.lit(1_000_000_000) - F.col("far")).alias("density"))
-    density = density.join(multiplicity, density["key"] == multiplicity["head"], "full").select(
+    own = F.aggregate("near", F.lit(0).cast("bigint"), lambda s, n: s + F.lit(1_000_000_000) - n["far"])
+    density = lists.select("key", own.alias("density")).join(multiplicity, F.col("key") == F.col("head"), "full").select(
         F.coalesce("key", "head").alias("key"), (F.coalesce("density", F.lit(0)) + (F.coalesce("n", F.lit(1)) - 1) * 1_000_000_000).alias("density")
     )
     density = cut(density, "cluster-density")
-    rated = edges.join(density, "key").join(density.select(F.col("key").alias("other"), F.col("density").alias("other_density")), "other")
-    denser = (F.col("other_density") > F.col("density")) | ((F.col("other_density") == F.col("density")) & (F.col("other") < F.col("key")))
-    nearest = rated.where(denser).groupBy("key").agg(F.min(F.struct("far", "other")).alias("n")).select("key", F.col("n.other").alias("parent"))
+    # of the two ends of a link, the less dense one may point to the other, whichever list it stands in
+    linked = lists.join(density, "key").select("key", "density", F.explode("near").alias("n")).select("key", "density", F.col("n.key").alias("other"), F.col("n.far").alias("far"))
+    rated = linked.join(density.select(F.col("key").alias("other"), F.col("density").alias("other_density")), "other")
+    up = (F.col("other_density") > F.col("density")) | ((F.col("other_density") == F.col("density")) & (F.col("other") < F.col("key")))
+    toward = rated.select(F.when(up, F.col("key")).otherwise(F.col("other")).alias("key"), "far", F.when(up, F.col("other")).otherwise(F.col("key")).alias("parent"))
+    nearest = toward.groupBy("key").agg(F.min(F.struct("far", "parent")).alias("n")).select("key", F.col("n.parent").alias("parent"))
     pointers = density.join(nearest, "key", "left").select("key", F.coalesce("parent", "key").alias("parent"))
     peaks = cut(follow(pointers), "cluster-peaks")
     # lists are short, so only a hub of very many lists could make a hot key here; the adaptive planner splits those
-    one = edges.where("key < other").select("key", "other").join(peaks.withColumnRenamed("peak", "a"), "key")
-    two = one.select("a", "other").join(peaks.select(F.col("key").alias("other"), F.col("peak").alias("b")), "other")
+    one = lists.join(peaks.withColumnRenamed("peak", "a"), "key").select("a", F.explode("near.key").alias("other"))
+    two = one.join(peaks.select(F.col("key").alias("other"), F.col("peak").alias("b")), "other")
     touching = two.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tops = join_peaks(touching)
     placed = peaks.join(tops, "peak", "left").select("key", F.coalesce("top", "peak").alias("top"))
