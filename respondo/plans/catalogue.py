@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from . import accounting, analysis, evaluation, graphs, questions, responses
+
+_PARTS = [questions, responses, analysis, accounting, evaluation, graphs]
+
 
 def queries() -> dict:
-    return {}
+    return {name: query for part in _PARTS for name, query in part.catalogue.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for part in _PARTS for name, sql in part.catalogue.sql.items()}
