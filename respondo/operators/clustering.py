@@ -105,3 +105,26 @@ def refine(labels: DataFrame, normalised: str) -> DataFrame:
     """(grp, id, label, refined): clusters whose normalised representatives are equal share the smallest label."""
     merged = labels.groupBy("grp", normalised).agg(F.min("label").alias("refined"))
     return labels.join(merged, ["grp", normalised]).select("grp", "id", "label", "refined")
+
+
+def script_mcl(vectors: DataFrame, k: int = 10, inflation: float = INFLATION) -> DataFrame:
+    """The variant whose neighbour lists count the vector itself: k - 1 others, all positive scaled weights,
+    mean of both directions, nodes without cluster in cluster 0."""
+    edges = graph.csls(cut(graph.knn(vectors, k - 1), "knn"), 0.0)
+    return _completed(vectors, graph.mcl_by_group(graph.symmetric(edges, "mean"), inflation), alone=0)
+
+
+def classify(answers: DataFrame, by: list[str], size: int = 384) -> DataFrame:
+    """(grp, text, label): distinct answers of each group - a question, or a question and a polarity - encoded
+    and clustered; alone answers are -1. `answers` is (by..., text)."""
+    from ..providers import encode
+
+    named = answers.select(F.concat_ws("/", *by).alias("grp"), "text").where("text is not null").distinct()
+    points = cut(encode(named, "text", size).where(F.size("emb") > 0).select("grp", "text", F.xxhash64("text").alias("id"), F.col("emb").cast("array<double>").alias("emb")), "points")
+    labels = scaled_mcl(large_enough(points.select("grp", "id", "emb")))
+    return points.join(labels, ["grp", "id"], "left").select("grp", "text", F.coalesce("label", F.lit(-1)).alias("label"))
+
+
+def rollup(scored_groups: DataFrame, question: str) -> DataFrame:
+    """Per question over its columns: clusterings, mean NMI, adjusted ARI and score."""
+    return scored_groups.groupBy(question).agg(F.count("*").alias("n"), *[F.round(F.avg(c), 6).alias(c) for c in ("nmi", "adjusted_ari", "score")])

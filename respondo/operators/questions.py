@@ -57,10 +57,13 @@ def typed(questions: DataFrame, text: str) -> DataFrame:
 
 def match_columns(questions: DataFrame, columns: DataFrame, survey: list[str]) -> DataFrame:
     """(survey..., open_question_number, matched_columns): columns go to the question whose anchor their
-    name carries; a column without an anchor goes to the question of the last column that has one."""
+    name carries, or, if no question has it, to that of its main number (Q7_2 to question 7); a column
+    without an anchor goes where the last column before it that has one goes."""
     w = Window.partitionBy(*survey).orderBy("ordinal").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     anchored = columns.withColumn("_anchor", F.last(anchor(F.col("name")), ignorenulls=True).over(w))
     keyed = questions.select(*survey, "open_question_number", anchor(F.col("open_question_number")).alias("_anchor"))
+    known = keyed.select(*survey, "_anchor").where("_anchor is not null").distinct().withColumn("_known", F.lit(True))
+    anchored = anchored.join(known, [*survey, "_anchor"], "left").withColumn("_anchor", F.when(F.col("_known"), F.col("_anchor")).otherwise(F.regexp_extract("_anchor", r"^\d+", 0))).drop("_known")
     found = keyed.join(anchored, [*survey, "_anchor"], "left")
     lists = F.transform(F.array_sort(F.collect_list(F.when(F.col("name").isNotNull(), F.struct("ordinal", "name")))), lambda x: x["name"])
     return found.groupBy(*survey, "open_question_number").agg(lists.alias("matched_columns"))

@@ -166,3 +166,21 @@ def q_relabel_dense(t):
 @catalogue.add(f"""with {_V} select count(distinct grp) as n_questions, count(*) as n_vectors, round(count(*) / greatest(count(distinct grp), 1), 6) as per_question from v""")
 def q_data_summary(t):
     return vectors(t).agg(F.count_distinct("grp").alias("n_questions"), F.count("*").alias("n_vectors"), F.round(F.count("*") / F.greatest(F.count_distinct("grp"), F.lit(1)), 6).alias("per_question"))
+
+
+@catalogue.add()
+def q_script_mcl_labels(t):
+    return clustering.script_mcl(cut(vectors(t), "vectors"))
+
+
+@catalogue.add()
+def q_classified_answers(t):
+    from ..functions.text import has_value, strip
+
+    answers = t("answer_vectors").where(has_value(F.col("text"))).select("survey_id", strip(F.col("text")).alias("text"))
+    return clustering.classify(answers, ["survey_id"])
+
+
+@catalogue.add()
+def q_auto_train(t):
+    return clustering.auto_train(cut(vectors(t), "vectors"), truth(t), (2.0,), (5, 15)).select("grp", "method", "score", "grade")

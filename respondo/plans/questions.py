@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..context import filled_fields, missing_fields
 from ..functions.text import anchor, question_type, strip, template
 from ..operators import questions as ops
 from ..providers import RuleProvider, complete
@@ -144,3 +145,19 @@ def q_choice_ranges(t):
     asked = complete(t("survey_questions").where("question_text is not null").select("question_key", "question_text"), "question_text", RuleProvider("choices"))
     parsed = F.from_json("completion.content", "question string, answers map<string,string>")
     return asked.select("question_key", parsed["question"].alias("question"), F.size(parsed["answers"]).alias("n_choices"))
+
+
+_FIELDS = ["question_text", "question_type", "question_that_is_related", "parsed_at"]
+
+
+@catalogue.add(f"""select question_key, {" + ".join(f"({c} is not null)::int" for c in _FIELDS)} as n_filled,
+  concat_ws(',', {", ".join(f"case when {c} is null then '{c}' end" for c in _FIELDS)}) as missing from survey_questions""")
+def q_missing_fields(t):
+    return t("survey_questions").select("question_key", filled_fields(_FIELDS).alias("n_filled"), F.array_join(missing_fields(_FIELDS), ",").alias("missing"))
+
+
+@catalogue.add("""select r_name as header, n_name as name from (select n_nationkey, n_name, n_regionkey from nation) left join region on n_regionkey = r_regionkey and n_nationkey % 2 = 0""")
+def q_header_labels(t):
+    names = t("nation").select(F.col("n_nationkey").alias("ordinal"), F.col("n_name").alias("name"))
+    cells = t("nation").where("n_nationkey % 2 = 0").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("header"), F.col("n_name").alias("value"))
+    return ops.header_labels(cells, names).select(F.col("label").alias("header"), "name")
