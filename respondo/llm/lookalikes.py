@@ -35,7 +35,7 @@ ORDINARY = (
     r"\x{3030}-\x{303F}\x{3041}-\x{3096}\x{309B}-\x{30FF}\x{3200}-\x{33FF}\x{3400}-\x{9FFF}\x{AC00}-\x{D7A3}\x{FE0F}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}\x{1F000}-\x{1FAFF}]*"
 )
 #: Noncharacters that stand in for what is set aside.
-_ZWJ, _ZWNJ, _WIDE_SPACE = "﷐", "﷑", "﷒"
+_ZWJ, _ZWNJ, _WIDE_SPACE = "\ufdd0", "\ufdd1", "\ufdd2"
 #: Devanagari letters that composition leaves apart: both spellings are ordinary.
 _APART = {chr(c): unicodedata.normalize("NFC", chr(c)) for c in range(0x958, 0x960)}
 
@@ -43,7 +43,7 @@ _APART = {chr(c): unicodedata.normalize("NFC", chr(c)) for c in range(0x958, 0x9
 def _translation() -> tuple[str, str]:
     """Single letters, digits and kana of full- and half-width forms and sign blocks, and what they are."""
     ranges = [(0xFF10, 0xFF19), (0xFF21, 0xFF3A), (0xFF41, 0xFF5A), (0xFF66, 0xFF9D), (0xFFA1, 0xFFDC), (0x2E80, 0x2FDF), (0x1D400, 0x1D7FF), (0x2100, 0x214F), (0xFB50, 0xFDFF), (0xFE70, 0xFEFC)]
-    pairs = {"ﾞ": "゙", "ﾟ": "゚"}
+    pairs = {"ﾞ": "\u3099", "ﾟ": "\u309a"}
     for first, last in ranges:
         for c in map(chr, range(first, last + 1)):
             plain = unicodedata.normalize("NFKC", c)

@@ -29,8 +29,10 @@ HOT_PART = 1000
 
 
 def leaf(text: Column) -> Column:
-    """The normalised form of a leaf: case folded by way of upper case, so that ß equals SS."""
-    return F.lower(F.upper(F.regexp_replace(text, DROPPED, "")))
+    """The normalised form of a leaf: without what formatting may change, case folded (ß equals SS, both
+    small sigmas are one)."""
+    folded = F.lower(F.upper(F.regexp_replace(text, DROPPED, "")))
+    return F.replace(F.replace(F.translate(folded, "ς", "σ"), F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("ss"))
 
 
 def labelled_fields(text: Column) -> Column:

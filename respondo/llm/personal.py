@@ -31,9 +31,9 @@ KINDS = ("email", "phone", "id_number", "address", "person")
 # --- the shadow text ---------------------------------------------------------------------------------
 
 _PLAIN = re.compile(r"[\t\n -~¡-¬®-ž‐-‧‰-⁞€←-⋿①-⓿─-⯿、-〩〰-〿ぁ-ゖ゛-ヿ㈀-㏿㐀-鿿가-힣！-／：-～\U0001F000-\U0001FAFF]*")
-_UNIT = re.compile(r"(?s).[̀-゙゚ͯﾞﾟᅡ-ᇿ]*")
-_GONE = re.compile(r"[­͏؜ᅟᅠ᠋-᠎​-‏‪-‮⁠-⁯﻿]")
-_SPACE = re.compile(r"[   -   　]")
+_UNIT = re.compile(r"(?s).[\u0300-\u036f\u3099\u309aﾞﾟ\u1161-\u11ff]*")
+_GONE = re.compile(r"[\u00ad\u034f\u061c\u115f\u1160᠋-\u180e\u200b-\u200f\u202a-\u202e\u2060-\u206f\ufeff]")
+_SPACE = re.compile(r"[\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000]")
 _TO_LATIN = str.maketrans(CYRILLIC | GREEK)
 _OWN_WORD = re.compile(f"[Ѐ-ӿͰ-Ͽ](?<![{''.join(CYRILLIC | GREEK)}])")
 
@@ -50,7 +50,7 @@ def shadow(text: str) -> tuple[str, list[int] | None]:
         if not piece:
             continue
         piece = _SPACE.sub(" ", piece)
-        if len(piece) > 1 or "⺀" <= piece <= "⿟" or "＀" <= piece <= "￯" or "\U0001d400" <= piece <= "\U0001d7ff":
+        if len(piece) > 1 or "⺀" <= piece <= "\u2fdf" or "\uff00" <= piece <= "\uffef" or "\U0001d400" <= piece <= "\U0001d7ff":
             piece = unicodedata.normalize("NFKC", piece)
         if latin:
             piece = piece.translate(_TO_LATIN)
@@ -154,7 +154,7 @@ _KO_NAME = rf"(?:(?:{_KO_FAMILY})\s?[가-힣]{{2}}|[a-z]{{2,10}}\s+[a-z]{{2,8}}-
 _WORD = r"[^\W\d_][^\W\d_'’]*(?:[-'’][^\W\d_]+)*"
 _WEST = rf"(?:{_WORD},\s+{_WORD}|(?:{_WORD}|[^\W\d_]\.)\s+(?:[^\W\d_]\.\s*)?{_WORD})"
 _ZH_NAME = rf"(?:(?:{_ZH_DOUBLE})[{_HAN}]{{1,2}}|(?!{_ZH_DOUBLE})[{_HAN}]{{2,3}})"
-_JA_NAME = rf"(?:[{_HAN}々]{{2,3}}[ 　]?[{_HAN}々]{{1,3}}[ぁ-ん]{{0,2}}|[ァ-ヶー]+[・＝ 　][ァ-ヶー]+(?:[・＝ 　][ァ-ヶー]+)?)"
+_JA_NAME = rf"(?:[{_HAN}々]{{2,3}}[ \u3000]?[{_HAN}々]{{1,3}}[ぁ-ん]{{0,2}}|[ァ-ヶー]+[・＝ \u3000][ァ-ヶー]+(?:[・＝ \u3000][ァ-ヶー]+)?)"
 _NOBODY = r"(?!(?:the|a|an|my|our|their|his|her|your|its|this|that|mr|mrs|ms|dr|staff|people|one)\b)"
 _PERSON = re.compile(
     "|".join(
