@@ -28,7 +28,7 @@ def _shaped(df: DataFrame, kind: str) -> DataFrame:
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^﻿", "").alias("text"), F.col("_metadata.file_size").alias("size"))
+    df = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^\ufeff", "").alias("text"), F.col("_metadata.file_size").alias("size"))
     return _shaped(df, "txt")
 
 
