@@ -155,13 +155,13 @@ _WORD = r"[^\W\d_][^\W\d_'’]*(?:[-'’][^\W\d_]+)*"
 _WEST = rf"(?:{_WORD},\s+{_WORD}|(?:{_WORD}|[^\W\d_]\.)\s+(?:[^\W\d_]\.\s*)?{_WORD})"
 _ZH_NAME = rf"(?:(?:{_ZH_DOUBLE})[{_HAN}]{{1,2}}|(?!{_ZH_DOUBLE})[{_HAN}]{{2,3}})"
 _JA_NAME = rf"(?:[{_HAN}々]{{2,3}}[ \u3000]?[{_HAN}々]{{1,3}}[ぁ-ん]{{0,2}}|[ァ-ヶー]+[・＝ \u3000][ァ-ヶー]+(?:[・＝ \u3000][ァ-ヶー]+)?)"
-_NOBODY = r"(?!(?:the|a|an|my|our|their|his|her|your|its|this|that|mr|mrs|ms|dr|staff|people|one)\b)"
+_NOBODY = r"(?!(?:the|a(?!\.)|an|my|our|their|his|her|your|its|this|that|mr|mrs|ms|dr|staff|people|one)\b)"
 _PERSON = re.compile(
     "|".join(
         [
             rf"(?:성명|성함|이름)\s*(?:[:：]|은|는)?\s*({_KO_NAME})(?=\s*(?:[/,.]|이고|이며|입니다|이에요|예요|$))",
             rf"(?:담당자|담당|직원|기사)\s+({_KO_NAME})\s*(?:씨|님)",
-            rf"(?<![가-힣])({_KO_NAME})\s*(?:상담사|점장|매니저|사원|대리|과장|팀장|부장|주임|기사|원장|간호사|선생|교수|씨)(?:님|를|을|이|가|은|는|께|\s)",
+            rf"(?<![가-힣])({_KO_NAME})(?<![와과요를을])\s*(?:상담사|점장|매니저|사원|대리|과장|팀장|부장|주임|기사|원장|간호사|선생|교수|씨)(?:님|를|을|이|가|은|는|께|\s)",
             rf"(?:저는|제가|나는)\s+({_KO_NAME})(?=\s*이?(?:라고|라는|입니다|예요|에요))",
             rf"\bmy\s+name\s+is\s+({_WEST})(?=\s+(?:and|from)\b|[.,!?]|\s*$)",
             rf"\bi\s+am\s+({_WEST})(?=\s+and\s+i\b)",
