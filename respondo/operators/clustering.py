@@ -128,3 +128,14 @@ def classify(answers: DataFrame, by: list[str], size: int = 384) -> DataFrame:
 def rollup(scored_groups: DataFrame, question: str) -> DataFrame:
     """Per question over its columns: clusterings, mean NMI, adjusted ARI and score."""
     return scored_groups.groupBy(question).agg(F.count("*").alias("n"), *[F.round(F.avg(c), 6).alias(c) for c in ("nmi", "adjusted_ari", "score")])
+
+
+def train(vectors: DataFrame, truth: DataFrame, mode: str, **parameters) -> DataFrame:
+    """One of the modes `estimate`, `auto_train`, `manual_train`; any other is a ValueError."""
+    if mode == "estimate":
+        return estimate(vectors, truth)
+    if mode == "auto_train":
+        return auto_train(vectors, truth, **parameters)
+    if mode == "manual_train":
+        return manual_train(vectors, **parameters)
+    raise ValueError(f"unknown mode {mode}")

@@ -80,3 +80,8 @@ def run(spark: SparkSession, survey: str, responses: str, size: int = providers.
         "open_question_number", "branch", F.coalesce("rows_count", F.lit(0)).alias("rows_count"), F.lit("completed").alias("status")
     )
     return Run(matched, answers, flat_results(results), vectors, clusters, usage, status)
+
+
+def preview(answers: DataFrame, rows: int = 3) -> DataFrame:
+    """The flat analysis of the first answers, to look at before a run."""
+    return flat_results(analyse(answers.limit(rows))[0])
