@@ -135,7 +135,7 @@ def canonical_text(df: DataFrame, key: str, text: str) -> DataFrame:
         connection = _connection()
         for record_batch in batches:
             connection.register("batch", pa.Table.from_batches([record_batch]))
-            found = connection.execute(query).to_arrow_table()
+            found = connection.sql(query).to_arrow_table()
             connection.unregister("batch")
             yield from found.cast(pa.schema([("key", record_batch.schema.field(0).type), ("canonical", pa.string()), ("changed", pa.bool_())])).to_batches()
 
