@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,8 @@ SMOOTHING = 1.0
 #: Weight of the soft counts of unlabelled documents, and the most a feature counts in one document.
 UNLABELLED = 0.3
 MOST = 3
+#: Documents whose features are weighed together.
+_TOGETHER = 512
 NONE = "none"
 _RUN = regex.compile(r"(?P<hangul>\p{Hangul}+)|(?P<sign>[\p{Han}\p{Hiragana}\p{Katakana}ー々]+)|(?P<word>[\p{L}\p{M}]+(?:['’-][\p{L}\p{M}]+)*)")
 # Common words of languages in Latin script.
@@ -67,34 +70,46 @@ def group_of(text: str) -> int:
     return GROUPS.index(best if hits[best] else "other")
 
 
+#: Hashes of words and of their pairs that a worker remembers, then starts afresh.
+_REMEMBERED = 1 << 18
+_seen: dict[tuple[int, str, str, str], tuple[int, ...]] = {}
+
+
+def _hashes(group: int, kind: str, before: str, text: str) -> tuple[int, ...]:
+    found = []
+    if kind == "hangul":
+        found = [text[:n] for n in range(2, min(len(text), 6) + 1)]
+        if before:
+            found.append(f"{before} {text[:2]}")
+    elif kind == "sign":
+        found = [text[i : i + n] for n in (2, 3, 4) for i in range(len(text) - n + 1)]
+    else:
+        found = [text, f"{before} {text}"] if before else [text]
+    return tuple({group * RANGE + zlib.crc32(f.encode()) % RANGE for f in found})
+
+
 def features(sentence: str, group: int) -> list[int]:
     """The distinct hashed features of a sentence, sorted, in the bucket range of its group."""
-    found: set[str] = set()
+    found: set[int] = set()
     before = ""
     for m in _RUN.finditer(sentence.casefold()):
-        text = m.group()
-        if m.lastgroup == "hangul":
-            for n in range(2, min(len(text), 6) + 1):
-                found.add(text[:n])
-            if before:
-                found.add(f"{before} {text[:2]}")
-        elif m.lastgroup == "sign":
-            for n in (2, 3, 4):
-                for i in range(len(text) - n + 1):
-                    found.add(text[i : i + n])
-        else:
-            found.add(text)
-            if before:
-                found.add(f"{before} {text}")
+        text, kind = m.group(), m.lastgroup
+        key = (group, kind, "" if kind == "sign" else before, text)
+        hashes = _seen.get(key)
+        if hashes is None:
+            if len(_seen) > _REMEMBERED:
+                _seen.clear()
+            hashes = _seen[key] = _hashes(group, kind, before, text)
+        found.update(hashes)
         before = text
-    return sorted({group * RANGE + zlib.crc32(f.encode()) % RANGE for f in found})
+    return sorted(found)
 
 
 def featurise(documents: DataFrame, key: str, text: str, model: BoundaryModel) -> DataFrame:
-    """(key, sentences array<array<int>>): the features of each sentence or line; empty for null and
-    blank texts."""
+    """(key, sentences array<array<int>>, found array<int>, n array<int>): the features of each sentence or
+    line, and those of the whole document with their numbers; empty for null and blank texts."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([T.StructField("key", documents.schema[key].dataType), T.StructField("sentences", T.ArrayType(T.ArrayType(T.IntegerType())))])
+    schema = T.StructType([T.StructField("key", documents.schema[key].dataType), T.StructField("sentences", T.ArrayType(T.ArrayType(T.IntegerType()))), *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("found", "n")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = shared.value
@@ -107,7 +122,9 @@ def featurise(documents: DataFrame, key: str, text: str, model: BoundaryModel) -
                     units.append(features(plain[begin:end], group))
                     begin = end
                 out.append([u for u in units if u])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.list_(pa.int32())))], names=["key", "sentences"])
+            whole = [Counter(f for u in units for f in u) for units in out]
+            lists = [pa.array(x, pa.list_(pa.int32())) for x in ([list(c) for c in whole], [list(c.values()) for c in whole])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.list_(pa.int32()))), *lists], names=["key", "sentences", "found", "n"])
 
     return spread(documents.select(F.col(key).alias("key"), F.col(text).cast("string"))).mapInArrow(run, schema)
 
@@ -153,16 +170,19 @@ def _evidence(w: np.ndarray, sentences: list[list[int]]) -> np.ndarray:
     return np.add.reduceat(w[flat], cuts, axis=0)
 
 
-def _soft_counts(w: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Of each feature of a document over the classes, under a mixture that the telling features settle."""
+def _soft_counts(w: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of each feature of some documents over the classes, under the mixture of its document that the
+    document's telling features settle. `w` and `n` are the documents' features end to end, `sizes` how many each
+    document has, none of them 0."""
     likely = np.exp(np.clip(w, -6, 6))
     telling = n * np.clip(w, 0, None).max(1)
-    mixture = np.full(w.shape[1], 1.0 / w.shape[1])
+    starts = np.cumsum(sizes) - sizes
+    mixture = np.full((len(sizes), w.shape[1]), 1.0 / w.shape[1], np.float32)
     for _ in range(6):
-        p = likely * mixture
+        p = likely * np.repeat(mixture, sizes, axis=0)
         p /= p.sum(1, keepdims=True)
-        mixture = telling @ p + 0.3
-        mixture /= mixture.sum()
+        mixture = np.add.reduceat(p * telling[:, None], starts, axis=0) + 0.3
+        mixture /= mixture.sum(1, keepdims=True)
     return p * n[:, None]
 
 
@@ -175,13 +195,17 @@ def _count(df: DataFrame, classes: int, shared) -> np.ndarray:
         w = None if shared is None else shared.value.whole
         table = np.zeros((BUCKETS, classes))
         for batch in batches:
-            for sentences, votes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found, n = np.unique(np.fromiter((f for s in sentences for f in s), np.int64), return_counts=True)
-                n = np.minimum(n, MOST).astype(float)
+            for a in range(0, batch.num_rows, _TOGETHER):
+                part = batch.slice(a, _TOGETHER)
+                sizes = part.column(0).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                found = part.column(0).flatten().to_numpy(zero_copy_only=False)
+                n = np.minimum(part.column(1).flatten().to_numpy(zero_copy_only=False), MOST).astype(np.float32)
                 if w is None:
-                    table[found] += np.outer(n, np.array(votes) / sum(votes))
+                    votes = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, classes)
+                    soft = np.repeat(votes / votes.sum(1, keepdims=True), sizes, axis=0) * n[:, None]
                 else:
-                    table[found] += _soft_counts(w[found], n)
+                    soft = _soft_counts(w[found], n, sizes)
+                np.add.at(table, found, soft)
         rows = np.flatnonzero(table.any(1))
         for i in range(0, len(rows), 10_000):
             part = rows[i : i + 10_000]
@@ -189,8 +213,8 @@ def _count(df: DataFrame, classes: int, shared) -> np.ndarray:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, classes), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), lists], names=["f", "c"])
 
-    df = df.where(F.size("sentences") > 0).where(F.col("votes").isNotNull() if shared is None else F.col("votes").isNull())
-    parts = df.select("sentences", "votes").mapInArrow(run, schema)
+    df = df.where(F.size("found") > 0).where(F.col("votes").isNotNull() if shared is None else F.col("votes").isNull())
+    parts = df.select("found", "n", "votes").mapInArrow(run, schema)
     sums = parts.groupBy("f").agg(F.array(*[F.sum(F.col("c")[i]) for i in range(classes)]).alias("c"))
     table = np.zeros((BUCKETS, classes))
     found = sums.toArrow()  # at most BUCKETS rows
