@@ -59,8 +59,7 @@ def usable(emb: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def unit(x: np.ndarray) -> np.ndarray:
-    scaled = x / np.abs(x).max(1, keepdims=True)
-    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+    return (x / np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64))[:, None]).astype(np.float32)
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -203,11 +202,13 @@ def _split(x: np.ndarray, grouped: np.ndarray, rng) -> tuple[np.ndarray, float]:
 
 
 def leaf_neighbours(x: np.ndarray, ids: np.ndarray, resident: np.ndarray, k: int, least: float) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
-    """(row, its neighbours' rows, their cosines) for rows with any neighbour of at least `least`: the k best
-    among residents, for residents also among visitors; ties by smaller id."""
+    """(id, its neighbours' ids, their cosines) for vectors with any neighbour of at least `least`: the k best
+    among residents, for residents also among visitors; ties by smaller id. `x` are the vectors as stored."""
     order = np.r_[np.flatnonzero(resident), np.flatnonzero(~resident)]
     homes = int(resident.sum())
-    a = np.ascontiguousarray(x[order])
+    x = x[order]
+    lengths = np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64))
+    a = x / lengths[:, None].astype(np.float32)
     h = a[:homes]
     want = k + SPARE
     near: list[np.ndarray] = [np.zeros(0, np.int64)] * len(a)
@@ -233,8 +234,6 @@ def leaf_neighbours(x: np.ndarray, ids: np.ndarray, resident: np.ndarray, k: int
             for r, c in zip(rows.tolist(), cols.tolist()):
                 extra.setdefault(c, []).append((begin + from_row + r, s[from_row + r, c]))
     out_rows, out_near, out_cos = [], [], []
-    wide = a.astype(np.float64)
-    wide /= np.linalg.norm(wide, axis=1, keepdims=True)
     numbers = ids[order]
     for r in range(len(a)):
         found = near[r]
@@ -243,7 +242,7 @@ def leaf_neighbours(x: np.ndarray, ids: np.ndarray, resident: np.ndarray, k: int
             found = np.r_[found, np.array([m for m, _ in more], np.int64)]
         if not len(found):
             continue
-        cosines = wide[found] @ wide[r]
+        cosines = (x[found].astype(np.float64) @ x[r].astype(np.float64)) / (lengths[found] * lengths[r])
         fine = cosines >= least - 1e-9
         found, cosines = found[fine], cosines[fine]
         best = np.lexsort((numbers[found], -np.round(cosines, 9)))[:k]
@@ -313,7 +312,9 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int,
         x = np.concatenate([unpack(v, n) for v, n in zip(table.column("vectors").to_pylist(), sizes)])
         first = np.lexsort((ids, digests))
         first = first[np.r_[True, digests[first][1:] != digests[first][:-1]]]
-        keys, near, cosines = leaf_neighbours(unit(x[first]), ids[first], resident[first], k, least)
+        if len(first) < len(ids):  # copies from different batches
+            x, ids, resident = x[first], ids[first], resident[first]
+        keys, near, cosines = leaf_neighbours(x, ids, resident, k, least)
         offsets = np.cumsum([0, *map(len, near)])
         far = np.rint((1 - np.concatenate(cosines)) * 1e9).astype(np.int64) if near else np.zeros(0, np.int64)
         other = np.concatenate(near) if near else np.zeros(0, np.int64)
