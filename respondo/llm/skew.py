@@ -7,18 +7,20 @@ from pyspark.sql import functions as F
 
 #: A key is hot if it holds more than this part of all rows; so there are fewer than this many hot keys.
 HOT_PART = 1000
+#: Rows of one key that a task takes without ado, as they are narrow.
+HOT_LEAST = 100_000
 
 
 def join_unique(rows: DataFrame, lookup: DataFrame, keys: list[str], size: str | None = None, total: int | None = None) -> DataFrame:
-    """Inner join of `rows` with a `lookup` whose keys are unique. Keys that hold more than one in
-    `HOT_PART` of all rows go through a broadcast of their lookup rows (fewer than `HOT_PART`), the
+    """Inner join of `rows` with a `lookup` whose keys are unique. Keys that hold more than `HOT_LEAST`
+    rows and more than one in `HOT_PART` of all go through a broadcast of their lookup rows (fewer than `HOT_PART`), the
     others through a shuffle. `size` names a lookup column with the number of rows of its key; without it
     the rows are counted per key, before they are shuffled. `total` is the number of rows, where it is known;
-    up to a thousand rows, no key is hot."""
+    a key with up to `HOT_LEAST` rows is not hot."""
     total = rows.count() if total is None else total
-    if total <= 1000:
+    if total <= HOT_LEAST:
         return rows.join(lookup, keys)
-    limit = max(1000, total // HOT_PART)
+    limit = max(HOT_LEAST, total // HOT_PART)
     if size is None:
         hot_keys = rows.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
         hot = lookup.join(F.broadcast(hot_keys), keys, "left_semi")

@@ -104,7 +104,8 @@ def test_peaks_joined_along_a_path(spark):
     assert {r.peak: r.top for r in peaks.join_peaks(links).collect()} == {**{i: 0 for i in range(31)}, 50: 50, 51: 50}
 
 
-def test_join_with_a_hot_key(spark):
+def test_join_with_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_LEAST", 1000)
     rows = spark.range(6000).selectExpr("id", "if(id % 3 = 0, 0, id) as k")
     lookup = spark.range(6000).selectExpr("id as k", "id * 2 as v", "if(id = 0, 2000L, 1L) as n")
     for size in ("n", None):
