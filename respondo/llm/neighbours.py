@@ -201,13 +201,72 @@ def _split(x: np.ndarray, grouped: np.ndarray, rng) -> tuple[np.ndarray, float]:
 # --- inside a leaf -----------------------------------------------------------------------------------
 
 
-def leaf_neighbours(x: np.ndarray, ids: np.ndarray, resident: np.ndarray, k: int, least: float) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
+def join_all(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins the components of a[i] and b[i]; `root` names the smallest member of everyone's component."""
+    while True:
+        a, b = root[a], root[b]
+        apart = a != b
+        if not apart.any():
+            return
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
+class AllPairs:
+    """What all pairs of a leaf of at least the wanted cosine add up to, not only the k best of each vector:
+    `mass`, the sum of the cosines in units of 1e-9, weighted by copies, and `root`, the components.
+
+    A pair that meets in several leaves counts in that of smallest number; `places` are the leaves of every
+    vector, doubled, plus one where it is a resident, filled up with -1."""
+
+    def __init__(self, leaf: int, weights: np.ndarray, places: np.ndarray) -> None:
+        self.leaf, self.weights, self.places = leaf, weights, places
+
+    def start(self, x: np.ndarray, lengths: np.ndarray, order: np.ndarray, homes: int, least: float) -> None:
+        self.x, self.lengths, self.homes, self.least = x, lengths, homes, least
+        self.weights = self.weights[order]
+        self.leaves, self.lives = self.places[order] >> 1, (self.places[order] & 1).astype(bool)
+        self.leaves[(self.leaves < 0) | (self.leaves >= self.leaf)] = -1  # only smaller ones matter
+        self.mass, self.root = np.zeros(len(x), np.int64), np.arange(len(x))
+
+    def add(self, begin: int, hit: np.ndarray) -> None:
+        rows, cols = np.nonzero(hit)
+        if len(rows) * 20 > hit.size:
+            part = (self.x[begin : begin + len(hit)].astype(np.float64) @ self.x[: self.homes].astype(np.float64).T)[rows, cols]
+            rows += begin
+        else:
+            rows += begin
+            part = np.empty(len(rows))
+            for a in range(0, len(rows), 20_000):
+                some = slice(a, a + 20_000)
+                part[some] = np.einsum("ij,ij->i", self.x[rows[some]], self.x[cols[some]], dtype=np.float64)
+        cosines = part / (self.lengths[rows] * self.lengths[cols])
+        fine = cosines >= self.least - 1e-9
+        rows, cols, cosines = rows[fine], cols[fine], cosines[fine]
+        join_all(self.root, rows, cols)
+        elsewhere = np.zeros(len(rows), bool)
+        for i in range(self.leaves.shape[1]):
+            one = self.leaves[rows, i]
+            for j in range(self.leaves.shape[1]):
+                elsewhere |= (one >= 0) & (one == self.leaves[cols, j]) & (self.lives[rows, i] | self.lives[cols, j])
+        rows, cols, units = rows[~elsewhere], cols[~elsewhere], np.rint(cosines[~elsewhere] * 1e9).astype(np.int64)
+        np.add.at(self.mass, rows, units * self.weights[cols])
+        visits = rows >= self.homes  # pairs of residents come up from both sides
+        np.add.at(self.mass, cols[visits], units[visits] * self.weights[rows[visits]])
+
+
+def leaf_neighbours(x: np.ndarray, ids: np.ndarray, resident: np.ndarray, k: int, least: float, whole: AllPairs | None = None) -> tuple[list[int], list[np.ndarray], list[np.ndarray], list[tuple[int, int]]]:
     """(id, its neighbours' ids, their cosines) for vectors with any neighbour of at least `least`: the k best
-    among residents, for residents also among visitors; ties by smaller id. `x` are the vectors as stored."""
+    among residents, for residents also among visitors; ties by smaller id. `x` are the vectors as stored.
+    With `whole`, (mass, smallest id of the component) of each besides."""
     order = np.r_[np.flatnonzero(resident), np.flatnonzero(~resident)]
     homes = int(resident.sum())
     x = x[order]
     lengths = np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64))
+    if whole is not None:
+        whole.start(x, lengths, order, homes, least)
     a = x / lengths[:, None].astype(np.float32)
     h = a[:homes]
     want = k + SPARE
@@ -221,6 +280,8 @@ def leaf_neighbours(x: np.ndarray, ids: np.ndarray, resident: np.ndarray, k: int
         if begin < inside:
             s[np.arange(inside - begin), np.arange(begin, inside)] = -2
         hit = s >= least - 1e-5
+        if whole is not None:
+            whole.add(begin, hit)
         for r in np.flatnonzero(hit.any(1)):
             found = np.flatnonzero(hit[r])
             if len(found) > want:
@@ -250,7 +311,12 @@ def leaf_neighbours(x: np.ndarray, ids: np.ndarray, resident: np.ndarray, k: int
             out_rows.append(r)
             out_near.append(numbers[found[best]])
             out_cos.append(cosines[best])
-    return [numbers[r] for r in out_rows], out_near, out_cos
+    sums: list[tuple[int, int]] = []
+    if whole is not None:
+        smallest = np.full(len(a), np.iinfo(np.int64).max)
+        np.minimum.at(smallest, whole.root, numbers)
+        sums = list(zip(whole.mass[out_rows].tolist(), smallest[whole.root[out_rows]].tolist()))
+    return [numbers[r] for r in out_rows], out_near, out_cos, sums
 
 
 # --- operators ---------------------------------------------------------------------------------------
@@ -272,11 +338,15 @@ def fit_forest(df: DataFrame, key: str, emb: str, trees: int = TREES, sample: in
     return Forest.fit(unit(x), total, trees, leaf), dim
 
 
-def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int, k: int = 15, least: float = -1.0, visits: int = VISITS, slack: float = SLACK) -> DataFrame:
+def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int, k: int = 15, least: float = -1.0, visits: int = VISITS, slack: float = SLACK, whole: bool = False) -> DataFrame:
     """(key, near array<struct<far, key>>): for every distinct usable vector - of copies that of smallest
-    key - its k nearest others of at least cosine `least`; far is (1 - cosine) in units of 1e-9."""
+    key - its k nearest others of at least cosine `least`; far is (1 - cosine) in units of 1e-9.
+
+    With `whole`, also (mass, tops): the sum of the cosines with all others of at least `least`, not only the
+    k nearest, weighted by copies and in units of 1e-9, and in each leaf the smallest key that is linked with the
+    vector by such pairs, directly or through others."""
     shared = df.sparkSession.sparkContext.broadcast(forest)
-    blocks_schema = "leaf int, n int, ids binary, resident binary, digests binary, vectors binary"
+    blocks_schema = "leaf int, n int, ids binary, resident binary, digests binary, vectors binary" + (", weights binary, places binary" if whole else "")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees_ = shared.value
@@ -287,19 +357,27 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int,
             ids = batch.column(0).take(pa.array(rows)).to_numpy(zero_copy_only=False).astype(np.int64)
             digests = np.fromiter((xxhash.xxh3_64_intdigest(v) for v in x), np.uint64, len(x))
             first = np.lexsort((ids, digests))
-            first = first[np.r_[True, digests[first][1:] != digests[first][:-1]]]
+            heads = np.flatnonzero(np.r_[True, digests[first][1:] != digests[first][:-1]])
+            weights = np.diff(np.r_[heads, len(first)])
+            first = first[heads]
             ids, x, digests = ids[first], x[first], digests[first]
             row, leaf_no, resident = trees_.route(unit(x), visits, slack)
+            if whole:
+                starts = np.searchsorted(row, np.arange(len(x)))
+                place = np.arange(len(row)) - starts[row]
+                places = np.full((len(x), place.max() + 1), -1, np.int32)
+                places[row, place] = 2 * leaf_no + resident
             order = np.argsort(leaf_no, kind="stable")
             row, leaf_no, resident = row[order], leaf_no[order], resident[order]
             edges = np.flatnonzero(np.r_[True, leaf_no[1:] != leaf_no[:-1], True])
             out = []
             for a, b in zip(edges[:-1], edges[1:]):
                 r = row[a:b]
-                out.append((int(leaf_no[a]), b - a, ids[r].tobytes(), resident[a:b].tobytes(), digests[r].tobytes(), pack(x[r])))
+                out.append((int(leaf_no[a]), b - a, ids[r].tobytes(), resident[a:b].tobytes(), digests[r].tobytes(), pack(x[r]), *((weights[r].astype(np.int64).tobytes(), places[r].tobytes()) if whole else ())))
             columns = list(zip(*out))
-            kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["leaf", "n", "ids", "resident", "digests", "vectors"])
+            names = ["leaf", "n", "ids", "resident", "digests", "vectors", *(["weights", "places"] if whole else [])]
+            kinds = [pa.int32(), pa.int32(), *[pa.binary()] * (len(names) - 2)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
     near_type = "array<struct<far:bigint,key:bigint>>"
     struct = pa.struct([("far", pa.int64()), ("key", pa.int64())])
@@ -311,23 +389,33 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int,
         digests = np.concatenate([np.frombuffer(v, np.uint64) for v in table.column("digests").to_pylist()])
         x = np.concatenate([unpack(v, n) for v, n in zip(table.column("vectors").to_pylist(), sizes)])
         first = np.lexsort((ids, digests))
-        first = first[np.r_[True, digests[first][1:] != digests[first][:-1]]]
-        if len(first) < len(ids):  # copies from different batches
+        heads = np.flatnonzero(np.r_[True, digests[first][1:] != digests[first][:-1]])
+        if whole:
+            weights = np.add.reduceat(np.concatenate([np.frombuffer(v, np.int64) for v in table.column("weights").to_pylist()])[first], heads)
+            blocks = [np.frombuffer(v, np.int32).reshape(n, -1) for v, n in zip(table.column("places").to_pylist(), sizes)]
+            width = max(b.shape[1] for b in blocks)
+            places = np.concatenate([np.pad(b, ((0, 0), (0, width - b.shape[1])), constant_values=-1) for b in blocks])
+        first = first[heads]
+        pairs_ = AllPairs(table.column("leaf")[0].as_py(), weights, places[first]) if whole else None
+        if whole or len(first) < len(ids):  # copies from different batches
             x, ids, resident = x[first], ids[first], resident[first]
-        keys, near, cosines = leaf_neighbours(x, ids, resident, k, least)
+        keys, near, cosines, sums = leaf_neighbours(x, ids, resident, k, least, pairs_)
         offsets = np.cumsum([0, *map(len, near)])
         far = np.rint((1 - np.concatenate(cosines)) * 1e9).astype(np.int64) if near else np.zeros(0, np.int64)
         other = np.concatenate(near) if near else np.zeros(0, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(far), pa.array(other)], fields=list(struct)))
-        return pa.table({"key": pa.array(keys, pa.int64()), "near": lists})
+        mass, tops = zip(*sums) if sums else ((), ())
+        more = {"mass": pa.array(mass, pa.int64()), "top": pa.array(tops, pa.int64())} if whole else {}
+        return pa.table({"key": pa.array(keys, pa.int64()), "near": lists} | more)
 
     vectors = df.where(F.col(key).isNotNull() & (F.size(emb) > 0)).select(F.col(key).cast("bigint").alias("key"), F.col(emb).cast("array<float>").alias("emb"))
     blocks = vectors.mapInArrow(send, blocks_schema)
-    found = blocks.groupBy("leaf").applyInArrow(compare, f"key bigint, near {near_type}")
+    found = blocks.groupBy("leaf").applyInArrow(compare, f"key bigint, near {near_type}" + (", mass bigint, top bigint" if whole else ""))
     # a vector comes from as many leaves as it lives in or visits
-    lists = found.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"))
+    more = [F.sum("mass").alias("mass"), F.collect_set("top").alias("tops")] if whole else []
+    lists = found.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"), *more)
     once = F.filter("near", lambda n, i: (i == 0) | (n["key"] != F.get("near", i - 1)["key"]))
-    return lists.select("key", F.slice(once, 1, k).alias("near"))
+    return lists.select("key", F.slice(once, 1, k).alias("near"), *(["mass", "tops"] if whole else []))
 
 
 def copy_groups(df: DataFrame, key: str, emb: str, dim: int) -> DataFrame:

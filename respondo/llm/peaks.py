@@ -2,11 +2,12 @@
 
 Neighbour joins run blocked: vectors are placed in the leaves of a random-projection forest and compared
 inside them, so no pair of blocks meets that has nothing in common. The density of a vector is the sum of
-the cosines of its nearest neighbours; its pointer goes to the nearest denser vector among those linked with it (of equal
-densities, that of smaller key is denser). Vectors without a denser neighbour are peaks. Pointers are followed by doubling - after r
-rounds a pointer has covered 2^r steps - until each vector knows its peak. Peaks whose groups touch are
-the tops of one cluster and are joined by the same doubling over the links between peaks, so that the
-clusters do not depend on how many tops a group happens to have. Everything after the blocks works on narrow
+its cosines with all similar vectors that its leaves hold, copies included; its pointer goes to the nearest denser vector among
+its nearest neighbours and those it is one of (of equal densities, that of smaller key is denser). Vectors without a denser neighbour
+are peaks. Pointers are followed by doubling - after r rounds a pointer has covered 2^r steps - until each vector knows its peak.
+Peaks whose groups touch are the tops of one cluster and are joined by the same doubling over the links between peaks. Touching
+counts by all similar pairs: each leaf joins them to components before it cuts its lists to the nearest, so the
+clusters depend neither on how many tops a group happens to have nor on how many neighbours a list holds. Everything after the blocks works on narrow
 rows of keys, cut from their lineage each round."""
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from ..session import cut
 from .neighbours import copy_groups, fit_forest, neighbour_lists
 from .skew import join_unique
 
-#: Neighbours a vector is linked to at most in each block; copies count once.
+#: Neighbours a pointer chooses from, on each side; density and clusters come from all similar pairs.
 LINKS = 15
 
 
@@ -65,15 +66,15 @@ def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size
     smallest key of the cluster. Two vectors belong together if their cosine is at least `similar`, directly
     or through other members.
 
+    Density is the sum of the cosines with all other members of at least `similar`, each copy counted.
     Exact copies count as members of one density; null, empty, all-zero, non-finite and odd-length vectors and null keys belong
     to none. Equal densities and cosines go by smaller key. An empty table gives no rows."""
     forest, dim = fit_forest(df, key, emb)
-    lists = cut(neighbour_lists(df, key, emb, forest, dim, links, similar, **options), "cluster-lists")
+    lists = cut(neighbour_lists(df, key, emb, forest, dim, links, similar, whole=True, **options), "cluster-lists")
     copies = copy_groups(df, key, emb, dim)
     multiplicity = copies.groupBy("head").agg(F.count("*").alias("n"))
     # density in whole units, so that it is the same in whatever order it is summed
-    own = F.aggregate("near", F.lit(0).cast("bigint"), lambda s, n: s + F.lit(1_000_000_000) - n["far"])
-    density = lists.select("key", own.alias("density")).join(multiplicity, F.col("key") == F.col("head"), "full").select(
+    density = lists.select("key", F.col("mass").alias("density")).join(multiplicity, F.col("key") == F.col("head"), "full").select(
         F.coalesce("key", "head").alias("key"), (F.coalesce("density", F.lit(0)) + (F.coalesce("n", F.lit(1)) - 1) * 1_000_000_000).alias("density")
     )
     density = cut(density, "cluster-density")
@@ -85,9 +86,10 @@ def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size
     nearest = toward.groupBy("key").agg(F.min(F.struct("far", "parent")).alias("n")).select("key", F.col("n.parent").alias("parent"))
     pointers = density.join(nearest, "key", "left").select("key", F.coalesce("parent", "key").alias("parent"))
     peaks = cut(follow(pointers), "cluster-peaks")
-    # lists are short, so only a hub of very many lists could make a hot key here; the adaptive planner splits those
-    one = lists.join(peaks.withColumnRenamed("peak", "a"), "key").select("a", F.explode("near.key").alias("other"))
-    two = one.join(peaks.select(F.col("key").alias("other"), F.col("peak").alias("b")), "other")
+    # a leaf's component names its smallest key once for each member
+    leaf_links = lists.select("key", F.explode("tops").alias("other")).where("key <> other")
+    one = join_unique(leaf_links, peaks.select(F.col("key").alias("other"), F.col("peak").alias("b")), ["other"])
+    two = one.join(peaks.withColumnRenamed("peak", "a"), "key")
     touching = two.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tops = join_peaks(touching)
     placed = peaks.join(tops, "peak", "left").select("key", F.coalesce("top", "peak").alias("top"))

@@ -111,3 +111,39 @@ def test_join_with_a_hot_key(spark, monkeypatch):
     for size in ("n", None):
         joined = skew.join_unique(rows, lookup, ["k"], size)
         assert joined.count() == 6000 and joined.where("v <> k * 2").count() == 0
+
+
+def crowd(seed=7, each=20, dim=48):
+    """Two parts of near-copies, 0.7 apart, and a few exact copies: more than LINKS nearer ones inside each."""
+    rng = np.random.RandomState(seed)
+    a, b = np.linalg.qr(rng.randn(dim, 2))[0].T
+    centres = (a, 0.7 * a + np.sqrt(1 - 0.49) * b)
+    rows = [(c + 0.005 * rng.randn(dim)).astype(np.float32).tolist() for c in centres for _ in range(each)]
+    return list(enumerate(rows)) + [(100 + i, rows[1]) for i in range(5)]
+
+
+def densities(rows, least=0.6):
+    x = np.array([v for _, v in rows], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    s = x @ x.T
+    np.fill_diagonal(s, 0)
+    return {i: d for (i, _), d in zip(rows, np.where(s >= least, s, 0).sum(1))}
+
+
+def test_dense_parts_join_beyond_the_nearest(spark):
+    rows = crowd()
+    found = peaks.clusters(table(spark, rows), "vec_id", "emb").collect()
+    assert {(r.head, r.key) for r in found} == brute_clusters(rows)
+    expected = densities(rows)
+    assert all(abs(r.density - expected[r.key]) < 1e-6 for r in found)
+
+
+def test_pairs_that_meet_in_several_leaves_count_once(spark):
+    rows = make(seed=2, groups=12, each=40, alone=200)[:680] + [(900 + i, v) for i, v in crowd()]
+    x = neighbours.unit(np.array([v for _, v in rows], np.float32))
+    forest = neighbours.Forest.fit(x, len(rows), 2, 100)
+    lists = neighbours.neighbour_lists(table(spark, rows), "vec_id", "emb", forest, 48, 15, 0.6, visits=50, slack=9.0, whole=True).collect()
+    expected = densities(rows)
+    copies = {901: 5}  # those of a vector itself are not in the sum
+    assert forest.leaves > 4 and len(lists) > 500
+    assert all(abs(r.mass / 1e9 + copies.get(r.key, 0) - expected[r.key]) < 1e-6 for r in lists)
