@@ -181,7 +181,43 @@ _PERSON = re.compile(
     ),
     _I,
 )
+# Names by their shape: capital words of Latin script anywhere, kept where the shape itself or a word beside
+# it speaks of a person and none of their words is one of places, firms or ordinary speech. Texts all in
+# capitals have no shapes, so only words of talking and of staff (group 4) count there.
+_UP = "A-ZÀ-ÖØ-Þ"
+_CAPITAL = rf"[{_UP}][^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_FULL = rf"(?:{_CAPITAL},\s+{_CAPITAL}|(?:{_CAPITAL}|[{_UP}]\.)\s+(?:[{_UP}]\.\s*)?{_CAPITAL})"
+_SHAPE = re.compile(
+    "|".join(
+        [
+            rf"(?<![\w.&'’-])(?<!z\. )([{_UP}]\.\s+(?:[{_UP}]\.\s*)?{_CAPITAL})",
+            rf"(?<![\w.&'’-])([{_UP}]{{3,}}(?:[-'’][{_UP}]{{2,}})*,\s+[{_UP}][^\W\d_{_UP}]+)(?![\w,])",
+            rf"\b(?i:mr|mrs|ms|miss|dr|prof|sr|sra|señora?|doña|frau|herrn?|madame|monsieur)\b\.?\s+({_FULL})",
+            r"\b(?i:asked|told|called|phoned|e-?mailed|contacted|messaged|texted|met(?:\s+with)?|thank(?:ed)?|(?:spoke|speak|speaking|talked|talk|talking|chatted)\s+(?:to|with)"
+            r"|(?:helped|served|assisted|advised|greeted|treated|welcomed)\s+by|named|colleague|employee|clerk|cashier|manager|assistant|waiter|waitress|nurse|teacher|driver"
+            rf"|consultant|advisor|adviser|agent|technician|representative|regards,|sincerely,|my\s+name\s+is|thanks\s+to|(?:sprach|spreche|sprechen|redete|telefonierte)\s+mit|pregunté\s+a|(?:hablé|habló|hablar)\s+con|llamé\s+a)\s+({_FULL})",
+            rf"(?<![\w.&'’-])({_FULL})(?=\s+(?:who|helped|served|greeted|smiled|explained|assisted|advised)\b)",
+        ]
+    )
+)
+_NO_NAMES = frozenset(
+    "the a an i it he she we you they this that these those there here my our your his her their its and but or so if when while then as at by for from in of on to with after before since because "
+    "yes no not ok okay please thanks well what why how who where which all any some one two three also just only still even maybe perhaps usually personally overall honestly "
+    "inc ltd llc plc corp co company group gmbh ag kg bank mills store stores shop market mall center centre hotel airport station school university college hospital clinic church park hill hills street st road rd avenue ave "
+    "lane square bridge river lake city town valley beach north south east west new san santa los las el la saint customer service support team staff desk office department help center management app "
+    "monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september october november december "
+    "mr mrs ms miss dr prof frau herr herrn señor señora sr sra u.s u.k der die das ein eine und oder ich wir sie er es bei beim zum zur im in am mit von nach thema punkt stichwort sachen "
+    "el los las un una y o pero en con por para que de del al".split()
+)
+
+
+def _is_name(words: str) -> bool:
+    return not any(w.casefold() in _NO_NAMES for w in re.findall(r"[^\W\d_]+", words)) and bool(re.search(r"[^\W\d_]{3}", words))
+
+
 #: Cheap signs that a text may hold a mention at all.
+_CAPITALS = re.compile(rf"[{_UP}](?:\.|[^\W\d_]+,?)\S*\s+[{_UP}]")
+_FIRM = re.compile(r"\s+(?:Inc|Ltd|LLC|GmbH|AG|Corp|Co|Hill|Mills|Street|Road|Square)\b")
 _DIGITS = re.compile(r"\d{3}|[x*]{3}-|공일", _I)
 _PLACE = re.compile(r"\d")
 _CUE = re.compile(
@@ -227,6 +263,11 @@ def find(text: str | None) -> list[tuple[str, int, int, str]]:
     if _CUE.search(plain):
         for m in _PERSON.finditer(plain):
             take("person", *m.span(m.lastindex))
+    if _CAPITALS.search(plain):
+        for m in _SHAPE.finditer(plain):
+            a, b = m.span(m.lastindex)
+            if _is_name(plain[a:b]) and not _FIRM.match(plain, b) and (m.lastindex == 4 or not plain.replace("ß", "").isupper()):
+                take("person", a, b)
     found.sort(key=lambda x: x[1])
     return found
 

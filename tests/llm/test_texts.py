@@ -246,3 +246,16 @@ def test_model_of_nothing(spark):
     empty = spark.createDataFrame([], "analysis_id bigint, automic_sentence array<string>")
     fitted = sentences.fit_model(empty, "analysis_id", "automic_sentence")
     assert sentences.sentence_ends(fitted, "one line\nanother") == [8, 16]
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ("I asked Avna Vendrow for help with the price.", [("person", 8)]), ("I asked BRINDELL, Wrenbin for help.", [("person", 8)]), ("It was fine, W. Hexgrove even called back.", [("person", 13)]),
+        ("Ich sprach mit Sighart H. Taller über Sauberkeit.", [("person", 15)]), ("We spoke to Ms. Calna Tolwick on Friday.", [("person", 16)]), ("Later Orbin Toldell explained it.", [("person", 6)]),
+        ("I left Ostara Mills because of it.", []), ("It was sold by Pelcon Inc. today.", []), ("In Marlow Hill the first thing", []), ("I asked Customer Service for help.", []), ("Er lobte z. B. Wartezeit sehr.", []),
+        ("ICH GEBE 1.7 PUNKTE, D. H. MARKENBILD IST OKAY.", []), ("LA SRA. MONTESCLAROS RECOMENDÓ", []), ("I asked Venley for help.", []),
+    ],
+)
+def test_names_outside_fixed_phrases(text, expected):
+    assert [(kind, a) for kind, a, _, _ in personal.find(text)] == expected
