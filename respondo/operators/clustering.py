@@ -1,7 +1,7 @@
 """Candidate clusterings of every question's vectors, their scores, and the best of them.
 
 `vectors` is (grp, id, emb, truth): truth is a human label where there is one. All groups go through one
-plan; a group with fewer than five vectors gets no clustering."""
+plan; a group with fewer than five vectors gets no scaled Markov clustering and is not trained, but takes part in the ensemble."""
 
 from __future__ import annotations
 
@@ -45,14 +45,26 @@ def percentiles(vectors: DataFrame, shares: list[float] = DBSCAN_PERCENTILES) ->
 
 
 def candidates(vectors: DataFrame) -> DataFrame:
-    """(grp, method, method_ord, param_ord, id, label) of all methods on groups that are large enough."""
-    vectors = cut(large_enough(vectors).select("grp", "id", "emb"), "vectors")
+    """(grp, method, method_ord, param_ord, id, label) of all methods. Scaled Markov clustering takes groups of five
+    or more; in smaller ones a candidate needs a cluster, and those without any get `fallback_kmeans`."""
+    vectors = cut(vectors.select("grp", "id", "emb"), "vectors")
     tag = lambda df, method, order, param: df.select("grp", F.lit(method).alias("method"), F.lit(order).alias("method_ord"), param.alias("param_ord"), "id", "label")
     radii = cut(percentiles(vectors), "radii")
-    parts = [tag(scaled_mcl(vectors), "knn_csls_mcl", 0, F.lit(0)), tag(plain_mcl(vectors), "mcl", 1, F.lit(0)), tag(graph.kmeans(vectors, MAX_K, MIN_CLUSTER_SHARE), "kmeans", 2, F.col("k"))]
+    parts = [tag(scaled_mcl(cut(large_enough(vectors), "vectors")), "knn_csls_mcl", 0, F.lit(0)), tag(plain_mcl(vectors), "mcl", 1, F.lit(0)), tag(graph.kmeans(vectors, MAX_K, MIN_CLUSTER_SHARE), "kmeans", 2, F.col("k"))]
     for i, least in enumerate(DBSCAN_MIN_SAMPLES):
         parts.append(tag(graph.dbscan(vectors, radii, least), "dbscan", 3, F.col("eps_ord") * len(DBSCAN_MIN_SAMPLES) + i))
-    return reduce(DataFrame.unionByName, parts)
+    found = cut(reduce(DataFrame.unionByName, parts), "candidates")
+    sizes = vectors.groupBy("grp").agg(F.count("*").alias("_n"))
+    small = sizes.where(F.col("_n") < MIN_SAMPLES).select("grp")
+    useful = found.where("label >= 0").select("grp", "method", "param_ord").distinct()
+    kept = found.join(small, "grp", "left_anti").unionByName(found.join(small, "grp", "left_semi").join(useful, ["grp", "method", "param_ord"], "left_semi"))
+    return kept.unionByName(tag(_fallback(vectors.join(kept.select("grp").distinct(), "grp", "left_anti")), "fallback_kmeans", 4, F.lit(3)))
+
+
+def _fallback(vectors: DataFrame, k: int = 3) -> DataFrame:
+    """(grp, id, label) by K-means with k clusters, no cluster too small. Groups come here with at most three vectors, as
+    limited K-means finds a cluster among four: each vector is its own centre."""
+    return vectors.select("grp", "id", F.least(F.row_number().over(Window.partitionBy("grp").orderBy("id")), F.lit(k)).cast("int").alias("label")).withColumn("label", F.col("label") - 1)
 
 
 def synthetic_truth(vectors: DataFrame, k: int = 3) -> DataFrame:
@@ -101,6 +113,11 @@ def manual_train(vectors: DataFrame, inflation: float = INFLATION, k: int = NEIG
     return scaled_mcl(large_enough(vectors), k, inflation, iterations)
 
 
+def trained(vectors: DataFrame, **parameters) -> DataFrame:
+    """As `manual_train`, with the vectors of smaller groups as -1."""
+    return _completed(vectors, manual_train(vectors, **parameters))
+
+
 def refine(labels: DataFrame, normalised: str) -> DataFrame:
     """(grp, id, label, refined): clusters whose normalised representatives are equal share the smallest label."""
     merged = labels.groupBy("grp", normalised).agg(F.min("label").alias("refined"))

@@ -75,7 +75,7 @@ def run(spark: SparkSession, survey: str, responses: str, size: int = providers.
     sentences = results.select("qid", "respondent_key", F.posexplode("analysis.automic_sentence").alias("slot", "text"))
     vectors = cut(providers.encode(words.unionByName(sentences), "text", size).where(F.size("emb") > 0), "encoded")
     points = vectors.select(F.col("qid").alias("grp"), F.xxhash64("respondent_key", "slot").alias("id"), F.col("emb").cast("array<double>").alias("emb"))
-    clusters = clustering.manual_train(points)
+    clusters = clustering.trained(cut(points, "points"))
     status = matched.join(answers.groupBy(F.col("qid").alias("open_question_number")).agg(F.count("*").alias("rows_count")), "open_question_number", "left").select(
         "open_question_number", "branch", F.coalesce("rows_count", F.lit(0)).alias("rows_count"), F.lit("completed").alias("status")
     )

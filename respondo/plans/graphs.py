@@ -124,7 +124,7 @@ def q_estimate(t):
 
 @catalogue.add()
 def q_manual_train(t):
-    return clustering.manual_train(cut(vectors(t), "vectors"), inflation=1.8, k=10)
+    return clustering.trained(cut(vectors(t), "vectors"), inflation=1.8, k=10)
 
 
 @catalogue.add("select vec_id, round(list_dot_product(embedding::double[], embedding::double[]), 6) as squared, len(embedding) as dim from embeddings where embedding is not null")

@@ -143,3 +143,15 @@ def test_ensemble_finds_the_groups(spark):
 def test_groups_below_five_have_no_clustering(spark):
     df = spark.createDataFrame(points(centres=1, each=4), "grp string, id bigint, emb array<double>, truth string")
     assert clustering.manual_train(df).count() == 0
+
+
+def test_groups_below_five_take_part_in_the_ensemble(spark):
+    rows = [("four", i, [1.0, 0.01 * i] if i < 2 else [0.01 * i, 1.0], str(i // 2)) for i in range(4)]
+    rows += [("two", i, [1.0, 0.1 * i], "0") for i in range(2)] + [("one", 0, [1.0, 0.0], "0")]
+    df = spark.createDataFrame(rows + points(centres=2, each=4, dim=2), "grp string, id bigint, emb array<double>, truth string")
+    labels, winners = clustering.ensemble(df, df.select("grp", "id", "truth"))
+    methods = {r.grp: r.method for r in winners.collect()}
+    assert set(methods) == {"four", "two", "one", "a"} and methods["one"] == "fallback_kmeans"
+    assert labels.count() == len(rows) + 8
+    assert {r.label for r in labels.where("grp = 'one'").collect()} == {0}
+    assert {(r.grp, r.label) for r in clustering.trained(df).where("grp <> 'a'").collect()} == {("four", -1), ("two", -1), ("one", -1)}
