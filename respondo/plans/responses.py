@@ -17,11 +17,15 @@ _WIDE = f"""wide as (select survey_id, respondent_key, {", ".join(f"max(correcte
 from ({_RANKED}) group by survey_id, respondent_key)"""
 
 
-def wide(t):
-    """One row per respondent with its first answers as columns."""
+def ranked(t):
+    """Every record with its place among those of its respondent, from 1."""
     slot = F.row_number().over(Window.partitionBy("survey_id", "respondent_key").orderBy("record_id"))
-    ranked = t("grammar_records").select("survey_id", "respondent_key", "record_id", "corrected").withColumn("slot", slot)
-    return ranked.groupBy("survey_id", "respondent_key").agg(*[F.max(F.when(F.col("slot") == i + 1, F.col("corrected"))).alias(s) for i, s in enumerate(SLOTS)])
+    return t("grammar_records").select("survey_id", "respondent_key", "record_id", "corrected").withColumn("slot", slot)
+
+
+def wide(t, slots=SLOTS):
+    """One row per respondent with its first answers as columns."""
+    return ranked(t).groupBy("survey_id", "respondent_key").agg(*[F.max(F.when(F.col("slot") == i + 1, F.col("corrected"))).alias(s) for i, s in enumerate(slots)])
 
 
 @catalogue.add(f"with {_WIDE} select * from wide")
@@ -46,6 +50,34 @@ def q_merged_columns(t):
     return wide(t).select("survey_id", "respondent_key", merged_text(*map(F.col, SLOTS)).alias("merged"))
 
 
+# The four above answer their SQL, which has four slots. The next take every record of a respondent; all but the
+# wide table stay long, so no number of records is too large for them.
+
+
+@catalogue.add()
+def q_wide_responses_all(t):
+    most = ranked(t).agg(F.max("slot")).first()[0] or 0  # one number
+    return wide(t, [f"answer_{i + 1}" for i in range(max(most, len(SLOTS)))])
+
+
+@catalogue.add(f"""select * from (select survey_id, respondent_key, 'answer_' || slot as "column", {stripped("corrected")} as "text" from ({_RANKED})) where "text" not in {FILLERS}""")
+def q_unpivot_cells_all(t):
+    cells = ranked(t).where(has_value(F.col("corrected")))
+    return cells.select("survey_id", "respondent_key", F.concat(F.lit("answer_"), F.col("slot").cast("string")).alias("column"), strip(F.col("corrected")).alias("text"))
+
+
+@catalogue.add(f"select survey_id, respondent_key, nullif({stripped('arg_min(corrected, slot) filter (corrected is not null)')}, '') as first_text from ({_RANKED}) group by survey_id, respondent_key")
+def q_first_nonnull_text_all(t):
+    first = F.min(F.when(F.col("corrected").isNotNull(), F.struct("slot", "corrected")))["corrected"]
+    return ranked(t).groupBy("survey_id", "respondent_key").agg(first.alias("first")).select("survey_id", "respondent_key", first_text(F.col("first")).alias("first_text"))
+
+
+@catalogue.add(f"select survey_id, respondent_key, string_agg(coalesce(corrected, ''), ' ' order by slot) as merged from ({_RANKED}) group by survey_id, respondent_key")
+def q_merged_columns_all(t):
+    texts = F.array_sort(F.collect_list(F.struct("slot", F.coalesce("corrected", F.lit("")).alias("text"))))
+    return ranked(t).groupBy("survey_id", "respondent_key").agg(F.array_join(texts["text"], " ").alias("merged"))
+
+
 @catalogue.add("select doc_id, row_number() over (order by created_at, doc_id) - 1 as id from documents where created_at is not null")
 def q_row_ordinal(t):
     return ops.ordinals(t("documents").where("created_at is not null").select("doc_id", "created_at"), ["created_at", "doc_id"]).select("doc_id", "id")
