@@ -50,7 +50,7 @@ def candidates(vectors: DataFrame) -> DataFrame:
     vectors = cut(vectors.select("grp", "id", "emb"), "vectors")
     tag = lambda df, method, order, param: df.select("grp", F.lit(method).alias("method"), F.lit(order).alias("method_ord"), param.alias("param_ord"), "id", "label")
     radii = cut(percentiles(vectors), "radii")
-    parts = [tag(scaled_mcl(cut(large_enough(vectors), "vectors")), "knn_csls_mcl", 0, F.lit(0)), tag(plain_mcl(vectors), "mcl", 1, F.lit(0)), tag(graph.kmeans(vectors, MAX_K, MIN_CLUSTER_SHARE), "kmeans", 2, F.col("k"))]
+    parts = [tag(scaled_mcl(large_enough(vectors)), "knn_csls_mcl", 0, F.lit(0)), tag(plain_mcl(vectors), "mcl", 1, F.lit(0)), tag(graph.kmeans(vectors, MAX_K, MIN_CLUSTER_SHARE), "kmeans", 2, F.col("k"))]
     for i, least in enumerate(DBSCAN_MIN_SAMPLES):
         parts.append(tag(graph.dbscan(vectors, radii, least), "dbscan", 3, F.col("eps_ord") * len(DBSCAN_MIN_SAMPLES) + i))
     found = cut(reduce(DataFrame.unionByName, parts), "candidates")
