@@ -105,14 +105,14 @@ CUES = {
 
 def question_type(c: Column) -> Column:
     """The type of a question text by its cues; where several apply, the earlier in the order of types wins.
-    Compound types need both of their cues."""
+    Compound types need both of their cues; an open question without any cue is about a concept."""
     has = {name: c.rlike(pattern) for name, pattern in CUES.items()}
     has["etc_pos_neg"] = has["etc"] & has["pos_neg"]
     has["depend_pos_neg"] = has["depend"] & has["pos_neg"]
     out = None
     for name in TYPE_ORDER:
         out = F.when(has[name], name) if out is None else out.when(has[name], name)
-    return out.otherwise("etc")
+    return out.otherwise("concept")
 
 
 def project_name(c: Column) -> Column:

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,21 +27,24 @@ def _completed(vectors: DataFrame, labels: DataFrame, alone: int = -1) -> DataFr
     return vectors.select("grp", "id").join(labels, ["grp", "id"], "left").select("grp", "id", F.coalesce("label", F.lit(alone)).alias("label"))
 
 
-def scaled_mcl(vectors: DataFrame, k: int = NEIGHBOURS, inflation: float = INFLATION, iterations: int = MCL_ITERATIONS) -> DataFrame:
-    """(grp, id, label) by neighbours, local scaling and Markov clustering; nodes without an edge are -1."""
-    edges = graph.symmetric(graph.csls(cut(graph.knn(vectors, k), "knn")), "max")
+def scaled_mcl(vectors: DataFrame, k: int = NEIGHBOURS, inflation: float = INFLATION, iterations: int = MCL_ITERATIONS, near: DataFrame | None = None) -> DataFrame:
+    """(grp, id, label) by neighbours, local scaling and Markov clustering; nodes without an edge are -1. `near` are
+    neighbour lists of at least k that are there already."""
+    near = cut(graph.knn(vectors, k), "knn") if near is None else near.where(F.col("rank") <= k)
+    edges = graph.symmetric(graph.csls(near), "max")
     return _completed(vectors, graph.mcl_by_group(edges, inflation, iterations))
 
 
-def plain_mcl(vectors: DataFrame, k: int = NEIGHBOURS, inflation: float = INFLATION, iterations: int = MCL_ITERATIONS) -> DataFrame:
+def plain_mcl(vectors: DataFrame, k: int = NEIGHBOURS, inflation: float = INFLATION, iterations: int = MCL_ITERATIONS, near: DataFrame | None = None) -> DataFrame:
     """(grp, id, label) by neighbours, mean weights above their median and Markov clustering."""
-    mean = graph.symmetric(graph.knn(vectors, k).withColumnRenamed("sim", "w"), "mean")
+    near = graph.knn(vectors, k) if near is None else near.where(F.col("rank") <= k)
+    mean = graph.symmetric(near.withColumnRenamed("sim", "w"), "mean")
     return _completed(vectors, graph.mcl_by_group(graph.median_cut(mean).where("w > 0"), inflation, iterations))
 
 
-def percentiles(vectors: DataFrame, shares: list[float] = DBSCAN_PERCENTILES) -> DataFrame:
+def percentiles(vectors: DataFrame, shares: list[float] = DBSCAN_PERCENTILES, near: DataFrame | None = None) -> DataFrame:
     """(grp, eps_ord, eps): percentiles of the distance to the nearest neighbour."""
-    nearest = graph.knn(vectors, 1).select("grp", (1 - F.col("sim")).alias("far"))
+    nearest = (graph.knn(vectors, 1) if near is None else near.where("rank = 1")).select("grp", (1 - F.col("sim")).alias("far"))
     found = nearest.groupBy("grp").agg(F.percentile("far", F.array(*map(F.lit, shares))).alias("p"))
     return found.select("grp", F.posexplode("p").alias("eps_ord", "eps"))
 
@@ -49,10 +54,15 @@ def candidates(vectors: DataFrame) -> DataFrame:
     or more; in smaller ones a candidate needs a cluster, and those without any get `fallback_kmeans`."""
     vectors = cut(vectors.select("grp", "id", "emb"), "vectors")
     tag = lambda df, method, order, param: df.select("grp", F.lit(method).alias("method"), F.lit(order).alias("method_ord"), param.alias("param_ord"), "id", "label")
-    radii = cut(percentiles(vectors), "radii")
-    parts = [tag(scaled_mcl(large_enough(vectors)), "knn_csls_mcl", 0, F.lit(0)), tag(plain_mcl(vectors), "mcl", 1, F.lit(0)), tag(graph.kmeans(vectors, MAX_K, MIN_CLUSTER_SHARE), "kmeans", 2, F.col("k"))]
-    for i, least in enumerate(DBSCAN_MIN_SAMPLES):
-        parts.append(tag(graph.dbscan(vectors, radii, least), "dbscan", 3, F.col("eps_ord") * len(DBSCAN_MIN_SAMPLES) + i))
+    near = cut(graph.knn(vectors, NEIGHBOURS), "knn")  # once for all methods
+    parts = [
+        tag(scaled_mcl(large_enough(vectors), near=near.join(large_enough(vectors).select("grp").distinct(), "grp", "left_semi")), "knn_csls_mcl", 0, F.lit(0)),
+        tag(plain_mcl(vectors, near=near), "mcl", 1, F.lit(0)),
+        tag(graph.kmeans(vectors, MAX_K, MIN_CLUSTER_SHARE), "kmeans", 2, F.col("k")),
+    ]
+    order = reduce(lambda c, i: c.when(F.col("least") == DBSCAN_MIN_SAMPLES[i], i), range(len(DBSCAN_MIN_SAMPLES)), F.when(F.lit(False), -1))
+    grid = graph.dbscan_grid(vectors, percentiles(vectors, near=near), DBSCAN_MIN_SAMPLES)
+    parts.append(tag(grid, "dbscan", 3, F.col("eps_ord") * len(DBSCAN_MIN_SAMPLES) + order))
     found = cut(reduce(DataFrame.unionByName, parts), "candidates")
     sizes = vectors.groupBy("grp").agg(F.count("*").alias("_n"))
     small = sizes.where(F.col("_n") < MIN_SAMPLES).select("grp")
@@ -67,9 +77,36 @@ def _fallback(vectors: DataFrame, k: int = 3) -> DataFrame:
     return vectors.select("grp", "id", F.least(F.row_number().over(Window.partitionBy("grp").orderBy("id")), F.lit(k)).cast("int").alias("label")).withColumn("label", F.col("label") - 1)
 
 
-def synthetic_truth(vectors: DataFrame, k: int = 3) -> DataFrame:
-    """(grp, id, truth) by K-means, for groups without human labels."""
-    return graph.kmeans(vectors.select("grp", "id", "emb"), k, 0.0).where(F.col("k") == k).select("grp", "id", F.col("label").cast("string").alias("truth"))
+def synthetic_truth(vectors: DataFrame, method: str = "consensus") -> DataFrame:
+    """(grp, id, truth) for groups without human labels. `consensus` is K-means with three clusters; `kmeans` takes
+    three to five, as many as leave ten vectors each and one group of ten over; `hierarchical` merges by Ward's criterion down to three
+    to five, one for twenty vectors. Groups above `graph.DENSE` are cut by K-means of the same number instead of being
+    merged. Any other method is a ValueError; a group smaller than the number of clusters has no truth."""
+    vectors = vectors.select("grp", "id", "emb")
+    sizes = vectors.groupBy("grp").agg(F.count("*").alias("n"))
+    of = lambda share: F.least(F.lit(5), F.greatest(F.lit(3), share)).cast("int").alias("k")
+    wanted = {"consensus": F.lit(3).alias("k"), "kmeans": of(F.floor(F.col("n") / 10) - 1), "hierarchical": of(F.floor(F.col("n") / 20))}
+    if method not in wanted:
+        raise ValueError(f"unknown method {method}")
+    number = sizes.select("grp", "n", wanted[method])
+    if method != "hierarchical":
+        return _cut_by_kmeans(vectors, number)
+    small = vectors.join(number.where(F.col("n") <= graph.DENSE).select("grp", "k"), "grp")
+    kind = dict(vectors.dtypes)
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id", kind="stable")
+        labels = graph.ward(np.stack(pdf["emb"].to_numpy()), int(pdf["k"].iloc[0])) if len(pdf) >= pdf["k"].iloc[0] else None
+        return pd.DataFrame({"grp": pdf["grp"].to_numpy(), "id": pdf["id"].to_numpy(), "truth": labels.astype(str)} if labels is not None else {"grp": [], "id": [], "truth": []})
+
+    merged = small.groupBy("grp").applyInPandas(merge, f"grp {kind['grp']}, id {kind['id']}, truth string")
+    large = number.where(F.col("n") > graph.DENSE)
+    return merged.unionByName(_cut_by_kmeans(vectors.join(large.select("grp"), "grp", "left_semi"), large))
+
+
+def _cut_by_kmeans(vectors: DataFrame, number: DataFrame) -> DataFrame:
+    found = graph.kmeans(vectors, 5, 0.0).join(number.select("grp", "k"), ["grp", "k"])
+    return found.select("grp", "id", F.col("label").cast("string").alias("truth"))
 
 
 def scored(found: DataFrame, truth: DataFrame) -> DataFrame:
@@ -102,9 +139,15 @@ def estimate(vectors: DataFrame, truth: DataFrame) -> DataFrame:
 def auto_train(vectors: DataFrame, truth: DataFrame, inflations: tuple[float, ...] = (1.5, 2.0, 3.0), ks: tuple[int, ...] = (5, 10, 15)) -> DataFrame:
     """The best of a grid of inflations and neighbour numbers for each group."""
     vectors = cut(large_enough(vectors).select("grp", "id", "emb"), "vectors")
+    near = cut(graph.knn(vectors, max(ks)), "knn")  # once for all numbers of neighbours
+    edges = reduce(DataFrame.unionByName, [graph.symmetric(graph.csls(near.where(F.col("rank") <= k)), "max").withColumn("grp", F.struct("grp", F.lit(i).alias("k_ord"))) for i, k in enumerate(ks)])
+    edges = cut(edges, "train-edges")
     parts = []
-    for i, (inflation, k) in enumerate([(a, b) for a in inflations for b in ks]):
-        parts.append(scaled_mcl(vectors, k, inflation).select("grp", F.lit(f"inflation {inflation}, k {k}").alias("method"), F.lit(0).alias("method_ord"), F.lit(i).alias("param_ord"), "id", "label"))
+    for i, inflation in enumerate(inflations):  # the numbers of neighbours are groups of one run
+        found = graph.mcl_by_group(edges, inflation).select("grp.grp", "grp.k_ord", "id", "label")
+        for j, k in enumerate(ks):
+            labels = _completed(vectors, found.where(F.col("k_ord") == j).select("grp", "id", "label"))
+            parts.append(labels.select("grp", F.lit(f"inflation {inflation}, k {k}").alias("method"), F.lit(0).alias("method_ord"), F.lit(i * len(ks) + j).alias("param_ord"), "id", "label"))
     return best(scored(reduce(DataFrame.unionByName, parts), truth))
 
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import KEY_COLUMNS, NOT_ANSWERS, OPEN_SKIP_ROWS, STRING_RATIO
 from ..functions.text import cleaned_number, null_tokens
+from ..session import cut
 
 
 def flat_names(levels: list[tuple[str, ...]]) -> list[str]:
@@ -86,14 +85,20 @@ def unpivoted(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return df.unpivot(keys, columns, "column", "text")
 
 
-def ordinals(df: DataFrame, order: list[str], name: str = "id", size: int = 1 << 20) -> DataFrame:
+def ordinals(df: DataFrame, order: list[str], name: str = "id") -> DataFrame:
     """The 0-based position of each row in the given order, without moving all rows to one task: rows are
-    ranged into partitions, counted, and numbered from their partition's offset."""
-    placed = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    counts = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}  # a number a partition
-    offsets, total = {}, 0
-    for part in sorted(counts):
-        offsets[part], total = total, total + counts[part]
-    start = reduce(lambda acc, p: acc.when(F.col("_part") == p, F.lit(offsets[p]).cast("bigint")), sorted(offsets), F.when(F.lit(False), F.lit(0).cast("bigint")))
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return placed.withColumn(name, (start + within).cast("bigint")).drop("_part")
+    ranged into partitions, numbered there and written, so that what is counted is what is numbered; then each
+    row's number is its place in its partition and that partition's offset.
+
+    Rows of equal order keys get neighbouring numbers in any order; nulls come first; an empty table stays empty."""
+    placed = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    placed = cut(placed.withColumn("_place", F.monotonically_increasing_id()), "ordinals")
+    part, place = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    counts = sorted((r["p"], r["n"]) for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())  # a row a partition
+    offsets, total = [], 0
+    for p, n in counts:
+        offsets.append((p, total))
+        total += n
+    starts = df.sparkSession.createDataFrame(offsets, "_part bigint, _start bigint")
+    numbered = placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return numbered.withColumn(name, F.col("_start") + place).drop("_part", "_start", "_place")

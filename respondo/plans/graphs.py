@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..constants import MAX_K, MIN_CLUSTER_SHARE
 from ..functions.vectors import norm, unit
 from ..operators import clustering, graph
 from ..operators.evaluation import cluster_sizes, drop_small
@@ -12,7 +13,7 @@ from .base import Catalogue
 
 catalogue = Catalogue()
 _V = """v as (select survey_id || '/' || open_question_number as grp, vec_id as id, emb::double[] as emb from answer_vectors
-where len(emb) = 384 and list_max(emb) <> list_min(emb) and survey_id is not null and open_question_number is not null)"""
+where len(emb) = 384 and (list_max(emb) <> 0 or list_min(emb) <> 0) and survey_id is not null and open_question_number is not null)"""
 _KNN = f"""{_V}, s as (select a.grp, a.id as src, b.id as dst, list_cosine_similarity(a.emb, b.emb) as sim from v a join v b on a.grp = b.grp and a.id <> b.id),
 knn as (select * from (select *, row_number() over (partition by grp, src order by round(sim, 12) desc, dst) as rank from s) where rank <= 15)"""
 _MEAN = f"{_KNN}, mean as (select grp, src as id, avg(sim) as mean_sim from knn group by 1, 2)"
@@ -61,10 +62,10 @@ def q_edges_sym_mean(t):
     return _rounded(graph.symmetric(graph.knn(vectors(t)).withColumnRenamed("sim", "w"), "mean"), "w")
 
 
-@catalogue.add(f"with {_MEAN_SYM}, m as (select grp, quantile_cont(w, 0.5) as median from sym where w > 0 group by grp) select grp, count(*) as n, round(sum(w), 4) as total from sym join m using (grp) where w >= median - 1e-12 group by grp")
+@catalogue.add(f"with {_MEAN_SYM}, m as (select grp, quantile_cont(w, 0.5) as median from sym where w > 0 group by grp) select grp, lo, hi, round(w, 6) as w from sym join m using (grp) where w >= median - 1e-12")
 def q_edge_median_cut(t):
     kept = graph.median_cut(graph.symmetric(graph.knn(vectors(t)).withColumnRenamed("sim", "w"), "mean"))
-    return kept.groupBy("grp").agg(F.count("*").alias("n"), F.round(F.sum("w"), 4).alias("total"))
+    return _rounded(kept.select("grp", "lo", "hi", "w"), "w")
 
 
 @catalogue.add(f"""with {_KNN}, near as (select grp, 1 - sim as far from knn where rank = 1)
@@ -79,9 +80,7 @@ select grp, id from s where n >= 5""")
 def q_dbscan_core(t):
     v = vectors(t)
     radii = v.select("grp").distinct().select("grp", F.lit(0).alias("eps_ord"), F.lit(0.3).alias("eps"))
-    close = graph.within(v, radii)
-    reach = close.select("grp", F.col("lo").alias("id")).unionByName(close.select("grp", F.col("hi").alias("id"))).groupBy("grp", "id").count()
-    return reach.where(F.col("count") + 1 >= 5).select("grp", "id")
+    return graph.reach(v, radii).where(F.col("n") + 1 >= 5).select("grp", "id")
 
 
 @catalogue.add(f"""with recursive {_V}, e as (select a.grp, a.id as x, b.id as y from v a join v b on a.grp = b.grp and a.id <> b.id where 1 - list_cosine_similarity(a.emb, b.emb) <= 0.3),
@@ -108,7 +107,7 @@ def q_mcl_backup_labels(t):
 
 @catalogue.add()
 def q_kmeans_limited(t):
-    return graph.kmeans(cut(clustering.large_enough(vectors(t)), "vectors"), 4, 0.03)
+    return graph.kmeans(cut(clustering.large_enough(vectors(t)), "vectors"), MAX_K, MIN_CLUSTER_SHARE)
 
 
 @catalogue.add()
@@ -183,4 +182,4 @@ def q_classified_answers(t):
 
 @catalogue.add()
 def q_auto_train(t):
-    return clustering.auto_train(cut(vectors(t), "vectors"), truth(t), (2.0,), (5, 15)).select("grp", "method", "score", "grade")
+    return clustering.auto_train(cut(vectors(t), "vectors"), truth(t)).select("grp", "method", "score", "grade")

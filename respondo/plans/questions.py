@@ -112,7 +112,7 @@ _CUE = {
 
 @catalogue.add(f"""with c as (select question_key, {", ".join(f"regexp_matches(coalesce(question_text, ''), '{p}') as {n}_" for n, p in _CUE.items())} from survey_questions)
 select question_key, case when etc_ and pos_neg_ then 'etc_pos_neg' when depend_ and pos_neg_ then 'depend_pos_neg' when etc_ then 'etc' when depend_ then 'depend'
-  when img_ then 'img' when pos_neg_ then 'pos_neg' when concept_ then 'concept' else 'etc' end as rule_type from c""")
+  when img_ then 'img' when pos_neg_ then 'pos_neg' else 'concept' end as rule_type from c""")
 def q_type_precedence(t):
     return t("survey_questions").select("question_key", question_type(F.coalesce("question_text", F.lit(""))).alias("rule_type"))
 
@@ -156,8 +156,8 @@ def q_missing_fields(t):
     return t("survey_questions").select("question_key", filled_fields(_FIELDS).alias("n_filled"), F.array_join(missing_fields(_FIELDS), ",").alias("missing"))
 
 
-@catalogue.add("""select r_name as header, n_name as name from (select n_nationkey, n_name, n_regionkey from nation) left join region on n_regionkey = r_regionkey and n_nationkey % 2 = 0""")
+@catalogue.add("""select r_name as header, n_name as name from (select n_nationkey, n_name, n_regionkey from nation) left join region on n_regionkey = r_regionkey""")
 def q_header_labels(t):
     names = t("nation").select(F.col("n_nationkey").alias("ordinal"), F.col("n_name").alias("name"))
-    cells = t("nation").where("n_nationkey % 2 = 0").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("header"), F.col("n_name").alias("value"))
+    cells = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("header"), F.col("n_name").alias("value"))
     return ops.header_labels(cells, names).select(F.col("label").alias("header"), "name")

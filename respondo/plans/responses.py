@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.text import cleaned_number, first_text, has_value, merged_text, null_tokens, number_text, project_name, strip
+from ..functions.text import cleaned_number, first_text, has_value, null_tokens, number_text, project_name, strip
 from ..operators import columns as ops
 from ..providers import encode
+from ..session import cut
 from .base import FILLERS, TOKENS, Catalogue, stripped
 
 catalogue = Catalogue()
-SLOTS = ["answer_1", "answer_2", "answer_3", "answer_4"]
 _RANKED = "select survey_id, respondent_key, corrected, row_number() over (partition by survey_id, respondent_key order by record_id) as slot from grammar_records"
-_WIDE = f"""wide as (select survey_id, respondent_key, {", ".join(f"max(corrected) filter (slot = {i + 1}) as {s}" for i, s in enumerate(SLOTS))}
-from ({_RANKED}) group by survey_id, respondent_key)"""
 
 
 def ranked(t):
@@ -23,57 +21,30 @@ def ranked(t):
     return t("grammar_records").select("survey_id", "respondent_key", "record_id", "corrected").withColumn("slot", slot)
 
 
-def wide(t, slots=SLOTS):
-    """One row per respondent with its first answers as columns."""
-    return ranked(t).groupBy("survey_id", "respondent_key").agg(*[F.max(F.when(F.col("slot") == i + 1, F.col("corrected"))).alias(s) for i, s in enumerate(slots)])
-
-
-@catalogue.add(f"with {_WIDE} select * from wide")
+@catalogue.add(f"pivot ({_RANKED}) on ('answer_' || slot) using max(corrected) group by survey_id, respondent_key")
 def q_wide_responses(t):
-    return wide(t)
-
-
-@catalogue.add(f"""with {_WIDE}, cells as (unpivot wide on {", ".join(SLOTS)} into name "column" value "raw")
-select * from (select survey_id, respondent_key, "column", {stripped("raw")} as "text" from cells) where "text" not in {FILLERS}""")
-def q_unpivot_cells(t):
-    cells = ops.unpivoted(wide(t), ["survey_id", "respondent_key"], SLOTS).where(has_value(F.col("text")))
-    return cells.withColumn("text", strip(F.col("text")))
-
-
-@catalogue.add(f"with {_WIDE} select survey_id, respondent_key, nullif({stripped('coalesce(' + ', '.join(SLOTS) + ')')}, '') as first_text from wide")
-def q_first_nonnull_text(t):
-    return wide(t).select("survey_id", "respondent_key", first_text(*map(F.col, SLOTS)).alias("first_text"))
-
-
-@catalogue.add(f"with {_WIDE} select survey_id, respondent_key, {' || chr(32) || '.join(f'coalesce({s}, chr(0)[:0])' for s in SLOTS)} as merged from wide".replace("chr(0)[:0]", "''"))
-def q_merged_columns(t):
-    return wide(t).select("survey_id", "respondent_key", merged_text(*map(F.col, SLOTS)).alias("merged"))
-
-
-# The four above answer their SQL, which has four slots. The next take every record of a respondent; all but the
-# wide table stay long, so no number of records is too large for them.
-
-
-@catalogue.add()
-def q_wide_responses_all(t):
-    most = ranked(t).agg(F.max("slot")).first()[0] or 0  # one number
-    return wide(t, [f"answer_{i + 1}" for i in range(max(most, len(SLOTS)))])
+    """One row per respondent, a column for each of its answers: as many as the busiest respondent has."""
+    slots = cut(ranked(t), "slots")
+    most = slots.agg(F.max("slot")).first()[0] or 0  # one number
+    columns = [F.max(F.when(F.col("slot") == i + 1, F.col("corrected"))).alias(f"answer_{i + 1}") for i in range(most)]
+    keys = ["survey_id", "respondent_key"]
+    return slots.groupBy(*keys).agg(*columns) if columns else slots.select(*keys)
 
 
 @catalogue.add(f"""select * from (select survey_id, respondent_key, 'answer_' || slot as "column", {stripped("corrected")} as "text" from ({_RANKED})) where "text" not in {FILLERS}""")
-def q_unpivot_cells_all(t):
+def q_unpivot_cells(t):
     cells = ranked(t).where(has_value(F.col("corrected")))
     return cells.select("survey_id", "respondent_key", F.concat(F.lit("answer_"), F.col("slot").cast("string")).alias("column"), strip(F.col("corrected")).alias("text"))
 
 
 @catalogue.add(f"select survey_id, respondent_key, nullif({stripped('arg_min(corrected, slot) filter (corrected is not null)')}, '') as first_text from ({_RANKED}) group by survey_id, respondent_key")
-def q_first_nonnull_text_all(t):
+def q_first_nonnull_text(t):
     first = F.min(F.when(F.col("corrected").isNotNull(), F.struct("slot", "corrected")))["corrected"]
     return ranked(t).groupBy("survey_id", "respondent_key").agg(first.alias("first")).select("survey_id", "respondent_key", first_text(F.col("first")).alias("first_text"))
 
 
 @catalogue.add(f"select survey_id, respondent_key, string_agg(coalesce(corrected, ''), ' ' order by slot) as merged from ({_RANKED}) group by survey_id, respondent_key")
-def q_merged_columns_all(t):
+def q_merged_columns(t):
     texts = F.array_sort(F.collect_list(F.struct("slot", F.coalesce("corrected", F.lit("")).alias("text"))))
     return ranked(t).groupBy("survey_id", "respondent_key").agg(F.array_join(texts["text"], " ").alias("merged"))
 

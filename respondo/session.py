@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -55,14 +57,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the session's `spark.checkpoint.dir`, or, only where that is
-    unset (tests, one machine), a temporary folder of our own."""
+    """The folder all executors share: the session's `spark.checkpoint.dir`, or, where that is unset and
+    everything runs on this machine, a temporary folder of our own. On a cluster without that setting there is no
+    such folder, and a RuntimeError says so."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
     own = getattr(spark, "_respondo_shared", None)
     if own is None:
-        own = spark._respondo_shared = "file://" + tempfile.mkdtemp(prefix="respondo-")
+        folder = tempfile.mkdtemp(prefix="respondo-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        own = spark._respondo_shared = f"file://{folder}"
     return own
 
 

@@ -155,3 +155,59 @@ def test_groups_below_five_take_part_in_the_ensemble(spark):
     assert labels.count() == len(rows) + 8
     assert {r.label for r in labels.where("grp = 'one'").collect()} == {0}
     assert {(r.grp, r.label) for r in clustering.trained(df).where("grp <> 'a'").collect()} == {("four", -1), ("two", -1), ("one", -1)}
+
+
+def test_row_ordinals_are_a_permutation_over_many_partitions(spark):
+    from respondo.operators.columns import ordinals
+
+    df = spark.range(2_200_000).select(F.xxhash64("id").alias("h"), "id")
+    numbered = ordinals(df, ["h"], "n")
+    row = numbered.agg(F.count("*").alias("rows"), F.count_distinct("n").alias("distinct"), F.min("n").alias("lo"), F.max("n").alias("hi")).collect()[0]
+    assert tuple(row) == (2_200_000, 2_200_000, 0, 2_199_999)
+    first = [r.h for r in numbered.orderBy("n").limit(50).collect()]
+    assert first == sorted(first) and first == [r.h for r in df.orderBy("h").limit(50).collect()]
+
+
+def test_row_ordinals_of_nothing_and_of_ties(spark):
+    from respondo.operators.columns import ordinals
+
+    assert ordinals(spark.createDataFrame([], "a int"), ["a"]).count() == 0
+    assert sorted(r.id for r in ordinals(spark.createDataFrame([(None,), (1,), (1,)], "a int"), ["a"]).collect()) == [0, 1, 2]
+
+
+def test_a_column_that_no_attractor_reaches_has_no_cluster():
+    m = np.array([[1.0, 0.0, 0.0], [0.0, 0.0, 1.0], [0.0, 1.0, 0.0]])
+    assert graph._dense_mcl(m, 2.0, 1, 1e-3).tolist()[0] == 0
+    flipped = graph._dense_mcl(np.array([[0.0, 1.0], [1.0, 0.0]]), 2.0, 0, 1e-3)
+    assert flipped.tolist() == [-1, -1]
+
+
+def test_dense_groups_give_a_link_a_point_and_not_all_pairs(spark):
+    df = spark.createDataFrame([("g", i, [1.0, 0.0001 * i]) for i in range(200)], "grp string, id bigint, emb array<double>")
+    radii = spark.createDataFrame([("g", 0, 0.5)], "grp string, eps_ord int, eps double")
+    cores = df.select("grp", "id", F.array(F.struct(F.lit(0).alias("eps_ord"), F.lit(3).alias("least"))).alias("settings"))
+    assert graph.density_links(df, radii, cores).count() == 199
+    assert {r.n for r in graph.reach(df, radii, block=64).collect()} == {199}
+
+
+def test_density_grid_equals_single_runs(spark):
+    rows = points(seed=4)
+    df = spark.createDataFrame(rows, "grp string, id bigint, emb array<double>, truth string").select("grp", "id", "emb")
+    radii = spark.createDataFrame([("a", i, e) for i, e in enumerate((0.01, 0.03, 0.3))], "grp string, eps_ord int, eps double")
+    found = {}
+    for r in graph.dbscan_grid(df, radii, [2, 4], block=20).collect():
+        found.setdefault((r.eps_ord, r.least), {})[r.id] = r.label
+    assert found == {(i, n): brute_dbscan(rows, e, n) for i, e in enumerate((0.01, 0.03, 0.3)) for n in (2, 4)}
+
+
+@pytest.mark.parametrize("method", ["consensus", "kmeans", "hierarchical"])
+def test_made_up_truths_separate_groups(spark, method):
+    df = spark.createDataFrame(points(seed=6, centres=3, each=20), "grp string, id bigint, emb array<double>, truth string")
+    found = clustering.synthetic_truth(df, method).join(df.select("id", F.col("truth").alias("true")), "id")
+    homes = found.groupBy("truth").agg(F.count_distinct("true").alias("n")).collect()
+    assert found.count() == 60 and len(homes) >= 3 and all(r.n == 1 for r in homes)
+
+
+def test_an_unknown_truth_is_an_error(vectors):
+    with pytest.raises(ValueError):
+        clustering.synthetic_truth(vectors, "guess")

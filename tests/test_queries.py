@@ -49,8 +49,8 @@ def test_wide_table_holds_every_record(spark):
 
     rows = [(i, "s", "r" if i < 7 else "q", f"text {i}") for i in range(9)]
     df = spark.createDataFrame(rows, "record_id bigint, survey_id string, respondent_key string, corrected string")
-    found = {r.respondent_key: [x for x in r[2:] if x] for r in responses.q_wide_responses_all(lambda name: df).collect()}
+    found = {r.respondent_key: [x for x in r[2:] if x] for r in responses.q_wide_responses(lambda name: df).collect()}
     assert found == {"r": [f"text {i}" for i in range(7)], "q": ["text 7", "text 8"]}
-    assert responses.q_unpivot_cells_all(lambda name: df).count() == 9
-    merged = {r.respondent_key: r.merged for r in responses.q_merged_columns_all(lambda name: df).collect()}
+    assert responses.q_unpivot_cells(lambda name: df).count() == 9
+    merged = {r.respondent_key: r.merged for r in responses.q_merged_columns(lambda name: df).collect()}
     assert merged["r"] == " ".join(f"text {i}" for i in range(7))
