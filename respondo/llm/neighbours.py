@@ -3,18 +3,20 @@ priority queue a vector, with exact reranking inside the leaves.
 
 The trees are fitted on a bounded sample (`SAMPLE` vectors, a documented bound) on the driver. A split
 projects on a random direction - random signs on the groups that the sample shows, solved for the widest
-margin - and cuts where few grouped vectors lie near. Leaves hold about `LEAF` vectors, so their number
-grows with the collection and the work with it.
-
-Every vector is stored in its leaf of each tree and visits the leaves that the priority queue, shared by
-all trees, yields in the order of how far the vector lies on the other side of the splits on the way; it
-visits at most `VISITS` leaves and none further than `SLACK`. All vectors of a leaf travel as compressed
-blocks, one block a leaf and Arrow batch, so the shuffle is about `VISITS` times the stored size of the
+margin - and cuts where few grouped vectors lie near. Where the sample runs out, or shows nothing to cut by, a node is cut through the
+middle of what is known of it along one random direction a level, so leaves hold about `leaf` vectors whatever the size and shape of the
+collection: a `PARTS`-th of it, but no more than `LEAF` and no fewer than `FEWEST`.
+
+Every vector is stored in its leaf of each tree and searches with a priority queue that holds nodes of all trees: the roots first,
+then the other side of every split it came by, in the order of how far the vector lies from the splits to be crossed. It
+visits at most `VISITS` leaves, its own included, and none further than `SLACK`. All vectors of a leaf travel as compressed
+blocks, one block a leaf and batch, so the shuffle is about `VISITS` times the stored size of the
 vectors. Inside a leaf all visitors are compared with all residents by block matrix products, and the
 survivors are scored again in double precision.
 
-Exact copies are searched once: each batch sends one of them, each leaf compares one of them, and the
-copies are put back by a narrow join at the end; a group of copies may hold any share of the rows."""
+Exact copies are searched once: each batch sends one of them with the smallest ids of the group, each leaf compares one of them, and lists name
+as many copies as can be among the nearest. The rest of the copies take over the list of the first by a narrow join at the end; a group of
+copies may hold any share of the rows."""
 
 from __future__ import annotations
 
@@ -28,19 +30,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.graph import join_all
 from ..session import cut
 from .skew import join_unique
 
 SAMPLE = 20_000
-LEAF = 13_000
+LEAF = 6_000
+PARTS = 16
+FEWEST = 64
 TREES = 2
-VISITS = 3
+VISITS = 4
 SLACK = 0.03
-#: Vectors scored again beside the wanted number.
+#: Vectors scored again beside the wanted number, and how far two products of single precision may differ.
 SPARE = 6
+BLUR = 2e-6
 _ANCHORS = 128
 _DRAWS = 24
 _ROWS = 512
+#: Vectors that are routed and packed together.
+_TOGETHER = 32_768
 
 
 # --- vectors -----------------------------------------------------------------------------------------
@@ -81,76 +89,110 @@ def unpack(data: bytes, n: int) -> np.ndarray:
 
 
 class Forest:
-    """Trees as flat arrays: split k has direction w[k], threshold t[k] and two children; a child below
+    """Trees as flat arrays: split k projects on directions[w[k]], cuts at t[k] and has two children; a child below
     zero is leaf -1 - child."""
 
     def __init__(self) -> None:
-        self.w: list[np.ndarray] = []
+        self.directions: list[np.ndarray] = []
+        self.w: list[int] = []
         self.t: list[float] = []
         self.children: list[list[int]] = []
         self.roots: list[int] = []
         self.leaves = 0
+        self.depth = 0
 
     @classmethod
-    def fit(cls, sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF, seed: int = 1) -> Forest:
+    def fit(cls, sample: np.ndarray, total: int, trees: int = TREES, leaf: int | None = None, seed: int = 1) -> Forest:
         """Trees for `total` vectors from unit vectors of a sample."""
         forest = cls()
-        leaf = max(leaf, -(-16 * total // max(1, len(sample))))
+        leaf = leaf or min(LEAF, max(FEWEST, -(-total // PARTS)))
         grouped = _grouped(sample)
         for k in range(trees):
             rng = np.random.RandomState(seed + k)
-            forest.roots.append(forest._grow(sample, grouped, total, leaf, rng))
+            forest.roots.append(forest._grow(sample, grouped, sample.mean(0), total, leaf, rng, [], 0, 0))
         return forest
 
-    def _grow(self, x: np.ndarray, grouped: np.ndarray, need: float, leaf: int, rng) -> int:
-        if need <= leaf or len(x) < 16:
-            self.leaves += 1
-            return -self.leaves
-        w, t = _split(x, grouped, rng)
-        p = x @ w
-        above = p > t
-        share = above.mean()
-        if not 0.05 < share < 0.95:  # as good as one point: nothing to split
+    def _grow(self, x: np.ndarray, grouped: np.ndarray, middle: np.ndarray, need: float, leaf: int, rng, shared: list[int], level: int, depth: int) -> int:
+        self.depth = max(self.depth, depth)
+        if need <= leaf:
             self.leaves += 1
             return -self.leaves
+        share, direction = 0.0, -1
+        if len(x) >= 16:
+            w, t = _split(x, grouped, rng)
+            share = float((x @ w > t).mean())
+            if 0.05 < share < 0.95:
+                direction = len(self.directions)
+                self.directions.append(w)
+        if direction < 0:  # nothing known to cut by: through the middle, along the direction of this level
+            if level == len(shared):
+                w = rng.standard_normal(len(middle)).astype(np.float32)
+                shared.append(len(self.directions))
+                self.directions.append(w / np.linalg.norm(w))
+            direction, level = shared[level], level + 1
+            w = self.directions[direction]
+            t, share = float(np.median(x @ w)) if len(x) else float(middle @ w), 0.5
         at = len(self.w)
-        self.w.append(w)
+        self.w.append(direction)
         self.t.append(t)
         self.children.append([0, 0])
-        self.children[at][0] = self._grow(x[~above], grouped[~above], need * (1 - share), leaf, rng)
-        self.children[at][1] = self._grow(x[above], grouped[above], need * share, leaf, rng)
+        above = x @ w > t
+        for side, some in enumerate((~above, above)):
+            part = x[some]
+            self.children[at][side] = self._grow(part, grouped[some], part.mean(0) if len(part) else middle, need * (share if side else 1 - share), leaf, rng, shared, level, depth + 1)
         return at
 
+    def pack(self) -> Forest:
+        """Lists as arrays, as they travel."""
+        self.directions = np.array(self.directions, np.float32) if self.directions else np.zeros((0, 1), np.float32)
+        self.w, self.t = np.array(self.w, np.int32), np.array(self.t, np.float32)
+        self.children = np.array(self.children, np.int32).reshape(-1, 2)
+        return self
+
     def route(self, x: np.ndarray, visits: int = VISITS, slack: float = SLACK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, leaf, resident) of every visit. A vector's leaf in each tree comes first, then the other
-        leaves of all trees in the order of the shared priority: the largest distance to a split that has to
-        be crossed."""
-        n = len(x)
-        rows, leaves, cost = [], [], []
-        work = [(root, np.arange(n), np.zeros(n, np.float32)) for root in self.roots]
-        while work:
-            node, some, crossed = work.pop()
-            if not len(some):
-                continue
-            if node < 0:
-                rows.append(some)
-                leaves.append(np.full(len(some), -1 - node))
-                cost.append(crossed)
-                continue
-            p = x[some] @ self.w[node] - np.float32(self.t[node])
-            for child, over in zip(self.children[node], (np.maximum(p, 0), np.maximum(-p, 0))):
-                reach = np.maximum(crossed, over)
-                near = (reach == 0) | (reach < slack)
-                if child == self.children[node][1]:
-                    near &= ~((p == 0) & (reach == 0))  # a vector on the split lives below it
-                work.append((child, some[near], reach[near]))
-        row, leaf, far = np.concatenate(rows), np.concatenate(leaves), np.concatenate(cost)
-        order = np.lexsort((leaf, far, row))
-        row, leaf, far = row[order], leaf[order], far[order]
-        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        place = np.arange(len(row)) - np.repeat(starts, np.diff(np.r_[starts, len(row)]))
-        keep = (far == 0) | (place < visits)
-        return row[keep], leaf[keep], far[keep] == 0
+        """(row, leaf, resident) of every visit, by row. Each vector has one priority queue for all trees: the roots at no
+        cost, then whatever was passed by at the largest distance to a split that has to be crossed. The
+        cheapest entry is taken out and followed down to a leaf, until `visits` leaves are seen or the
+        cheapest costs `slack` or more; the vector's own leaf of each tree is always seen. All vectors of a batch take their steps together."""
+        if isinstance(self.t, list):
+            self.pack()
+        n, trees = len(x), len(self.roots)
+        rounds = max(visits, trees)
+        queue = np.full((n, trees + rounds * self.depth), np.inf, np.float32)
+        nodes = np.zeros(queue.shape, np.int32)
+        queue[:, :trees], nodes[:, :trees] = 0, self.roots
+        filled = np.full(n, trees)
+        rows, leaves, resident = [], [], []
+        for turn in range(rounds):
+            best = np.argmin(queue, axis=1)  # of equal ones the first, so roots come first
+            cost = queue[np.arange(n), best]
+            some = np.flatnonzero((cost < slack) | (cost == 0))
+            best, cost = best[some], cost[some]
+            node = nodes[some, best]
+            queue[some, best] = np.inf
+            inner = np.flatnonzero(node >= 0)
+            while len(inner):
+                inner = inner[np.argsort(node[inner], kind="stable")]
+                here = node[inner]
+                p = np.empty(len(inner), np.float32)
+                edges = np.flatnonzero(np.r_[True, here[1:] != here[:-1], True])
+                for a, b in zip(edges[:-1], edges[1:]):
+                    p[a:b] = x[some[inner[a:b]]] @ self.directions[self.w[here[a]]] - self.t[here[a]]
+                above = (p > 0).astype(np.int8)
+                far = np.maximum(cost[inner], np.abs(p))
+                push = far < slack
+                who = some[inner[push]]
+                queue[who, filled[who]] = far[push]
+                nodes[who, filled[who]] = self.children[here[push], 1 - above[push]]
+                filled[who] += 1
+                node[inner] = self.children[here, above]
+                inner = inner[node[inner] >= 0]
+            rows.append(some)
+            leaves.append(-1 - node)
+            resident.append(np.full(len(some), turn < trees))
+        row, leaf, lives = np.concatenate(rows), np.concatenate(leaves), np.concatenate(resident)
+        order = np.argsort(row, kind="stable")
+        return row[order], leaf[order], lives[order]
 
 
 def _grouped(x: np.ndarray, similar: float = 0.6, against: int = 4000) -> np.ndarray:
@@ -201,69 +243,67 @@ def _split(x: np.ndarray, grouped: np.ndarray, rng) -> tuple[np.ndarray, float]:
 # --- inside a leaf -----------------------------------------------------------------------------------
 
 
-def join_all(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Joins the components of a[i] and b[i]; `root` names the smallest member of everyone's component."""
-    while True:
-        a, b = root[a], root[b]
-        apart = a != b
-        if not apart.any():
-            return
-        a, b = a[apart], b[apart]
-        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-        while (root[root] != root).any():
-            root[:] = root[root]
-
-
 class AllPairs:
     """What all pairs of a leaf of at least the wanted cosine add up to, not only the k best of each vector:
-    `mass`, the sum of the cosines in units of 1e-9, weighted by copies, and `root`, the components.
+    `mass`, the sum of the cosines, weighted by copies, and `root`, the components.
 
-    A pair that meets in several leaves counts in that of smallest number; `places` are the leaves of every
-    vector, doubled, plus one where it is a resident, filled up with -1."""
+    A pair that meets in several leaves counts in that of smallest number: `places` are the leaves of every
+    vector, doubled, plus one where it is a resident, filled up with -1. The smaller leaves in them are bits of a few words, and a
+    pair meets elsewhere if one is at home in a leaf that the other is in."""
 
     def __init__(self, leaf: int, weights: np.ndarray, places: np.ndarray) -> None:
         self.leaf, self.weights, self.places = leaf, weights, places
 
     def start(self, x: np.ndarray, lengths: np.ndarray, order: np.ndarray, homes: int, least: float) -> None:
         self.x, self.lengths, self.homes, self.least = x, lengths, homes, least
-        self.weights = self.weights[order]
-        self.leaves, self.lives = self.places[order] >> 1, (self.places[order] & 1).astype(bool)
-        self.leaves[(self.leaves < 0) | (self.leaves >= self.leaf)] = -1  # only smaller ones matter
-        self.mass, self.root = np.zeros(len(x), np.int64), np.arange(len(x))
-
-    def add(self, begin: int, hit: np.ndarray) -> None:
-        rows, cols = np.nonzero(hit)
-        if len(rows) * 20 > hit.size:
-            part = (self.x[begin : begin + len(hit)].astype(np.float64) @ self.x[: self.homes].astype(np.float64).T)[rows, cols]
-            rows += begin
-        else:
-            rows += begin
-            part = np.empty(len(rows))
-            for a in range(0, len(rows), 20_000):
-                some = slice(a, a + 20_000)
-                part[some] = np.einsum("ij,ij->i", self.x[rows[some]], self.x[cols[some]], dtype=np.float64)
-        cosines = part / (self.lengths[rows] * self.lengths[cols])
-        fine = cosines >= self.least - 1e-9
-        rows, cols, cosines = rows[fine], cols[fine], cosines[fine]
+        self.weights = self.weights[order].astype(np.float64)
+        places = self.places[order]
+        number, lives = places >> 1, (places & 1).astype(bool)
+        known = (number >= 0) & (number < self.leaf)  # only smaller ones matter
+        bit = np.searchsorted(np.unique(number[known]), number)
+        words = -(-max(1, len(np.unique(number[known]))) // 64)
+        self.home, self.seen = np.zeros((words, len(x)), np.uint64), np.zeros((words, len(x)), np.uint64)
+        for i in range(places.shape[1]):
+            rows = np.flatnonzero(known[:, i])
+            mask = np.uint64(1) << (bit[rows, i] % 64).astype(np.uint64)
+            self.seen[bit[rows, i] // 64, rows] |= mask
+            own = lives[rows, i]
+            self.home[bit[rows, i][own] // 64, rows[own]] |= mask[own]
+        self.mass, self.root = np.zeros(len(x)), np.arange(len(x))
+
+    def add(self, begin: int, s: np.ndarray, hit: np.ndarray) -> None:
+        """`s` are the cosines of some rows with all residents, `hit` those that may be of the wanted size."""
+        flat = np.flatnonzero(hit)
+        cosines = s.ravel()[flat]
+        rows, cols = np.divmod(flat, hit.shape[1])
+        rows += begin
+        doubtful = np.flatnonzero(cosines < self.least + 1e-5)
+        if len(doubtful):
+            r, c = rows[doubtful], cols[doubtful]
+            exact = np.einsum("ij,ij->i", self.x[r], self.x[c], dtype=np.float64) / (self.lengths[r] * self.lengths[c])
+            keep = np.ones(len(rows), bool)
+            keep[doubtful] = exact >= self.least - 1e-9
+            rows, cols, cosines = rows[keep], cols[keep], cosines[keep]
         join_all(self.root, rows, cols)
-        elsewhere = np.zeros(len(rows), bool)
-        for i in range(self.leaves.shape[1]):
-            one = self.leaves[rows, i]
-            for j in range(self.leaves.shape[1]):
-                elsewhere |= (one >= 0) & (one == self.leaves[cols, j]) & (self.lives[rows, i] | self.lives[cols, j])
-        rows, cols, units = rows[~elsewhere], cols[~elsewhere], np.rint(cosines[~elsewhere] * 1e9).astype(np.int64)
-        np.add.at(self.mass, rows, units * self.weights[cols])
+        here = np.ones(len(rows), bool)
+        for home, seen in zip(self.home, self.seen):
+            here &= ((home[rows] & seen[cols]) | (seen[rows] & home[cols])) == 0
+        rows, cols, cosines = rows[here], cols[here], cosines[here]
+        self.mass += np.bincount(rows, cosines * self.weights[cols], len(self.mass))
         visits = rows >= self.homes  # pairs of residents come up from both sides
-        np.add.at(self.mass, cols[visits], units[visits] * self.weights[rows[visits]])
+        self.mass += np.bincount(cols[visits], cosines[visits] * self.weights[rows[visits]], len(self.mass))
 
 
-def leaf_neighbours(x: np.ndarray, ids: np.ndarray, resident: np.ndarray, k: int, least: float, whole: AllPairs | None = None) -> tuple[list[int], list[np.ndarray], list[np.ndarray], list[tuple[int, int]]]:
-    """(id, its neighbours' ids, their cosines) for vectors with any neighbour of at least `least`: the k best
-    among residents, for residents also among visitors; ties by smaller id. `x` are the vectors as stored.
-    With `whole`, (mass, smallest id of the component) of each besides."""
+def leaf_neighbours(x: np.ndarray, copies: list[np.ndarray], resident: np.ndarray, k: int, least: float, whole: AllPairs | None = None) -> tuple[list[int], list[np.ndarray], list[np.ndarray], list[tuple[int, int]]]:
+    """(id, its neighbours' ids, their cosines) for distinct vectors with any neighbour of at least `least`: the k best
+    among residents, for residents also among visitors; ties by smaller id. `x` are the vectors as stored, `copies` the smallest ids of
+    each, in order, of which the first names it. With `whole`, (mass, smallest id of the component) of each besides."""
     order = np.r_[np.flatnonzero(resident), np.flatnonzero(~resident)]
     homes = int(resident.sum())
     x = x[order]
+    copies = [copies[i] for i in order]
+    numbers = np.array([c[0] for c in copies], np.int64)
+    several = np.array([len(c) > 1 for c in copies])
     lengths = np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64))
     if whole is not None:
         whole.start(x, lengths, order, homes, least)
@@ -281,125 +321,151 @@ def leaf_neighbours(x: np.ndarray, ids: np.ndarray, resident: np.ndarray, k: int
             s[np.arange(inside - begin), np.arange(begin, inside)] = -2
         hit = s >= least - 1e-5
         if whole is not None:
-            whole.add(begin, hit)
+            whole.add(begin, s, hit)
         for r in np.flatnonzero(hit.any(1)):
             found = np.flatnonzero(hit[r])
-            if len(found) > want:
-                found = found[np.argpartition(-s[r, found], want - 1)[:want]]
+            if len(found) > want:  # and all that single precision cannot tell from the last of them
+                values = s[r, found]
+                last = np.partition(values, len(found) - want)[len(found) - want]
+                found = found[values >= last - BLUR]
+                if begin + r < homes:
+                    floor[begin + r] = last - BLUR
             near[begin + r] = found
-            if begin + r < homes and len(found) >= want:
-                floor[begin + r] = s[r, found].min()
         if end > homes:  # visitors may be neighbours of residents too
             from_row = max(0, homes - begin)
             rows, cols = np.nonzero(hit[from_row:] & (s[from_row:] >= floor))
             for r, c in zip(rows.tolist(), cols.tolist()):
                 extra.setdefault(c, []).append((begin + from_row + r, s[from_row + r, c]))
     out_rows, out_near, out_cos = [], [], []
-    numbers = ids[order]
     for r in range(len(a)):
         found = near[r]
         if r in extra:
-            more = sorted(extra[r], key=lambda e: -e[1])[:want]
+            more = extra[r]
+            if len(more) > want:
+                last = np.partition([e for _, e in more], len(more) - want)[len(more) - want]
+                more = [(m, e) for m, e in more if e >= last - BLUR]
             found = np.r_[found, np.array([m for m, _ in more], np.int64)]
-        if not len(found):
+        if not len(found) and not several[r]:
             continue
-        cosines = (x[found].astype(np.float64) @ x[r].astype(np.float64)) / (lengths[found] * lengths[r])
+        # einsum adds up each pair alike wherever it stands, so the same pair has the same cosine in every leaf
+        cosines = np.einsum("ij,j->i", x[found].astype(np.float64), x[r].astype(np.float64)) / (lengths[found] * lengths[r])
         fine = cosines >= least - 1e-9
-        found, cosines = found[fine], cosines[fine]
-        best = np.lexsort((numbers[found], -np.round(cosines, 9)))[:k]
+        found, cosines = found[fine], np.round(cosines[fine], 9)
+        ids = numbers[found]
+        if several[r] or several[found].any():
+            sets = [copies[m] for m in found] + [copies[r][1:]]
+            cosines = np.repeat(np.r_[cosines, 1.0], [len(c) for c in sets])
+            ids = np.concatenate(sets)
+        best = np.lexsort((ids, -cosines))[:k]
         if len(best):
             out_rows.append(r)
-            out_near.append(numbers[found[best]])
+            out_near.append(ids[best])
             out_cos.append(cosines[best])
     sums: list[tuple[int, int]] = []
     if whole is not None:
         smallest = np.full(len(a), np.iinfo(np.int64).max)
         np.minimum.at(smallest, whole.root, numbers)
-        sums = list(zip(whole.mass[out_rows].tolist(), smallest[whole.root[out_rows]].tolist()))
+        sums = list(zip(np.rint(whole.mass[out_rows] * 1e6).astype(np.int64).tolist(), smallest[whole.root[out_rows]].tolist()))
     return [numbers[r] for r in out_rows], out_near, out_cos, sums
 
 
+def _distinct(digests: np.ndarray, ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, heads): rows by digest and id, and where in that order another vector begins; equal digests do not
+    suffice, the vectors are compared."""
+    order = np.lexsort((ids, digests))
+    same = digests[order][1:] == digests[order][:-1]
+    at = np.flatnonzero(same)
+    same[at] = (x[order[at]] == x[order[at + 1]]).all(1)
+    return order, np.flatnonzero(np.r_[True, ~same])
+
+
 # --- operators ---------------------------------------------------------------------------------------
 
 
-def fit_forest(df: DataFrame, key: str, emb: str, trees: int = TREES, sample: int = SAMPLE, leaf: int = LEAF) -> tuple[Forest, int]:
+def fit_forest(df: DataFrame, key: str, emb: str, trees: int = TREES, sample: int = SAMPLE, leaf: int | None = None) -> tuple[Forest, int]:
     """(forest, dimension). The sample is drawn by key digest over the whole table; the dimension is the
     commonest length of a vector in it."""
     total = df.count()
-    rows = df.select(F.col(emb).alias("emb")) if total <= sample else df.where(F.pmod(F.xxhash64(key, F.lit(11)), F.lit(1_000_000)) < int(1_000_000 * sample / total)).select(F.col(emb).alias("emb"))
-    found = rows.where(F.size("emb") > 0).limit(2 * sample).toArrow().column("emb").combine_chunks()
-    if not len(found):
-        return Forest.fit(np.zeros((1, 1), np.float32), 1, trees, leaf), 0
-    sizes = found.value_lengths().to_numpy(zero_copy_only=False)
-    dim = int(np.bincount(sizes).argmax())
-    _, x = usable(found, dim)
-    if not len(x):
-        return Forest.fit(np.zeros((1, 1), np.float32), 1, trees, leaf), 0
-    return Forest.fit(unit(x), total, trees, leaf), dim
+    below = -(1 << 63) + min((1 << 64) - 1, (sample << 64) // max(1, total))  # of all 64-bit digests, whatever the total
+    rows = df if total <= sample else df.where(F.xxhash64(key, F.lit(11)) < F.lit(below).cast("bigint"))
+    found = rows.select(F.col(emb).cast("array<float>").alias("emb")).where(F.size("emb") > 0).limit(2 * sample).toArrow().column("emb").combine_chunks()
+    dim, x = 0, np.zeros((0, 1), np.float32)
+    if len(found):
+        dim = int(np.bincount(found.value_lengths().to_numpy(zero_copy_only=False)).argmax())
+        _, x = usable(found, dim)
+    return Forest.fit(unit(x), total, trees, leaf).pack() if len(x) else Forest.fit(np.zeros((1, 1), np.float32), 1, trees, 1).pack(), dim if len(x) else 0
 
 
 def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int, k: int = 15, least: float = -1.0, visits: int = VISITS, slack: float = SLACK, whole: bool = False) -> DataFrame:
     """(key, near array<struct<far, key>>): for every distinct usable vector - of copies that of smallest
-    key - its k nearest others of at least cosine `least`; far is (1 - cosine) in units of 1e-9.
+    key - its k nearest others of at least cosine `least`, copies among them; far is (1 - cosine) in units of 1e-9.
 
-    With `whole`, also (mass, tops): the sum of the cosines with all others of at least `least`, not only the
-    k nearest, weighted by copies and in units of 1e-9, and in each leaf the smallest key that is linked with the
+    With `whole`, of copies only the first is in the lists, and there are also (mass, tops): the sum of the cosines with all others of at least `least`, not only the
+    k nearest, weighted by copies and in units of 1e-6, and in each leaf the smallest key that is linked with the
     vector by such pairs, directly or through others."""
     shared = df.sparkSession.sparkContext.broadcast(forest)
-    blocks_schema = "leaf int, n int, ids binary, resident binary, digests binary, vectors binary" + (", weights binary, places binary" if whole else "")
+    spare = 0 if whole else min(k, (1 << 15) - 2)  # more than k + 1 copies are in nobody's list; sums need only the first
+    names = ["leaf", "n", "ids", "copies", "resident", "digests", "vectors", *(["weights", "places"] if whole else [])]
+    blocks_schema = "leaf int, n int, " + ", ".join(f"{c} binary" for c in names[2:])
+
+    def blocks_of(ids: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+        digests = np.fromiter((xxhash.xxh3_64_intdigest(v) for v in x), np.uint64, len(x))
+        order, heads = _distinct(digests, ids, x)
+        weights = np.diff(np.r_[heads, len(order)])
+        place = np.arange(len(order)) - np.repeat(heads, weights)
+        ids, x, digests = ids[order][place <= spare], x[order[heads]], digests[order[heads]]
+        starts = np.r_[0, np.cumsum(np.minimum(weights, spare + 1))]
+        row, leaf_no, resident = shared.value.route(unit(x), visits, slack)
+        if whole:
+            first = np.searchsorted(row, np.arange(len(x)))
+            turn = np.arange(len(row)) - first[row]
+            places = np.full((len(x), turn.max() + 1), -1, np.int32)
+            places[row, turn] = 2 * leaf_no + resident
+        order = np.argsort(leaf_no, kind="stable")
+        row, leaf_no, resident = row[order], leaf_no[order], resident[order]
+        edges = np.flatnonzero(np.r_[True, leaf_no[1:] != leaf_no[:-1], True])
+        out = []
+        for a, b in zip(edges[:-1], edges[1:]):
+            r = row[a:b]
+            counts = starts[r + 1] - starts[r]
+            taken = np.repeat(starts[r] - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
+            out.append((int(leaf_no[a]), b - a, ids[taken].tobytes(), counts.astype(np.int16).tobytes(), resident[a:b].tobytes(), digests[r].tobytes(), pack(x[r]), *((weights[r].astype(np.int64).tobytes(), places[r].tobytes()) if whole else ())))
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * (len(names) - 2)]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees_ = shared.value
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             rows, x = usable(batch.column(1), dim)
-            if not len(rows):
-                continue
-            ids = batch.column(0).take(pa.array(rows)).to_numpy(zero_copy_only=False).astype(np.int64)
-            digests = np.fromiter((xxhash.xxh3_64_intdigest(v) for v in x), np.uint64, len(x))
-            first = np.lexsort((ids, digests))
-            heads = np.flatnonzero(np.r_[True, digests[first][1:] != digests[first][:-1]])
-            weights = np.diff(np.r_[heads, len(first)])
-            first = first[heads]
-            ids, x, digests = ids[first], x[first], digests[first]
-            row, leaf_no, resident = trees_.route(unit(x), visits, slack)
-            if whole:
-                starts = np.searchsorted(row, np.arange(len(x)))
-                place = np.arange(len(row)) - starts[row]
-                places = np.full((len(x), place.max() + 1), -1, np.int32)
-                places[row, place] = 2 * leaf_no + resident
-            order = np.argsort(leaf_no, kind="stable")
-            row, leaf_no, resident = row[order], leaf_no[order], resident[order]
-            edges = np.flatnonzero(np.r_[True, leaf_no[1:] != leaf_no[:-1], True])
-            out = []
-            for a, b in zip(edges[:-1], edges[1:]):
-                r = row[a:b]
-                out.append((int(leaf_no[a]), b - a, ids[r].tobytes(), resident[a:b].tobytes(), digests[r].tobytes(), pack(x[r]), *((weights[r].astype(np.int64).tobytes(), places[r].tobytes()) if whole else ())))
-            columns = list(zip(*out))
-            names = ["leaf", "n", "ids", "resident", "digests", "vectors", *(["weights", "places"] if whole else [])]
-            kinds = [pa.int32(), pa.int32(), *[pa.binary()] * (len(names) - 2)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+            if len(rows):
+                held.append((batch.column(0).take(pa.array(rows)).to_numpy(zero_copy_only=False).astype(np.int64), x))
+            if sum(len(i) for i, _ in held) >= _TOGETHER:
+                yield blocks_of(*map(np.concatenate, zip(*held)))
+                held = []
+        if held:
+            yield blocks_of(*map(np.concatenate, zip(*held)))
 
     near_type = "array<struct<far:bigint,key:bigint>>"
     struct = pa.struct([("far", pa.int64()), ("key", pa.int64())])
 
     def compare(table: pa.Table) -> pa.Table:
         sizes = table.column("n").to_pylist()
-        ids = np.concatenate([np.frombuffer(v, np.int64) for v in table.column("ids").to_pylist()])
-        resident = np.concatenate([np.frombuffer(v, bool) for v in table.column("resident").to_pylist()])
-        digests = np.concatenate([np.frombuffer(v, np.uint64) for v in table.column("digests").to_pylist()])
+        joined = lambda c, kind: np.concatenate([np.frombuffer(v, kind) for v in table.column(c).to_pylist()])
+        everyone, counts = joined("ids", np.int64), joined("copies", np.int16).astype(np.int64)
+        resident, digests = joined("resident", bool), joined("digests", np.uint64)
         x = np.concatenate([unpack(v, n) for v, n in zip(table.column("vectors").to_pylist(), sizes)])
-        first = np.lexsort((ids, digests))
-        heads = np.flatnonzero(np.r_[True, digests[first][1:] != digests[first][:-1]])
+        starts = np.r_[0, np.cumsum(counts)]
+        order, heads = _distinct(digests, everyone[starts[:-1]], x)
+        ends = np.r_[heads[1:], len(order)]
+        copies = [everyone[starts[order[a]] : starts[order[a] + 1]] if b == a + 1 else np.sort(np.concatenate([everyone[starts[i] : starts[i + 1]] for i in order[a:b]]))[: spare + 1] for a, b in zip(heads, ends)]
+        pairs_ = None
         if whole:
-            weights = np.add.reduceat(np.concatenate([np.frombuffer(v, np.int64) for v in table.column("weights").to_pylist()])[first], heads)
+            weights = np.add.reduceat(joined("weights", np.int64)[order], heads)
             blocks = [np.frombuffer(v, np.int32).reshape(n, -1) for v, n in zip(table.column("places").to_pylist(), sizes)]
             width = max(b.shape[1] for b in blocks)
             places = np.concatenate([np.pad(b, ((0, 0), (0, width - b.shape[1])), constant_values=-1) for b in blocks])
-        first = first[heads]
-        pairs_ = AllPairs(table.column("leaf")[0].as_py(), weights, places[first]) if whole else None
-        if whole or len(first) < len(ids):  # copies from different batches
-            x, ids, resident = x[first], ids[first], resident[first]
-        keys, near, cosines, sums = leaf_neighbours(x, ids, resident, k, least, pairs_)
+            pairs_ = AllPairs(table.column("leaf")[0].as_py(), weights, places[order[heads]])
+        keys, near, cosines, sums = leaf_neighbours(x[order[heads]], copies, resident[order[heads]], k, least, pairs_)
         offsets = np.cumsum([0, *map(len, near)])
         far = np.rint((1 - np.concatenate(cosines)) * 1e9).astype(np.int64) if near else np.zeros(0, np.int64)
         other = np.concatenate(near) if near else np.zeros(0, np.int64)
@@ -430,7 +496,7 @@ def copy_groups(df: DataFrame, key: str, emb: str, dim: int) -> DataFrame:
     return cut(join_unique(rows, groups, ["d1", "d2"], "n").select("key", "head"), "vector-copies")
 
 
-def neighbours(df: DataFrame, key: str, emb: str, k: int = 15, least: float = -1.0, trees: int = TREES, visits: int = VISITS, slack: float = SLACK, sample: int = SAMPLE, leaf: int = LEAF) -> DataFrame:
+def neighbours(df: DataFrame, key: str, emb: str, k: int = 15, least: float = -1.0, trees: int = TREES, visits: int = VISITS, slack: float = SLACK, sample: int = SAMPLE, leaf: int | None = None) -> DataFrame:
     """(key, other, cosine): the k vectors most similar to each usable vector, itself left out, equal
     cosines by smaller key; only those of cosine `least` or more.
 
@@ -439,26 +505,13 @@ def neighbours(df: DataFrame, key: str, emb: str, k: int = 15, least: float = -1
     columns play no part; an empty table gives no rows."""
     forest, dim = fit_forest(df, key, emb, trees, sample, leaf)
     lists = cut(neighbour_lists(df, key, emb, forest, dim, k, least, visits, slack), "neighbour-lists")
-    copies = copy_groups(df, key, emb, dim)
-    # at most k + 1 members of a group can be among anyone's k nearest
-    ranked = copies.withColumn("rank", F.row_number().over(_by_head())).where(F.col("rank") <= k + 1)
-    members = ranked.groupBy("head").agg(F.array_sort(F.collect_list("key")).alias("members"))
-    entries = lists.select("key", F.explode("near").alias("n")).select("key", F.col("n.far").alias("far"), F.col("n.key").alias("other"))
-    spread_out = entries.join(members, entries["other"] == members["head"], "left").select("key", "far", F.explode(F.coalesce("members", F.array("other"))).alias("other"))
-    own = members.select(F.col("head").alias("key"), F.lit(0).cast("bigint").alias("far"), F.explode("members").alias("other"))
-    everyone = spread_out.unionByName(own).groupBy("key").agg(F.collect_list(F.struct("far", "other")).alias("near"))  # at most (k + 1) squared
-    everyone = everyone.select("key", F.slice(F.array_sort("near"), 1, k + 1).alias("near"))
-    singles = everyone.join(members, everyone["key"] == members["head"], "left_anti")
-    grouped = join_unique(copies, everyone.withColumnRenamed("key", "head"), ["head"]).select("key", "near")
-    final = singles.select("key", "near").unionByName(grouped)
-    kept = F.slice(F.filter("near", lambda n: n["other"] != F.col("key")), 1, k)
-    return final.select("key", F.explode(kept).alias("n")).select("key", F.col("n.other").alias("other"), (1 - F.col("n.far") / 1e9).alias("cosine")).where(F.col("cosine") >= least)
-
-
-def _by_head():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("head").orderBy("key")
+    # a copy has the list of the first of its group, with that one in its own place
+    copies = copy_groups(df, key, emb, dim).where("key <> head")
+    taken = join_unique(copies, lists.withColumnRenamed("key", "head"), ["head"])
+    first = F.array(F.struct(F.lit(0).cast("bigint").alias("far"), F.col("head").alias("key")))
+    theirs = F.slice(F.filter(F.array_sort(F.concat(first, "near")), lambda n: n["key"] != F.col("key")), 1, k)
+    everyone = lists.select("key", "near").unionByName(taken.select("key", theirs.alias("near")))
+    return everyone.select("key", F.explode("near").alias("n")).select("key", F.col("n.key").alias("other"), (1 - F.col("n.far") / 1e9).alias("cosine")).where(F.col("cosine") >= least - 1e-9)
 
 
 def pairs(df: DataFrame, key: str, emb: str, k: int = 15, least: float = 0.6, **options) -> DataFrame:

@@ -2,17 +2,21 @@
 
 Neighbour joins run blocked: vectors are placed in the leaves of a random-projection forest and compared
 inside them, so no pair of blocks meets that has nothing in common. The density of a vector is the sum of
-its cosines with all similar vectors that its leaves hold, copies included; its pointer goes to the nearest denser vector among
-its nearest neighbours and those it is one of (of equal densities, that of smaller key is denser). Vectors without a denser neighbour
-are peaks. Pointers are followed by doubling - after r rounds a pointer has covered 2^r steps - until each vector knows its peak.
-Peaks whose groups touch are the tops of one cluster and are joined by the same doubling over the links between peaks. Touching
-counts by all similar pairs: each leaf joins them to components before it cuts its lists to the nearest, so the
-clusters depend neither on how many tops a group happens to have nor on how many neighbours a list holds. Everything after the blocks works on narrow
+its cosines with all similar vectors that its leaves hold, copies included. Its delta is the distance to the nearest denser vector
+among those it is linked with, which is where its pointer goes (of equal densities, that of smaller key is denser); a vector that is linked with
+no denser one has the greatest delta, 1, and is a peak. Pointers are followed by doubling - after r rounds a pointer has covered
+2^r steps - until each vector knows its peak, which is its group.
+
+Groups that touch are tops of one cluster where the density at their border supports it: the border density of two groups is
+the largest density of the sparser end of a link between them, and they are united if it is at least `support` times the density of the
+lower of the two peaks. With the default, 0, any link supports a union, and clusters are what is linked directly or through others; with
+more, thin bridges do not join dense groups. For support 0 all similar pairs count, not those of the lists alone: each leaf joins
+them to components before it cuts its lists to the nearest. Everything after the blocks works on narrow
 rows of keys, cut from their lineage each round."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -21,6 +25,10 @@ from .skew import join_unique
 
 #: Neighbours a pointer chooses from, on each side; density and clusters come from all similar pairs.
 LINKS = 15
+#: Leaves a vector visits; members of a cluster find each other through others, so fewer than for single neighbours.
+VISITS = 3
+#: The delta of a peak, in units of 1e-9.
+FARTHEST = 1_000_000_000
 
 
 def _round(df: DataFrame, name: str, still_open) -> tuple[DataFrame, int]:
@@ -49,63 +57,81 @@ def join_peaks(links: DataFrame) -> DataFrame:
     """(peak, top): for every peak in `links` (a, b), the smallest peak it is linked with, directly or
     through others. Each round takes the smallest top around and then the top of that top."""
     both = links.select(F.col("a").alias("key"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("key"), F.col("a").alias("other")))
-    edges = cut(both.distinct(), "peak-links")
-    tops, n = _round(edges.select("key").distinct().withColumn("top", F.col("key")), "peak-tops", F.lit(True))
+    edges, n_edges = _round(both.distinct(), "peak-links", F.lit(True))
+    tops, n = _round(edges.groupBy("key").agg(F.least("key", F.min("other")).alias("top")), "peak-tops", F.lit(True))
+    size = n
     while n:
-        around = edges.join(tops.select(F.col("key").alias("other"), F.col("top").alias("seen")), "other").groupBy("key").agg(F.min("seen").alias("seen"))
+        around = join_unique(edges, tops.select(F.col("key").alias("other"), F.col("top").alias("seen")), ["other"], total=n_edges).groupBy("key").agg(F.min("seen").alias("seen"))
         hooked = tops.join(around, "key", "left").select("key", F.col("top").alias("old"), F.least("top", F.coalesce("seen", "top")).alias("top"))
-        up = hooked.select(F.col("key").alias("top"), F.col("top").alias("next"))
-        shorter = hooked.join(up, "top", "left").select("key", "old", F.least("top", F.coalesce("next", "top")).alias("top"))
+        hooked = cut(hooked, "peak-hooks")
+        up = hooked.select(F.col("key").alias("top"), F.col("top").alias("next"))  # a top is a key: every row has its match
+        shorter = join_unique(hooked, up, ["top"], total=size).select("key", "old", F.least("top", "next").alias("top"))
         now, n = _round(shorter, "peak-tops", F.col("old") != F.col("top"))
         tops = now.drop("old")
     return tops.withColumnRenamed("key", "peak")
 
 
-def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size: int = 5, links: int = LINKS, **options) -> DataFrame:
-    """(head, key, density): one row per member of every cluster of at least `least_size` vectors; head is the
-    smallest key of the cluster. Two vectors belong together if their cosine is at least `similar`, directly
-    or through other members.
+def ranked(lists: DataFrame, density: DataFrame) -> DataFrame:
+    """(key, density, delta, parent): every vector with the distance to, and the key of, the nearest denser one it is
+    linked with; a peak has the greatest delta and is its own parent. `lists` is (key, near), `density` (key, density)."""
+    # of the two ends of a link, the less dense one may point to the other, whichever list it stands in
+    linked = lists.join(density, "key").select("key", "density", F.explode("near").alias("n")).select("key", "density", F.col("n.key").alias("other"), F.col("n.far").alias("far"))
+    rated = join_unique(linked, density.select(F.col("key").alias("other"), F.col("density").alias("other_density")), ["other"])
+    up = (F.col("other_density") > F.col("density")) | ((F.col("other_density") == F.col("density")) & (F.col("other") < F.col("key")))
+    toward = rated.select(F.when(up, F.col("key")).otherwise(F.col("other")).alias("key"), "far", F.when(up, F.col("other")).otherwise(F.col("key")).alias("parent"))
+    nearest = toward.groupBy("key").agg(F.min(F.struct("far", "parent")).alias("n")).select("key", F.col("n.far").alias("far"), F.col("n.parent").alias("parent"))
+    return density.join(nearest, "key", "left").select("key", "density", F.coalesce("far", F.lit(FARTHEST)).alias("delta"), F.coalesce("parent", "key").alias("parent"))
+
+
+def _supported(links: DataFrame, placed: DataFrame, support: float) -> DataFrame:
+    """(a, b): pairs of peaks whose groups are linked, with enough density at their border. `links` is (key, other),
+    `placed` (key, density, peak)."""
+    one = join_unique(links, placed.select(F.col("key").alias("other"), F.col("peak").alias("b"), F.col("density").alias("db")), ["other"])
+    two = one.join(placed.select("key", F.col("peak").alias("a"), F.col("density").alias("da")), "key").where("a <> b")
+    touching = two.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max(F.least("da", "db")).alias("border"))
+    if support <= 0:
+        return touching.select("a", "b")
+    tops = placed.where("key = peak")
+    both = touching.join(tops.select(F.col("key").alias("a"), F.col("density").alias("pa")), "a").join(tops.select(F.col("key").alias("b"), F.col("density").alias("pb")), "b")
+    return both.where(F.col("border") >= support * F.least("pa", "pb")).select("a", "b")
+
+
+def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size: int = 5, links: int = LINKS, support: float = 0.0, visits: int = VISITS, **options) -> DataFrame:
+    """(head, key, peak, density, delta): one row per member of every cluster of at least `least_size` vectors; head is the
+    smallest key of the cluster, peak that of its group's peak. With support 0, two vectors belong together if their cosine is at least `similar`,
+    directly or through other members.
 
     Density is the sum of the cosines with all other members of at least `similar`, each copy counted.
     Exact copies count as members of one density; null, empty, all-zero, non-finite and odd-length vectors and null keys belong
     to none. Equal densities and cosines go by smaller key. An empty table gives no rows."""
     forest, dim = fit_forest(df, key, emb)
-    lists = cut(neighbour_lists(df, key, emb, forest, dim, links, similar, whole=True, **options), "cluster-lists")
+    lists = cut(neighbour_lists(df, key, emb, forest, dim, links, similar, visits=visits, whole=True, **options), "cluster-lists")
     copies = copy_groups(df, key, emb, dim)
     multiplicity = copies.groupBy("head").agg(F.count("*").alias("n"))
     # density in whole units, so that it is the same in whatever order it is summed
     density = lists.select("key", F.col("mass").alias("density")).join(multiplicity, F.col("key") == F.col("head"), "full").select(
-        F.coalesce("key", "head").alias("key"), (F.coalesce("density", F.lit(0)) + (F.coalesce("n", F.lit(1)) - 1) * 1_000_000_000).alias("density")
+        F.coalesce("key", "head").alias("key"), (F.coalesce("density", F.lit(0)) + (F.coalesce("n", F.lit(1)) - 1) * 1_000_000).alias("density")
     )
     density = cut(density, "cluster-density")
-    # of the two ends of a link, the less dense one may point to the other, whichever list it stands in
-    linked = lists.join(density, "key").select("key", "density", F.explode("near").alias("n")).select("key", "density", F.col("n.key").alias("other"), F.col("n.far").alias("far"))
-    rated = linked.join(density.select(F.col("key").alias("other"), F.col("density").alias("other_density")), "other")
-    up = (F.col("other_density") > F.col("density")) | ((F.col("other_density") == F.col("density")) & (F.col("other") < F.col("key")))
-    toward = rated.select(F.when(up, F.col("key")).otherwise(F.col("other")).alias("key"), "far", F.when(up, F.col("other")).otherwise(F.col("key")).alias("parent"))
-    nearest = toward.groupBy("key").agg(F.min(F.struct("far", "parent")).alias("n")).select("key", F.col("n.parent").alias("parent"))
-    pointers = density.join(nearest, "key", "left").select("key", F.coalesce("parent", "key").alias("parent"))
-    peaks = cut(follow(pointers), "cluster-peaks")
-    # a leaf's component names its smallest key once for each member
-    leaf_links = lists.select("key", F.explode("tops").alias("other")).where("key <> other")
-    one = join_unique(leaf_links, peaks.select(F.col("key").alias("other"), F.col("peak").alias("b")), ["other"])
-    two = one.join(peaks.withColumnRenamed("peak", "a"), "key")
-    touching = two.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    tops = join_peaks(touching)
-    placed = peaks.join(tops, "peak", "left").select("key", F.coalesce("top", "peak").alias("top"))
-    members = placed.join(density, "key")
-    others = join_unique(copies.where("key <> head"), members.withColumnRenamed("key", "head"), ["head"]).select("key", "top", "density")
-    members = cut(members.select("key", "top", "density").unionByName(others), "cluster-members")
+    placed = cut(ranked(lists.select("key", "near"), density), "cluster-deltas")
+    peaks = follow(placed.select("key", "parent"))
+    placed = cut(placed.join(peaks, "key").select("key", "density", "delta", "peak"), "cluster-peaks")
+    if support <= 0:  # a leaf's component names its smallest key once for each member
+        between = lists.select("key", F.explode("tops").alias("other")).where("key <> other")
+    else:
+        between = lists.select("key", F.explode("near").alias("n")).select("key", F.col("n.key").alias("other"))
+    tops = join_peaks(_supported(between, placed, support))
+    members = placed.join(tops, "peak", "left").select("key", "peak", "density", "delta", F.coalesce("top", "peak").alias("top"))
+    others = join_unique(copies.where("key <> head"), members.withColumnRenamed("key", "head"), ["head"]).select("key", "peak", "density", F.lit(0).cast("bigint").alias("delta"), "top")
+    members = cut(members.unionByName(others), "cluster-members")
     sizes = members.groupBy("top").agg(F.count("*").alias("n"), F.min("key").alias("head")).where(F.col("n") >= least_size)
-    return join_unique(members, sizes, ["top"]).select("head", "key", (F.col("density") / 1e9).alias("density"))
+    return join_unique(members, sizes, ["top"], "n").select("head", "key", "peak", (F.col("density") / 1e6).alias("density"), (F.col("delta") / 1e9).alias("delta"))
 
 
 def describe(found: DataFrame, typical: int = 3) -> DataFrame:
-    """(head, size, typical array<key>): each cluster's size and its densest members, by smaller key where
-    densities are equal."""
-    from pyspark.sql import Window
-
-    sizes = found.groupBy("head").agg(F.count("*").alias("size"))
+    """(head, size, n_peaks, typical array<key>): each cluster's size, its number of density peaks and its densest
+    members, by smaller key where densities are equal."""
+    sizes = found.groupBy("head").agg(F.count("*").alias("size"), F.count_if(F.col("key") == F.col("peak")).alias("n_peaks"))
     best = found.withColumn("r", F.row_number().over(Window.partitionBy("head").orderBy(F.desc("density"), "key"))).where(F.col("r") <= typical)
     top = best.groupBy("head").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "key"))), lambda x: x["key"]).alias("typical"))
     return sizes.join(top, "head")

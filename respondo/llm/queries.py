@@ -20,7 +20,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .neighbours import neighbours
 
-    found = neighbours(read_table(spark, sf_dir, "answer_vectors"), "vec_id", "emb", k=15, least=0.6)
+    found = neighbours(read_table(spark, sf_dir, "answer_vectors"), "vec_id", "emb", k=15)
     return found.select(F.col("key").alias("vec_id"), F.col("other").alias("neighbour_id"), F.round("cosine", 6).alias("cosine"))
 
 
@@ -36,7 +36,7 @@ def p2_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .peaks import clusters, describe
 
     found = cut(clusters(read_table(spark, sf_dir, "answer_vectors"), "vec_id", "emb"), "clusters")
-    return describe(found).select(F.col("head").alias("head_id"), "size", "typical")
+    return describe(found).select(F.col("head").alias("head_id"), "size", "n_peaks", "typical")
 
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:

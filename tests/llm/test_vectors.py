@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from helpers import clusters as brute_clusters
 from helpers import neighbour_pairs
+from pyspark.sql import functions as F
 
 from respondo.llm import neighbours, peaks, skew
 
@@ -47,6 +48,79 @@ def test_forest_of_small_leaves_reaches_recall(spark):
     assert len(found & expected) >= 0.9 * len(expected)
 
 
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_recall_at_the_defaults(spark, size):
+    """Pairs and clusters of the real tables against brute force, with the parameters of the queries."""
+    df = spark.read.parquet(f"/root/testdata/{size}/answer_vectors.parquet")
+    rows = [(r.vec_id, r.emb) for r in df.select("vec_id", "emb").collect()]
+    forest, _ = neighbours.fit_forest(df, "vec_id", "emb")
+    assert len(forest.w) >= 2 * 10  # both trees are split at every size
+    found = {tuple(r) for r in neighbours.pairs(df, "vec_id", "emb").collect()}
+    expected = neighbour_pairs(rows)
+    assert len(found & expected) >= 0.95 * len(expected) and len(found & expected) >= 0.95 * len(found)
+    if size != "sf0.01":
+        return  # the plain union takes too long
+    members = {(r.head, r.key) for r in peaks.clusters(df, "vec_id", "emb").select("head", "key").collect()}
+    true = brute_clusters(rows)
+    assert len(members & true) >= 0.97 * len(true) and len(members & true) >= 0.97 * len(members)
+
+
+def test_every_vector_gets_all_its_neighbours_without_a_floor(spark, rows):
+    found = neighbours.neighbours(table(spark, rows), "vec_id", "emb", 15).groupBy("key").count().collect()
+    assert len(found) == sum(any(v) for _, v in usable(rows)) and {r["count"] for r in found} == {15}
+
+
+def test_many_vectors_of_one_direction_keep_the_order_of_ids(spark):
+    rng = np.random.RandomState(3)
+    v = rng.randn(16).astype(np.float32)
+    rows = [(i, (v * np.float32(2.0 ** (i % 5) + i)).tolist()) for i in range(60)] + [(100 + i, rng.randn(16).astype(np.float32).tolist()) for i in range(30)]
+    found = {}
+    for r in neighbours.neighbours(table(spark, rows), "vec_id", "emb", 5, 0.6, leaf=200).collect():
+        found.setdefault(r.key, set()).add(r.other)
+    assert all(found[i] == {j for j in range(6 if i < 5 else 5) if j != i} for i in range(60))
+
+
+def test_a_cloud_without_structure_is_still_cut(spark):
+    rng = np.random.RandomState(4)
+    v = rng.randn(16)
+    x = neighbours.unit((v + 1e-4 * rng.randn(4000, 16)).astype(np.float32))
+    forest = neighbours.Forest.fit(x[:500], 4000, 2, 200)
+    _, leaf, resident = forest.route(x)
+    assert np.bincount(leaf[resident]).max() <= 800 and forest.leaves >= 30
+
+
+def test_trees_go_on_where_the_sample_ends():
+    rng = np.random.RandomState(5)
+    x = neighbours.unit(rng.randn(20_000, 16).astype(np.float32))
+    forest = neighbours.Forest.fit(x[:100], 20_000, 2, 100)
+    _, leaf, resident = forest.route(x, visits=3)
+    assert forest.leaves >= 200 and np.median(np.bincount(leaf[resident])) < 300
+
+
+def thin_bridge():
+    """Two dense parts, 150 degrees apart, and two vectors between them, each like one part and like the other one."""
+    rng = np.random.RandomState(11)
+    a, b = np.linalg.qr(rng.randn(48, 2))[0].T
+    at = lambda degrees: np.cos(np.radians(degrees)) * a + np.sin(np.radians(degrees)) * b
+    rows = [(at(d) + 0.003 * rng.randn(48)).astype(np.float32).tolist() for d in (0, 150) for _ in range(20)]
+    return list(enumerate(rows)) + [(50, at(49.5).astype(np.float32).tolist()), (51, at(100.5).astype(np.float32).tolist())]
+
+
+def test_density_decides_what_a_thin_bridge_joins(spark, monkeypatch):
+    df = table(spark, thin_bridge())
+    assert len({r.head for r in peaks.clusters(df, "vec_id", "emb").collect()}) == 1  # linked through the bridge
+    found = peaks.clusters(df, "vec_id", "emb", links=50, support=0.9)
+    parts = {}
+    for r in found.collect():
+        parts.setdefault(r.head, set()).add(r.key)
+        assert (r.delta == 1.0) == (r.key == r.peak)
+    assert sorted(map(len, parts.values())) == [21, 21]
+    whole = peaks.ranked
+    monkeypatch.setattr(peaks, "ranked", lambda lists, density: whole(lists, density.withColumn("density", F.when(F.col("key") >= 50, F.col("key") + 10**12).otherwise(F.col("density")))))
+    broken = {r.head for r in peaks.clusters(df, "vec_id", "emb", links=50, support=0.9).collect()}
+    assert len(broken) == 1  # with the bridge as the peak of all, nothing is cut
+
+
 def test_unusable_elements(spark):
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(3)] + [(9, [1.0, None, 3.0]), (10, [1.0, None, 3.0]), (11, [float("nan")] * 3), (12, [float("inf"), 0.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id bigint, emb array<float>")
@@ -104,13 +178,19 @@ def test_peaks_joined_along_a_path(spark):
     assert {r.peak: r.top for r in peaks.join_peaks(links).collect()} == {**{i: 0 for i in range(31)}, 50: 50, 51: 50}
 
 
-def test_join_with_a_hot_key(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_LEAST", 1000)
+def test_join_with_a_hot_key(spark):
     rows = spark.range(6000).selectExpr("id", "if(id % 3 = 0, 0, id) as k")
     lookup = spark.range(6000).selectExpr("id as k", "id * 2 as v", "if(id = 0, 2000L, 1L) as n")
     for size in ("n", None):
         joined = skew.join_unique(rows, lookup, ["k"], size)
         assert joined.count() == 6000 and joined.where("v <> k * 2").count() == 0
+    assert {r.k for r in skew.hot_keys(rows, ["k"], 6000).collect()} == {0}
+    assert "Broadcast" in skew.join_unique(rows, lookup, ["k"])._jdf.queryExecution().optimizedPlan().toString() or "broadcast" in skew.join_unique(rows, lookup, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_key_of_a_third_of_many_rows_is_found(spark):
+    rows = spark.range(600_000).selectExpr("if(id % 3 = 0, 0, id) as k")
+    assert {r.k for r in skew.hot_keys(rows, ["k"], 600_000).collect()} == {0}
 
 
 def crowd(seed=7, each=20, dim=48):
@@ -135,7 +215,7 @@ def test_dense_parts_join_beyond_the_nearest(spark):
     found = peaks.clusters(table(spark, rows), "vec_id", "emb").collect()
     assert {(r.head, r.key) for r in found} == brute_clusters(rows)
     expected = densities(rows)
-    assert all(abs(r.density - expected[r.key]) < 1e-6 for r in found)
+    assert all(abs(r.density - expected[r.key]) < 2e-4 for r in found)
 
 
 def test_pairs_that_meet_in_several_leaves_count_once(spark):
@@ -145,5 +225,5 @@ def test_pairs_that_meet_in_several_leaves_count_once(spark):
     lists = neighbours.neighbour_lists(table(spark, rows), "vec_id", "emb", forest, 48, 15, 0.6, visits=50, slack=9.0, whole=True).collect()
     expected = densities(rows)
     copies = {901: 5}  # those of a vector itself are not in the sum
-    assert forest.leaves > 4 and len(lists) > 500
-    assert all(abs(r.mass / 1e9 + copies.get(r.key, 0) - expected[r.key]) < 1e-6 for r in lists)
+    assert forest.leaves > 4 and len(lists) > 500 and max(len(r.tops) for r in lists) < 50
+    assert all(abs(r.mass / 1e6 + copies.get(r.key, 0) - expected[r.key]) < 2e-4 for r in lists)
