@@ -67,7 +67,7 @@ def usable(emb: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def unit(x: np.ndarray) -> np.ndarray:
-    return (x / np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64))[:, None]).astype(np.float32)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x, dtype=np.float64)).astype(np.float32)[:, None]
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -103,7 +103,7 @@ class Forest:
 
     @classmethod
     def fit(cls, sample: np.ndarray, total: int, trees: int = TREES, leaf: int | None = None, seed: int = 1) -> Forest:
-        """Trees for `total` vectors from unit vectors of a sample."""
+        """Trees for `total` vectors from unit vectors of a sample, whose order is not kept."""
         forest = cls()
         leaf = leaf or min(LEAF, max(FEWEST, -(-total // PARTS)))
         grouped = _grouped(sample)
@@ -137,7 +137,10 @@ class Forest:
         self.t.append(t)
         self.children.append([0, 0])
         above = x @ w > t
-        for side, some in enumerate((~above, above)):
+        order = np.argsort(above, kind="stable")
+        x[:], grouped[:] = x[order], grouped[order]  # sorted in place: the sides are views, and the sample is in memory once
+        cut_at = len(x) - int(above.sum())
+        for side, some in enumerate((slice(0, cut_at), slice(cut_at, len(x)))):
             part = x[some]
             self.children[at][side] = self._grow(part, grouped[some], part.mean(0) if len(part) else middle, need * (share if side else 1 - share), leaf, rng, shared, level, depth + 1)
         return at
@@ -199,17 +202,19 @@ def _grouped(x: np.ndarray, similar: float = 0.6, against: int = 4000) -> np.nda
     """Which vectors of the sample have a similar one among its first part."""
     head = x[:against]
     out = np.zeros(len(x), bool)
-    for a in range(0, len(x), 2000):
-        near = (x[a : a + 2000] @ head.T >= similar).sum(1)
-        out[a : a + 2000] = near > (np.arange(a, a + len(near)) < against)
+    for a in range(0, len(x), 500):
+        near = (x[a : a + 500] @ head.T >= similar).sum(1)
+        out[a : a + 500] = near > (np.arange(a, a + len(near)) < against)
     return out
 
 
 def _split(x: np.ndarray, grouped: np.ndarray, rng) -> tuple[np.ndarray, float]:
     """The best of some random directions and thresholds: few grouped vectors within reach of the cut."""
-    pool = x[grouped] if grouped.sum() > 10 else x
-    pool = pool[rng.permutation(len(pool))[:4000]]
-    g = pool @ pool.T >= 0.6
+    pool = np.flatnonzero(grouped) if grouped.sum() > 10 else np.arange(len(x))
+    pool = x[np.sort(pool[rng.permutation(len(pool))[:4000]])]
+    g = np.empty((len(pool), len(pool)), bool)
+    for a in range(0, len(pool), 500):  # no more than a strip of products at once
+        np.greater_equal(pool[a : a + 500] @ pool.T, 0.6, out=g[a : a + 500])
     alive = np.ones(len(pool), bool)
     anchors, mass = [], []
     for i in np.argsort(-g.sum(1), kind="stable"):
@@ -222,7 +227,7 @@ def _split(x: np.ndarray, grouped: np.ndarray, rng) -> tuple[np.ndarray, float]:
                 break
     a, mass = np.array(anchors), np.array(mass, float)
     gram = a @ a.T + np.diag(0.3 / np.sqrt(mass / mass.max()))
-    measured = x[grouped] if grouped.sum() > 10 else x
+    measured = grouped if grouped.sum() > 10 else slice(None)
     best = None
     for _ in range(_DRAWS):
         signs = np.zeros(len(a))
@@ -232,7 +237,8 @@ def _split(x: np.ndarray, grouped: np.ndarray, rng) -> tuple[np.ndarray, float]:
             balance += signs[i] * mass[i]
         w = a.T @ np.linalg.solve(gram, signs)
         w = (w / (np.linalg.norm(w) or 1.0)).astype(np.float32)
-        p, q = x @ w, measured @ w
+        p = x @ w
+        q = p[measured]
         for t in np.quantile(p, (0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65)):
             loss = (np.abs(q - t) < 0.05).mean()
             if best is None or loss < best[0]:
@@ -393,6 +399,7 @@ def fit_forest(df: DataFrame, key: str, emb: str, trees: int = TREES, sample: in
     if len(found):
         dim = int(np.bincount(found.value_lengths().to_numpy(zero_copy_only=False)).argmax())
         _, x = usable(found, dim)
+        del found
     return Forest.fit(unit(x), total, trees, leaf).pack() if len(x) else Forest.fit(np.zeros((1, 1), np.float32), 1, trees, 1).pack(), dim if len(x) else 0
 
 
