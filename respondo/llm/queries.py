@@ -141,24 +141,28 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares(cut(p9_mix(spark, sf_dir), "mixture"), read_table(spark, sf_dir, "mix_targets"))
 
 
-def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _subjects(spark: SparkSession, sf_dir: str) -> tuple:
     from . import subjects
     from .sentences import fit_model
 
     areas = [r.subject for r in read_table(spark, sf_dir, "subject_areas").where(F.col("subject").isNotNull()).select("subject").distinct().orderBy("subject").collect()]
     model = fit_model(read_table(spark, sf_dir, "sentence_analysis"), "analysis_id", "automic_sentence")
-    units = subjects.featurise(read_table(spark, sf_dir, "documents"), "doc_id", "text", model)
+    found = subjects.featurise(read_table(spark, sf_dir, "documents"), "doc_id", "text", model, "lang")
     labels = read_table(spark, sf_dir, "subject_labels").select(F.col("doc_id").alias("key"), "subject")
-    fitted, data = subjects.fit(units, labels, areas)
-    return subjects.assign(data, fitted).withColumnRenamed("key", "doc_id")
+    fitted, data = subjects.fit(found, labels, areas)
+    return data, fitted
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _subjects(spark, sf_dir).select("doc_id", "subject")
+    from .subjects import assign
+
+    return assign(*_subjects(spark, sf_dir)).select(F.col("key").alias("doc_id"), "subject")
 
 
 def p10_posteriors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _subjects(spark, sf_dir).select("doc_id", "subject", "n_sentences", F.round("posterior", 4).alias("posterior"))
+    from .subjects import posteriors
+
+    return posteriors(*_subjects(spark, sf_dir)).select(F.col("key").alias("doc_id"), "subject", "n_sentences", F.round("posterior", 4).alias("posterior"))
 
 
 _QUERIES = [p1_found, p1_neighbours, p2_found, p2_clusters, p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source, p9_mix, p9_shares, p10_found, p10_posteriors]

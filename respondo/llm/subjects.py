@@ -1,20 +1,21 @@
 """The subject areas of each document: complement naive Bayes, refined by expectation-maximisation over
 unlabelled documents, with calibrated independent posteriors.
 
-A document is a list of sentences or lines, each a bag of hashed features (words, word pairs, Hangul
-prefixes, Han and kana sequences) in the bucket range of the document's language. The weight of a
+A document is a list of sentences or lines, cut at line ends and end marks, each a bag of hashed features (words, word pairs, Hangul
+prefixes, Han and kana sequences) in the bucket range of the document's language; a long stretch without marks is cut by the boundary model of `sentences`. The weight of a
 feature for a subject is the smoothed log odds of the feature within the subject against all others (the
 complement), relative to the subject's share of its language, so that wording common to a language says
 nothing. Labelled documents give the first counts; each round takes, for every unlabelled document, the
 posterior of each of its features over the subjects and `none` under the document's own mixture, and adds
 the soft counts, discounted, to those of the labels. Only the count table travels: its size is fixed by
 the number of buckets, whatever the corpus. A document is about a subject if at least two of its sentences
-are; the evidence of the second strongest sentence is mapped to a posterior per subject by a logistic
-curve fitted against labelled documents (at most `MAX_LABELS`)."""
+are, so what decides is the evidence of its second strongest sentence: a logistic curve for each subject, fitted against labelled
+documents (at most `MAX_LABELS`), maps it to a posterior of its own, and subjects of a posterior above one half are assigned."""
 
 from __future__ import annotations
 
 import math
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +28,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut, spread
-from .personal import shadow
 from .sentences import BoundaryModel, sentence_ends
 
 #: Hash buckets of each language group, and of all.
@@ -36,11 +36,28 @@ RANGE = 1 << 15
 MAX_LABELS = 20_000
 ROUNDS = 4
 SMOOTHING = 1.0
-#: Weight of the soft counts of unlabelled documents, and the most a feature counts in one document.
+#: Weight of the soft counts of unlabelled documents.
 UNLABELLED = 0.3
-MOST = 3
+#: Steps to a document's mixture, and the least weight of a feature that has a say in it.
+STEPS, TELLING = 4, 0.5
+#: The share of labels that is taken to be wrong when posteriors are calibrated.
+WRONG = 0.05
+#: How many labels' worth the belief weighs that a curve crosses one half where there is no evidence either way.
+PRIOR = 4.0
+#: Subjects above this posterior are assigned.
+ASSIGNED = 0.5
+#: Labelled documents up to which their votes are broadcast; beyond, they are joined by a shuffle.
+BROADCAST_LABELS = 200_000
 #: Documents whose features are weighed together.
-_TOGETHER = 512
+_TOGETHER = 2048
+#: Characters without an end mark after which the boundary model looks for more sentences.
+_LONG = 90
+_INVISIBLE = regex.compile(r"[\u00ad\u034f\u061c\u200b-\u200f\u202a-\u202e\u2060-\u206f\ufeff]+")
+_LINES = regex.compile(r"[^\n\r\x0b\x0c\x85\u2028\u2029]+")
+_END = regex.compile(r"[.!?。।॥؟…♪~～]+[\"'”’」』)\]】]*")
+_ENCLOSED = regex.compile(r"[\"“„「『(\[«《【‘'][^\"”“」』)\]»》】]*[.!?。…][^\"”“」』)\]»》】]*[\"”“」』)\]»》】’']")
+_SHORT = regex.compile(r"(?:^|(?<=[\s(]))(?:\p{Lu}\p{L}{0,2}|\p{L}|\d{1,2})$")
+_SURE = frozenset("。।॥؟♪")
 NONE = "none"
 _RUN = regex.compile(r"(?P<hangul>\p{Hangul}+)|(?P<sign>[\p{Han}\p{Hiragana}\p{Katakana}ー々]+)|(?P<word>[\p{L}\p{M}]+(?:['’-][\p{L}\p{M}]+)*)")
 # Common words of languages in Latin script.
@@ -54,10 +71,15 @@ _SCRIPT = {language: regex.compile(p) for language, p in _SCRIPTS.items()}
 GROUPS = [*_SCRIPTS, *COMMON, "other"]
 BUCKETS = RANGE * len(GROUPS)
 _LATIN = regex.compile(r"\p{Latin}")
+_STATED = {name: i for i, name in enumerate(GROUPS) if name != "other"}
 
 
-def group_of(text: str) -> int:
-    """The number of the language group of a text: by script, and for Latin script by its common words."""
+def group_of(text: str, lang: str | None = None) -> int:
+    """The number of the language group of a text: the stated language if it is one of them, else by script, and
+    for Latin script by its common words."""
+    stated = (lang or "").strip().lower()
+    if stated in _STATED:
+        return _STATED[stated]
     counts = {language: len(p.findall(text)) for language, p in _SCRIPT.items()}
     if counts["ja"] * 6 > counts["zh"]:
         counts["ja"], counts["zh"] = counts["ja"] + counts["zh"] if counts["ja"] else 0, 0 if counts["ja"] else counts["zh"]
@@ -70,6 +92,36 @@ def group_of(text: str) -> int:
     return GROUPS.index(best if hits[best] else "other")
 
 
+def units(model: BoundaryModel, text: str) -> list[str]:
+    """The sentences and lines of a text: cut at line ends, at marks that only end sentences and at others before white space
+    and no small letter, but not after a short capital word as in Dr. or No.; lines with marks inside quotations or
+    brackets and what is still long are cut by the boundary model."""
+    out = []
+    for line in _LINES.findall(text):
+        if _ENCLOSED.search(line):
+            out += _decoded(model, line)
+            continue
+        begin = 0
+        for m in _END.finditer(line):
+            end, sign = m.end(), m.group()
+            following = line[end : end + 1]
+            if _SURE.isdisjoint(sign) and following:
+                if following.isspace():
+                    if line[end + 1 : end + 2].islower() or (sign == "." and _SHORT.search(line, begin, m.start())):
+                        continue
+                elif following < "\u2e80" or sign[0] == ".":
+                    continue
+            out += [line[begin:end]] if end - begin <= _LONG else _decoded(model, line[begin:end])
+            begin = end
+        out += [line[begin:]] if len(line) - begin <= _LONG else _decoded(model, line[begin:])
+    return out
+
+
+def _decoded(model: BoundaryModel, line: str) -> list[str]:
+    ends = sentence_ends(model, line)
+    return [line[a:b] for a, b in zip([0, *ends], ends)]
+
+
 #: Hashes of words and of their pairs that a worker remembers, then starts afresh.
 _REMEMBERED = 1 << 18
 _seen: dict[tuple[int, str, str, str], tuple[int, ...]] = {}
@@ -105,7 +157,7 @@ def features(sentence: str, group: int) -> list[int]:
     return sorted(found)
 
 
-def featurise(documents: DataFrame, key: str, text: str, model: BoundaryModel) -> DataFrame:
+def featurise(documents: DataFrame, key: str, text: str, model: BoundaryModel, lang: str | None = None) -> DataFrame:
     """(key, sentences array<array<int>>, found array<int>, n array<int>): the features of each sentence or
     line, and those of the whole document with their numbers; empty for null and blank texts."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
@@ -115,18 +167,17 @@ def featurise(documents: DataFrame, key: str, text: str, model: BoundaryModel) -
         decode = shared.value
         for batch in batches:
             out = []
-            for value in batch.column(1).to_pylist():
-                plain = shadow(value)[0] if value else ""
-                begin, units, group = 0, [], group_of(plain)
-                for end in sentence_ends(decode, plain):
-                    units.append(features(plain[begin:end], group))
-                    begin = end
-                out.append([u for u in units if u])
-            whole = [Counter(f for u in units for f in u) for units in out]
+            for value, stated in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                plain = unicodedata.normalize("NFKC", _INVISIBLE.sub("", value)) if value else ""
+                group = group_of(plain, stated)
+                found = [features(u, group) for u in units(decode, plain)]
+                out.append([u for u in found if u])
+            whole = [Counter(f for u in found for f in u) for found in out]
             lists = [pa.array(x, pa.list_(pa.int32())) for x in ([list(c) for c in whole], [list(c.values()) for c in whole])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.list_(pa.int32()))), *lists], names=["key", "sentences", "found", "n"])
 
-    return spread(documents.select(F.col(key).alias("key"), F.col(text).cast("string"))).mapInArrow(run, schema)
+    stated = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
+    return spread(documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), stated.alias("lang"))).mapInArrow(run, schema)
 
 
 def weights(counts: np.ndarray) -> np.ndarray:
@@ -146,14 +197,14 @@ class Weights:
         self.rows = np.flatnonzero(w.any(1)).astype(np.int32)
         self.values = w[self.rows].astype(np.float16)
         self.classes = w.shape[1]
-        self._whole = None
+        self._whole = self._likely = self._telling = None
 
     def __getstate__(self):
         return self.rows, self.values, self.classes
 
     def __setstate__(self, state):
         self.rows, self.values, self.classes = state
-        self._whole = None
+        self._whole = self._likely = self._telling = None
 
     @property
     def whole(self) -> np.ndarray:
@@ -162,6 +213,21 @@ class Weights:
             self._whole[self.rows] = self.values
         return self._whole
 
+    @property
+    def likely(self) -> np.ndarray:
+        """The odds of each feature and class."""
+        if self._likely is None:
+            self._likely = np.exp(np.clip(self.whole, -6, 6))
+        return self._likely
+
+    @property
+    def telling(self) -> np.ndarray:
+        """The say of each feature in the mixture of its document; 0 for those that tell little."""
+        if self._telling is None:
+            top = self.whole.max(1)
+            self._telling = np.where(top >= TELLING, top, 0)
+        return self._telling
+
 
 def _evidence(w: np.ndarray, sentences: list[list[int]]) -> np.ndarray:
     """One row of class scores per sentence."""
@@ -170,20 +236,25 @@ def _evidence(w: np.ndarray, sentences: list[list[int]]) -> np.ndarray:
     return np.add.reduceat(w[flat], cuts, axis=0)
 
 
-def _soft_counts(w: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def _soft_counts(w: Weights, found: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Of each feature of some documents over the classes, under the mixture of its document that the
-    document's telling features settle. `w` and `n` are the documents' features end to end, `sizes` how many each
+    document's telling features settle. `found` and `n` are the documents' features end to end, `sizes` how many each
     document has, none of them 0."""
-    likely = np.exp(np.clip(w, -6, 6))
-    telling = n * np.clip(w, 0, None).max(1)
-    starts = np.cumsum(sizes) - sizes
-    mixture = np.full((len(sizes), w.shape[1]), 1.0 / w.shape[1], np.float32)
-    for _ in range(6):
-        p = likely * np.repeat(mixture, sizes, axis=0)
-        p /= p.sum(1, keepdims=True)
-        mixture = np.add.reduceat(p * telling[:, None], starts, axis=0) + 0.3
-        mixture /= mixture.sum(1, keepdims=True)
-    return p * n[:, None]
+    likely, telling = w.likely[found], n * w.telling[found]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    some = np.flatnonzero(telling)
+    part, weight, whose = likely[some], telling[some][:, None], owner[some]
+    starts = np.flatnonzero(np.r_[True, whose[1:] != whose[:-1]]) if len(some) else some
+    heads = whose[starts]
+    mixture = np.full((len(sizes), w.classes), 1.0 / w.classes, np.float32)
+    for _ in range(STEPS if len(some) else 0):
+        p = part * mixture[whose]
+        p *= weight / p.sum(1, keepdims=True)
+        mixture[heads] = np.add.reduceat(p, starts, axis=0) + 0.3
+        mixture[heads] /= mixture[heads].sum(1, keepdims=True)
+    likely *= mixture[owner]
+    likely *= (n / likely.sum(1))[:, None]
+    return likely
 
 
 def _count(df: DataFrame, classes: int, shared) -> np.ndarray:
@@ -192,20 +263,21 @@ def _count(df: DataFrame, classes: int, shared) -> np.ndarray:
     schema = T.StructType([T.StructField("f", T.IntegerType()), T.StructField("c", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = None if shared is None else shared.value.whole
         table = np.zeros((BUCKETS, classes))
         for batch in batches:
             for a in range(0, batch.num_rows, _TOGETHER):
                 part = batch.slice(a, _TOGETHER)
                 sizes = part.column(0).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
                 found = part.column(0).flatten().to_numpy(zero_copy_only=False)
-                n = np.minimum(part.column(1).flatten().to_numpy(zero_copy_only=False), MOST).astype(np.float32)
-                if w is None:
+                n = 1 + np.log(part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float32))  # repetitions say less and less
+                if shared is None:
                     votes = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, classes)
                     soft = np.repeat(votes / votes.sum(1, keepdims=True), sizes, axis=0) * n[:, None]
                 else:
-                    soft = _soft_counts(w[found], n, sizes)
-                np.add.at(table, found, soft)
+                    soft = _soft_counts(shared.value, found, n, sizes)
+                buckets, place = np.unique(found, return_inverse=True)
+                for c in range(classes):
+                    table[buckets, c] += np.bincount(place, soft[:, c], len(buckets))
         rows = np.flatnonzero(table.any(1))
         for i in range(0, len(rows), 10_000):
             part = rows[i : i + 10_000]
@@ -242,18 +314,43 @@ def _second(w: np.ndarray, sentences: list[list[int]] | None, classes: int) -> t
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve by penalised Newton steps; the slope is kept positive."""
+    """Slope and offset of a logistic curve by penalised Newton steps, each halved until it does not make things worse;
+    the penalty holds slope and offset near 1 and 0 where labels are few or leave nothing to tell."""
+
+    def loss(a: float, b: float) -> float:
+        z = a * x + b
+        return float(np.logaddexp(0, z).sum() - (y * z).sum() + PRIOR * ((a - 1) ** 2 + b * b))
+
     a, b = 1.0, 0.0
-    for _ in range(30):
+    now = loss(a, b)
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g = np.array([((p - y) * x).sum() + 0.1 * (a - 1), (p - y).sum() + 0.1 * b])
         v = p * (1 - p)
-        h = np.array([[(v * x * x).sum() + 0.1, (v * x).sum()], [(v * x).sum(), v.sum() + 0.1]])
-        step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
+        g = np.array([((p - y) * x).sum() + 2 * PRIOR * (a - 1), (p - y).sum() + 2 * PRIOR * b])
+        step = np.linalg.solve(np.array([[(v * x * x).sum() + 2 * PRIOR, (v * x).sum()], [(v * x).sum(), v.sum() + 2 * PRIOR]]), g)
+        share = 1.0
+        while share > 1e-4 and loss(a - share * step[0], b - share * step[1]) > now:
+            share /= 2
+        a, b = a - share * step[0], b - share * step[1]
+        before, now = now, loss(a, b)
+        if before - now < 1e-9:
+            break
     return max(a, 0.05), b
 
 
+def calibrated(x: np.ndarray, y: np.ndarray, wrong: float = WRONG) -> tuple[float, float]:
+    """A logistic curve of evidence against labels of which a part is wrong: each round fits the curve to the chance that a
+    document is about the subject, given its label and the last curve."""
+    truth = np.where(y > 0, 1 - wrong, wrong)
+    curve = (1.0, 0.0)
+    for _ in range(12):
+        curve = _logistic(x, truth)
+        p = 1 / (1 + np.exp(-np.clip(curve[0] * x + curve[1], -30, 30)))
+        yes, no = np.where(y > 0, 1 - wrong, wrong), np.where(y > 0, wrong, 1 - wrong)
+        truth = p * yes / (p * yes + (1 - p) * no)
+    return curve
+
+
 class SubjectModel:
     """Feature weights, subject names and calibration curves."""
 
@@ -272,7 +369,9 @@ def fit(sentences: DataFrame, labels: DataFrame, subjects: list[str], rounds: in
     votes = labels.where(F.col("key").isNotNull() & F.col("subject").isNotNull()).groupBy("key").agg(
         F.array(*[F.sum((number == i).cast("double")) for i in range(len(names))]).alias("votes")
     )
-    data = cut(sentences.join(votes, "key", "left"), "subject-features")
+    votes = cut(votes, "subject-votes")
+    few = votes.count() <= BROADCAST_LABELS
+    data = cut(sentences.join(F.broadcast(votes) if few else votes, "key", "left"), "subject-features")
     labelled = _count(data, len(names), None)
     w = weights(labelled)
     for _ in range(rounds):
@@ -286,12 +385,14 @@ def fit(sentences: DataFrame, labels: DataFrame, subjects: list[str], rounds: in
     if x:
         x = np.array(x)
         y = np.array(sample.column("votes").to_pylist())[:, : len(subjects)] > 0
-        curves = [_logistic(x[:, c], y[:, c].astype(float)) for c in range(len(subjects))]
+        curves = [calibrated(x[:, c], y[:, c].astype(float)) for c in range(len(subjects))]
     return SubjectModel(subjects, w, curves), data
 
 
-def assign(data: DataFrame, model: SubjectModel) -> DataFrame:
-    """(key, subject, n_sentences, evidence, posterior): for each document, the subjects it is about."""
+def posteriors(data: DataFrame, model: SubjectModel) -> DataFrame:
+    """(key, subject, n_sentences, evidence, posterior): for each document and every subject, how many of its sentences
+    lead for it, the evidence of the second strongest and its calibrated posterior. A document without features has the posterior of no
+    evidence; null and repeated keys pass through."""
     shared = data.sparkSession.sparkContext.broadcast(model)
     kind = data.schema["key"].dataType
     schema = T.StructType(
@@ -300,21 +401,23 @@ def assign(data: DataFrame, model: SubjectModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        classes = len(m.subjects) + 1
+        subjects = len(m.subjects)
+        slope, offset = np.array(m.curves).T if subjects else (np.zeros(0), np.zeros(0))
         for batch in batches:
-            rows, names, sizes, strength, posterior = [], [], [], [], []
-            for i, sentences in enumerate(batch.column(1).to_pylist()):
-                second, n = _second(m.w.whole, sentences, classes)
-                for c in np.flatnonzero(n >= 2):
-                    a, b = m.curves[c]
-                    rows.append(i)
-                    names.append(m.subjects[c])
-                    sizes.append(int(n[c]))
-                    strength.append(float(second[c]))
-                    posterior.append(1 / (1 + math.exp(-max(-30.0, min(30.0, a * float(second[c]) + b)))))
+            each = [_second(m.w.whole, sentences, subjects + 1) for sentences in batch.column(1).to_pylist()]
+            if not each or not subjects:
+                continue
+            evidence, n = np.stack([e for e, _ in each]), np.stack([c for _, c in each])
+            posterior = 1 / (1 + np.exp(-np.clip(slope * evidence + offset, -30, 30)))
+            rows = np.repeat(np.arange(len(each)), subjects)
+            names = pa.DictionaryArray.from_arrays(pa.array(np.tile(np.arange(subjects, dtype=np.int32), len(each))), pa.array(m.subjects, pa.string())).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(names, pa.string()), pa.array(sizes, pa.int64()), pa.array(strength, pa.float64()), pa.array(posterior, pa.float64())],
-                names=["key", "subject", "n_sentences", "evidence", "posterior"],
+                [batch.column(0).take(pa.array(rows)), names, pa.array(n.ravel().astype(np.int64)), pa.array(evidence.ravel()), pa.array(posterior.ravel())], names=["key", "subject", "n_sentences", "evidence", "posterior"]
             )
 
     return data.select("key", "sentences").mapInArrow(run, schema)
+
+
+def assign(data: DataFrame, model: SubjectModel, least: float = ASSIGNED) -> DataFrame:
+    """The rows of `posteriors` above the given posterior: the subjects each document is about, none, one or several."""
+    return posteriors(data, model).where(F.col("posterior") > least)
