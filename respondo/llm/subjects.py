@@ -113,7 +113,8 @@ def units(model: BoundaryModel, text: str) -> list[str]:
                     continue
             out += [line[begin:end]] if end - begin <= _LONG else _decoded(model, line[begin:end])
             begin = end
-        out += [line[begin:]] if len(line) - begin <= _LONG else _decoded(model, line[begin:])
+        if begin < len(line):
+            out += [line[begin:]] if len(line) - begin <= _LONG else _decoded(model, line[begin:])
     return out
 
 
@@ -229,13 +230,6 @@ class Weights:
         return self._telling
 
 
-def _evidence(w: np.ndarray, sentences: list[list[int]]) -> np.ndarray:
-    """One row of class scores per sentence."""
-    flat = np.fromiter((f for s in sentences for f in s), np.int64)
-    cuts = np.cumsum([0] + [len(s) for s in sentences[:-1]])
-    return np.add.reduceat(w[flat], cuts, axis=0)
-
-
 def _soft_counts(w: Weights, found: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Of each feature of some documents over the classes, under the mixture of its document that the
     document's telling features settle. `found` and `n` are the documents' features end to end, `sizes` how many each
@@ -295,22 +289,31 @@ def _count(df: DataFrame, classes: int, shared) -> np.ndarray:
     return table
 
 
-def _second(w: np.ndarray, sentences: list[list[int]] | None, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each subject (all classes but the last, `none`): the evidence of the second strongest sentence,
-    and how many sentences are about it. A sentence's evidence for a subject is its lead over the best
-    other class, so that a sentence counts for one subject only, and not for weak hints."""
-    subjects = classes - 1
-    if not sentences:
-        return np.full(subjects, -20.0), np.zeros(subjects, np.int64)
-    scores = _evidence(w, sentences)
-    top = np.argsort(scores, axis=1)
-    best, runner = top[:, -1], top[:, -2]
-    rows = np.arange(len(scores))
-    rival = np.repeat(scores[rows, best][:, None], classes, 1)
-    rival[rows, best] = scores[rows, runner]
-    lead = np.minimum(scores - np.maximum(rival, 0.0), scores)[:, :subjects]
-    ordered = np.sort(np.vstack([lead, np.full((2, subjects), -20.0)]), axis=0)
-    return np.clip(ordered[-2], -20, 20), (lead > 0).sum(0)
+def _second(w: np.ndarray, sentences: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """For each document and subject (all classes but the last, `none`): the evidence of the second strongest
+    sentence, and how many sentences are about it. A sentence's evidence for a subject is its lead over the best
+    other class, so that a sentence counts for one subject only, and not for weak hints; -20 where there is none."""
+    subjects = w.shape[1] - 1
+    if isinstance(sentences, pa.ChunkedArray):
+        sentences = sentences.combine_chunks()
+    sizes = sentences.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    second, n = np.full((len(sizes), subjects), -20.0), np.zeros((len(sizes), subjects), np.int64)
+    parts = sentences.flatten()
+    if not len(parts):
+        return second, n
+    lengths = parts.value_lengths().to_numpy(zero_copy_only=False)  # no sentence is without features
+    scores = np.add.reduceat(w[parts.flatten().to_numpy(zero_copy_only=False)], np.r_[0, np.cumsum(lengths)[:-1]], axis=0)
+    two = np.partition(scores, -2, axis=1)[:, -2:]
+    lead = scores - np.maximum(np.where(scores == two[:, 1:], two[:, :1], two[:, 1:]), 0.0)
+    lead = np.minimum(lead, scores)[:, :subjects]
+    some = np.flatnonzero(sizes)
+    starts = (np.cumsum(sizes) - sizes)[some]
+    best = np.maximum.reduceat(lead, starts, axis=0)
+    ties = lead == np.repeat(best, sizes[some], axis=0)
+    rest = np.maximum.reduceat(np.where(ties, -20.0, lead), starts, axis=0)
+    second[some] = np.clip(np.where(np.add.reduceat(ties, starts, axis=0, dtype=np.int64) > 1, best, rest), -20, 20)
+    n[some] = np.add.reduceat(lead > 0, starts, axis=0, dtype=np.int64)
+    return second, n
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -380,10 +383,9 @@ def fit(sentences: DataFrame, labels: DataFrame, subjects: list[str], rounds: in
         shared.destroy()
     w = Weights(w)
     sample = data.where(F.col("votes").isNotNull()).orderBy(F.xxhash64("key")).limit(MAX_LABELS).select("sentences", "votes").toArrow()
-    x = [_second(w.whole, s, len(names))[0] for s in sample.column("sentences").to_pylist()]
+    x, _ = _second(w.whole, sample.column("sentences"))
     curves = [(1.0, 0.0)] * len(subjects)
-    if x:
-        x = np.array(x)
+    if len(x):
         y = np.array(sample.column("votes").to_pylist())[:, : len(subjects)] > 0
         curves = [calibrated(x[:, c], y[:, c].astype(float)) for c in range(len(subjects))]
     return SubjectModel(subjects, w, curves), data
@@ -404,13 +406,12 @@ def posteriors(data: DataFrame, model: SubjectModel) -> DataFrame:
         subjects = len(m.subjects)
         slope, offset = np.array(m.curves).T if subjects else (np.zeros(0), np.zeros(0))
         for batch in batches:
-            each = [_second(m.w.whole, sentences, subjects + 1) for sentences in batch.column(1).to_pylist()]
-            if not each or not subjects:
+            if not batch.num_rows or not subjects:
                 continue
-            evidence, n = np.stack([e for e, _ in each]), np.stack([c for _, c in each])
+            evidence, n = _second(m.w.whole, batch.column(1))
             posterior = 1 / (1 + np.exp(-np.clip(slope * evidence + offset, -30, 30)))
-            rows = np.repeat(np.arange(len(each)), subjects)
-            names = pa.DictionaryArray.from_arrays(pa.array(np.tile(np.arange(subjects, dtype=np.int32), len(each))), pa.array(m.subjects, pa.string())).cast(pa.string())
+            rows = np.repeat(np.arange(len(n)), subjects)
+            names = pa.DictionaryArray.from_arrays(pa.array(np.tile(np.arange(subjects, dtype=np.int32), len(n))), pa.array(m.subjects, pa.string())).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows)), names, pa.array(n.ravel().astype(np.int64)), pa.array(evidence.ravel()), pa.array(posterior.ravel())], names=["key", "subject", "n_sentences", "evidence", "posterior"]
             )
