@@ -115,6 +115,21 @@ def p7_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marks(_term_counts(spark, sf_dir)).select(F.col("role").alias("svc_role"), "term", "occurrences", F.col("records").alias("n_rows"), "mark")
 
 
+def p7_after_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts after a change of a loaded store: all terms are put into lower case, and rows that do not answer their
+    question are deleted. The change comes in as signed deltas."""
+    from .term_counts import TermStore, svc_roles
+
+    old = read_table(spark, sf_dir, "sentence_analysis").select("analysis_id", "svc_keywords", "matching_question")
+    low = lambda c: F.transform(c, F.lower)
+    fixed = F.transform_values("svc_keywords", lambda _, v: F.struct(low(v["s"]).alias("s"), low(v["v"]).alias("v"), low(v["c"]).alias("c")))
+    new = old.where(F.coalesce("matching_question", F.lit(True))).withColumn("svc_keywords", fixed)
+    store = TermStore(spark, f"{shared_dir(spark)}/terms-{uuid.uuid4().hex}")
+    store.apply(None, old, "analysis_id", ["svc_keywords"], svc_roles)
+    store.apply(old, new, "analysis_id", ["svc_keywords"], svc_roles)
+    return store.counts().where("role <> '*'").select(F.col("role").alias("svc_role"), "term", "occurrences", F.col("records").alias("n_rows"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .encode import encode_documents
 
@@ -165,23 +180,25 @@ def p10_posteriors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posteriors(*_subjects(spark, sf_dir)).select(F.col("key").alias("doc_id"), "subject", "n_sentences", F.round("posterior", 4).alias("posterior"))
 
 
-_QUERIES = [p1_found, p1_neighbours, p2_found, p2_clusters, p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p8_ids, p8_tokens_by_source, p9_mix, p9_shares, p10_found, p10_posteriors]
+_QUERIES = [p1_found, p1_neighbours, p2_found, p2_clusters, p3_found, p3_sentences, p4_found, p4_canonical, p5_found, p5_collapsed, p6_found, p6_redacted, p7_found, p7_counts, p7_after_change, p8_ids, p8_tokens_by_source, p9_mix, p9_shares, p10_found, p10_posteriors]
 
 #: White space as `term_counts.BLANKS` strips it, for DuckDB's regular expressions.
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
-_TERMS = rf"""
+_COUNTS = rf"""
 with lists as (
-  select analysis_id, unnest(map_values(svc_keywords)) as x from sentence_analysis
+  select analysis_id, unnest(map_values(svc_keywords)) as x from sentence_analysis {{where}}
 ), raw as (
   select analysis_id, 's' as svc_role, unnest(x.s) as t from lists
   union all select analysis_id, 'v', unnest(x.v) from lists
   union all select analysis_id, 'c', unnest(x.c) from lists
 ), terms as (
-  select analysis_id, svc_role, regexp_replace(t, '^{_SPACE}+|{_SPACE}+$', '', 'g') as term from raw where t is not null
+  select analysis_id, svc_role, regexp_replace({{t}}, '^{_SPACE}+|{_SPACE}+$', '', 'g') as term from raw where t is not null
 ), counts as (
   select svc_role, term, cast(count(*) as bigint) as occurrences, cast(count(distinct analysis_id) as bigint) as n_rows
   from terms where term <> '' group by svc_role, term
-), marked as (
+)
+"""
+_TERMS = _COUNTS.replace("{where}", "").replace("{t}", "t") + """, marked as (
   select *, case when n_rows < 3 then 'rare' when n_rows > 0.05 * (select count(*) from sentence_analysis) then 'common' end as mark from counts
 )
 """
@@ -194,5 +211,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "p7_found": _TERMS + "select svc_role, term, mark from marked where mark is not null",
+        "p7_after_change": _COUNTS.replace("{where}", "where coalesce(matching_question, true)").replace("{t}", "lower(t)") + "select svc_role, term, occurrences, n_rows from counts",
         "p7_counts": _TERMS + "select svc_role, term, occurrences, n_rows, mark from marked",
     }

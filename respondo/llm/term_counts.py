@@ -46,27 +46,34 @@ def _terms_of(terms: Column, role: str) -> Column:
 
 
 def signed_rows(df: DataFrame, roles: dict[str, Column], sign: int) -> DataFrame:
-    """(role, term, occurrences, records) of every record, as changes of the given sign, summed per term.
+    """(role, term, occurrences, records) of every record, as changes of the given sign, summed per term; a column `_times`
+    says how many records a row stands for.
 
     `roles` gives the array of terms of each role. A record with null or empty lists still counts as a
     record. The sums are taken before the shuffle, so a term in a third of all rows costs one row a task."""
     records = F.array(F.struct(F.lit(ALL_RECORDS).alias("role"), F.lit("").alias("term"), F.lit(1).cast("long").alias("first")))
     entries = F.concat(records, *[_terms_of(terms, role) for role, terms in roles.items()])
-    one = df.select(F.explode(entries).alias("e")).select("e.role", "e.term", "e.first")
-    return one.groupBy("role", "term").agg((F.count("*") * sign).alias("occurrences"), (F.sum("first") * sign).alias("records"))
+    times = F.col("_times") if "_times" in df.columns else F.lit(1).cast("bigint")
+    one = df.select(F.explode(entries).alias("e"), times.alias("t")).select("e.role", "e.term", "e.first", "t")
+    return one.groupBy("role", "term").agg((F.sum("t") * sign).alias("occurrences"), (F.sum(F.col("first") * F.col("t")) * sign).alias("records"))
 
 
-def changes(old: DataFrame, new: DataFrame, key: str, watched: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(left, came): the old forms of records that were deleted or changed, and the new forms of those that
-    were added or changed; records whose watched columns hash alike in both are in neither.
+def changes(old: DataFrame, new: DataFrame, key: str, watched: list[str]) -> DataFrame:
+    """(watched..., _times): the forms of records by which `new` differs from `old`, with how many times more often they
+    stand in `new`, below 0 for those that went; what stands equally often in both is not in it.
 
-    Records are matched by key and digest, null keys by equality of nulls; of a key that is repeated, each distinct form counts once."""
+    A form is the key with a digest of the watched columns; null keys count as one key. Rows are counted per form on both sides before they
+    meet, so repeated rows and a key that holds any share of the rows cost one row a form, and every repetition counts."""
     digest = F.sha2(F.to_json(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(watched)]), {"ignoreNullFields": "false"}), 256)
-    a, b = (d.withColumn("_digest", digest) for d in (old, new))
-    same = lambda x, y: F.col(f"{x}.{key}").eqNullSafe(F.col(f"{y}.{key}")) & (F.col(f"{x}._digest") == F.col(f"{y}._digest"))
-    left = a.alias("a").join(b.select(key, "_digest").alias("b"), same("a", "b"), "left_anti").drop("_digest")
-    came = b.alias("b").join(a.select(key, "_digest").alias("a"), same("b", "a"), "left_anti").drop("_digest")
-    return left, came
+    both = [d.select(F.struct(F.col(key).alias("k"), digest.alias("d")).alias("_form"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(watched)], F.lit(sign).cast("bigint").alias("_sign")) for d, sign in ((old, -1), (new, 1))]
+    shape = F.struct(*[F.col(f"_c{i}") for i in range(len(watched))])
+    # rows of a form are alike, so any of them stands for it
+    moved = both[0].unionByName(both[1]).groupBy("_form").agg(F.sum("_sign").alias("_times"), F.any_value(shape).alias("_row")).where("_times <> 0")
+    return moved.select(*[F.col(f"_row._c{i}").alias(c) for i, c in enumerate(watched)], "_times")
+
+
+class ConcurrentChange(RuntimeError):
+    """Two changes started from the same state; the later one is not published."""
 
 
 class TermStore:
@@ -80,24 +87,44 @@ class TermStore:
         at = jvm.org.apache.hadoop.fs.Path(self.path)
         return jvm, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _manifest(self) -> dict:
+    def _latest(self) -> int:
+        """The number of the last published manifest, -1 if there is none."""
         jvm, fs = self._fs()
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest.json")
+        at = jvm.org.apache.hadoop.fs.Path(self.path)
         if not fs.exists(at):
-            return {"buckets": self.buckets, "current": {}}
-        return json.loads("".join(r.value for r in self.spark.read.text(at.toString(), wholetext=True).collect()))
+            return -1
+        found = [str(s.getPath().getName()) for s in fs.listStatus(at)]
+        return max((int(n[9:-5]) for n in found if n.startswith("manifest-") and n.endswith(".json")), default=-1)
+
+    def _manifest(self) -> dict:
+        number = self._latest()
+        if number < 0:
+            return {"version": -1, "buckets": self.buckets, "current": {}}
+        path = f"{self.path}/manifest-{number:012d}.json"
+        return json.loads("".join(r.value for r in self.spark.read.text(path, wholetext=True).collect()))
 
     def _publish(self, manifest: dict) -> None:
-        """A new manifest takes the old one's place by one rename."""
+        """The next manifest, under the next number: written aside and renamed, which fails if someone else has published
+        that number. Readers always find the last one whole, and the one before it stays for those who have read it."""
         jvm, fs = self._fs()
         path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        fresh = path(f"manifest-{uuid.uuid4().hex}")
+        manifest["version"] += 1
+        fresh, place = path(f"_fresh-{uuid.uuid4().hex}"), path(f"manifest-{manifest['version']:012d}.json")
         out = fs.create(fresh, True)
         out.write(bytearray(json.dumps(manifest).encode()))
         out.close()
-        fs.delete(path("manifest.json"), False)
-        if not fs.rename(fresh, path("manifest.json")):
-            raise OSError(f"the manifest of {self.path} could not be replaced")
+        if fs.exists(place) or not fs.rename(fresh, place):
+            fs.delete(fresh, False)
+            raise ConcurrentChange(f"{self.path} was changed at the same time; apply the change again")
+
+    def vacuum(self) -> None:
+        """Delete old manifests and what only they name. Not for use beside readers of older states."""
+        jvm, fs = self._fs()
+        manifest = self._manifest()
+        kept = {part.split("/")[0] for part in manifest["current"].values()} | {f"manifest-{manifest['version']:012d}.json"}
+        for status in fs.listStatus(jvm.org.apache.hadoop.fs.Path(self.path)):
+            if str(status.getPath().getName()) not in kept:
+                fs.delete(status.getPath(), True)
 
     def counts(self) -> DataFrame:
         """(role, term, occurrences, records) as they stand, with the row that counts records under role *."""
@@ -125,7 +152,8 @@ class TermStore:
                 moved = moved.unionByName(self.spark.read.schema(STORED).parquet(*kept))
         merged = moved.groupBy("role", "term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
         merged = merged.where("occurrences <> 0 or records <> 0").withColumn("bucket", bucket)
-        merged.write.partitionBy("bucket").parquet(f"{self.path}/{version}")
+        # one task, and so one file, a bucket; they are as many as were made when the store was
+        merged.repartition(n, "bucket").write.partitionBy("bucket").parquet(f"{self.path}/{version}")
         jvm, fs = self._fs()
         written = {s.getPath().getName() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{version}"))}
         fresh = {name.split("=")[1]: f"{version}/{name}" for name in written if name.startswith("bucket=")}
@@ -138,10 +166,12 @@ class TermStore:
         """Bring the counts from the collection `old` to the collection `new` (None: empty). `roles` maps
         a frame to the term arrays by role."""
         if old is not None and new is not None:
-            old, new = changes(old, new, key, watched)
-        signed = [signed_rows(df, roles(df), sign) for df, sign in ((old, -1), (new, 1)) if df is not None]
-        if signed:
-            self.merge(signed[0] if len(signed) == 1 else signed[0].unionByName(signed[1]))
+            moved = changes(old, new, key, watched)
+            self.merge(signed_rows(moved, roles(moved), 1))
+            return
+        for df, sign in ((old, -1), (new, 1)):
+            if df is not None:
+                self.merge(signed_rows(df, roles(df), sign))
 
 
 def marks(counts: DataFrame, rare_below: int = 3, common_share: float = 0.05) -> DataFrame:
