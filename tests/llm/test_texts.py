@@ -259,3 +259,33 @@ def test_model_of_nothing(spark):
 )
 def test_names_outside_fixed_phrases(text, expected):
     assert [(kind, a) for kind, a, _, _ in personal.find(text)] == expected
+
+
+def test_sentences_written_on_without_marks_or_spaces_by_script():
+    """Analysed answers held out of the fit, their end marks taken away and their sentences written on."""
+    import random
+    import re
+
+    import pyarrow.parquet as pq
+
+    from respondo.llm.sentences import BoundaryModel, sentence_ends
+
+    lists = pq.read_table("/root/testdata/sf0.1/sentence_analysis.parquet", columns=["automic_sentence"]).column(0).to_pylist()
+    answers = [[s for s in a if s and s.strip()] for a in lists if a]
+    random.Random(0).shuffle(answers)
+    model = BoundaryModel.fit(answers[3000:])
+    scripts = {"signs": ("[ぁ-ヿ一-鿿]", ""), "hangul": ("[가-힣]", " "), "latin": ("[A-Za-z]", " ")}
+    for script, (letters, between) in scripts.items():
+        true = hit = extra = 0
+        for a in answers[:3000]:
+            bare = [re.sub(r"[\s.!?。！？…♪~～]+$", "", s.strip()) for s in a]
+            if len(bare) < 2 or not all(s and re.match(letters, s[-1]) for s in bare[:-1]) or not all(re.match(letters, s[0]) for s in bare[1:] if s):
+                continue
+            text, ends, at = between.join(bare), set(), 0
+            for s in bare[:-1]:
+                ends.add(at + len(s))
+                at += len(s) + len(between)
+            found = set(sentence_ends(model, text)) - {len(text)}
+            true, hit, extra = true + len(ends), hit + len(ends & found), extra + len(found - ends)
+        print(script, true, hit, extra)
+        assert true > 100 and hit >= 0.8 * true and extra <= 0.05 * true
