@@ -3,11 +3,12 @@
 Mentions are found in a normalised shadow of the text - invisible characters dropped, full-width forms,
 split syllables and look-alike letters brought to their plain form - whose every character knows its place
 in the original, so positions and replacements refer to the text as stored. Numbers are checked before
-they count: length, grouping and lead digits by country, dates inside identity numbers. Each value is
-replaced by a typed placeholder with a pseudonym made by a keyed Feistel permutation of its digits
-(letters for the kinds that are no numbers) within their format, and dates inside identity numbers are
-permuted among valid dates: the same value has the same pseudonym in every document, no two values of a
-format share one, and nothing is looked up or shuffled."""
+they count: length, grouping and lead digits by country, dates inside identity numbers, and the word before, as numbers of orders and
+bookings are none. Each value is replaced by a typed placeholder with a pseudonym. Numbers are permuted by a keyed Feistel network
+within their format: separators, grouping, letters, masks and a phone's lead digits stay, dates inside identity numbers are
+permuted among valid dates, the same number has the same digits in every document whatever its notation, and no two numbers of a
+format share them. Names, addresses and e-mail addresses have no format to keep; they get a code of 60 bits from a keyed digest, so two of them
+share one by chance only. Nothing is looked up or shuffled."""
 
 from __future__ import annotations
 
@@ -193,7 +194,7 @@ _SHAPE = re.compile(
             rf"(?<![\w.&'’-])(?<!z\. )([{_UP}]\.\s+(?:[{_UP}]\.\s*)?{_CAPITAL})",
             rf"(?<![\w.&'’-])([{_UP}]{{3,}}(?:[-'’][{_UP}]{{2,}})*,\s+[{_UP}][^\W\d_{_UP}]+)(?![\w,])",
             rf"\b(?i:mr|mrs|ms|miss|dr|prof|sr|sra|señora?|doña|frau|herrn?|madame|monsieur)\b\.?\s+({_FULL})",
-            r"\b(?i:asked|told|called|phoned|e-?mailed|contacted|messaged|texted|met(?:\s+with)?|thank(?:ed)?|(?:spoke|speak|speaking|talked|talk|talking|chatted)\s+(?:to|with)"
+            r"\b(?i:asked|ask(?:ed|ing)?\s+for|look(?:ed|ing)?\s+for|told|called|phoned|e-?mailed|contacted|messaged|texted|met(?:\s+with)?|thank(?:ed)?|(?:spoke|speak|speaking|talked|talk|talking|chatted)\s+(?:to|with)"
             r"|(?:helped|served|assisted|advised|greeted|treated|welcomed)\s+by|named|colleague|employee|clerk|cashier|manager|assistant|waiter|waitress|nurse|teacher|driver"
             rf"|consultant|advisor|adviser|agent|technician|representative|regards,|sincerely,|my\s+name\s+is|thanks\s+to|(?:sprach|spreche|sprechen|redete|telefonierte)\s+mit|pregunté\s+a|(?:hablé|habló|hablar)\s+con|llamé\s+a)\s+({_FULL})",
             rf"(?<![\w.&'’-])({_FULL})(?=\s+(?:who|helped|served|greeted|smiled|explained|assisted|advised)\b)",
@@ -219,6 +220,7 @@ def _is_name(words: str) -> bool:
 _CAPITALS = re.compile(rf"[{_UP}](?:\.|[^\W\d_]+,?)\S*\s+[{_UP}]")
 _FIRM = re.compile(r"\s+(?:Inc|Ltd|LLC|GmbH|AG|Corp|Co|Hill|Mills|Street|Road|Square)\b")
 _DIGITS = re.compile(r"\d{3}|[x*]{3}-|공일", _I)
+_HELP = re.compile("도와|안내|설명해|응대|상담해|알려|챙겨")
 _PLACE = re.compile(r"\d")
 _CUE = re.compile(
     r"성명|성함|이름|담당|직원 |기사|상담사|점장|매니저|사원|대리|과장|팀장|부장|주임|원장|간호사|선생|교수|씨|저는|제가|나는|name|i am|contact|desk|thanks|frau|herr|ich |atendió|llamo|nombre|担当|店長|係|スタッフ|店員|氏名|名前|联系|客服|店员|经理|顾问|找|姓名|名字|我叫|我是|г-н|г-жа|госпо|зовут",
@@ -226,8 +228,27 @@ _CUE = re.compile(
 )
 
 
-def _valid_birthday(digits: str) -> bool:
-    return 1 <= int(digits[2:4]) <= 12 and 1 <= int(digits[4:6]) <= 31
+def _valid_birthday(digits: str, sex: str = "*") -> bool:
+    """Whether the six digits are a day of the century that the seventh tells, or of either where that is masked."""
+    for century in (1900, 2000) if sex not in "12345678" else (2000,) if sex in "3478" else (1900,):
+        try:
+            date(century + int(digits[:2]), int(digits[2:4]), int(digits[4:6]))
+            return True
+        except ValueError:
+            pass
+    return False
+
+
+#: Numbers after such a word are no personal data.
+_NOT_MINE = re.compile(
+    r"(?:\b(?:orders?|invoices?|tickets?|ref(?:erence)?|tracking|parcels?|bookings?|receipts?|case|bestell\w*|auftrag\w*|rechnung\w*|sendung\w*|pedidos?|facturas?|reserva)|주문|송장|예약|접수|영수증|订单|发票|运单|注文|予約|заказ\w*)"
+    r"\s*(?:번호|号|番号|nummer|number|no\.?|nr\.?|n[ºo°]\.?)?\s*(?:[:：#]|is|was|은|는|は|是|:)?\s*#?\s*$",
+    _I,
+)
+#: Ten digits in a row are a phone number where a word of calling stands before them.
+_CALL = re.compile(r"\b(?:call|phone|telephone|tel|text|reach|ring|dial|mobile|cell|whatsapp)\b[^\d\n]{0,24}?(?<![\d+-])(1?[2-9]\d{2}[2-9]\d{6})(?![\d-])", _I)
+#: Korean names without a title, before what somebody did for the writer.
+_KO_DID = re.compile(rf"(?<![가-힣])((?:{_KO_FAMILY})[가-힣]{{2}})(?:이|가|께서|님이|님께서)\s+(?:너무\s+|정말\s+|아주\s+|잘\s+|매우\s+|친절(?:하게|히)\s+)*(?:도와|안내|설명해|응대|상담해|알려|챙겨)")
 
 
 def find(text: str | None) -> list[tuple[str, int, int, str]]:
@@ -250,19 +271,23 @@ def find(text: str | None) -> list[tuple[str, int, int, str]]:
     if _DIGITS.search(plain):
         for m in _ID.finditer(plain):
             birthday = m.group("rrn") or m.group("rrn2")
-            if birthday is None or _valid_birthday(birthday):
-                take("id_number", *m.span())
-        numbers = list(_PHONE.finditer(plain))
+            if birthday is None or _valid_birthday(birthday, re.sub(r"[ –-]", "", m.group())[6]):
+                if not _NOT_MINE.search(plain, max(0, m.start() - 40), m.start()):
+                    take("id_number", *m.span())
+        numbers = [m.span() for m in _PHONE.finditer(plain) if not _NOT_MINE.search(plain, max(0, m.start() - 40), m.start())] + [m.span(1) for m in _CALL.finditer(plain)]
     else:
-        numbers = [m for m in _PHONE.finditer(plain)] if "공일" in plain else []
+        numbers = [m.span() for m in _PHONE.finditer(plain)] if "공일" in plain else []
     if _PLACE.search(plain):
         for m in _ADDRESS.finditer(plain):
             take("address", *m.span())
-    for m in numbers:
-        take("phone", *m.span())
+    for span in numbers:
+        take("phone", *span)
     if _CUE.search(plain):
         for m in _PERSON.finditer(plain):
             take("person", *m.span(m.lastindex))
+    if _HELP.search(plain):
+        for m in _KO_DID.finditer(plain):
+            take("person", *m.span(1))
     if _CAPITALS.search(plain):
         for m in _SHAPE.finditer(plain):
             a, b = m.span(m.lastindex)
@@ -349,23 +374,32 @@ def canonical(kind: str, value: str) -> str:
 _SIGNS = "abcdefghijkmnpqrstuvwxyz23456789"
 
 
+def _laid_out(value: str, signs: str) -> str:
+    """`signs` in the places of the letters, digits and masks of `value`, everything else as it stands there."""
+    left = iter(signs)
+    return "".join(next(left) if c.isalnum() or c in "*●" else c for c in value)
+
+
 def pseudonym(kind: str, value: str, key: bytes) -> str:
-    """The placeholder of a value, such as <phone 016-4471-9023> or <person ktw5q8zd>."""
+    """The placeholder of a value, such as <phone 010-4471-9023> or <person ktw5q8zd>."""
     form = canonical(kind, value)
-    if kind == "id_number" and re.fullmatch(r"\d{6}[1-8]\d{6}", form) and _valid_birthday(form):
-        try:
-            century = 2000 if form[6] in "3478" else 1900
-            day = permute_date(date(century + int(form[:2]), int(form[2:4]), int(form[4:6])), key)
-            rest = "".join(map(str, feistel([int(d) for d in form[7:]], 10, key, form[6])))
-            sex = (int(form[6]) % 2 or 2) + (2 if day.year >= 2000 else 0)
-            return f"<{kind} {day:%y%m%d}-{sex}{rest}>"
-        except ValueError:
-            pass  # no such day: the digits are permuted as they are
+    own = "".join(c for c in value if c.isalnum() or c in "*●")
+    if kind == "id_number" and re.fullmatch(r"\d{6}[1-8]\d{6}", form) and _valid_birthday(form, form[6]):
+        century = 2000 if form[6] in "3478" else 1900
+        day = permute_date(date(century + int(form[:2]), int(form[2:4]), int(form[4:6])), key)
+        rest = "".join(map(str, feistel([int(d) for d in form[7:]], 10, key, form[6])))
+        sex = (int(form[6]) % 2 or 2) + (2 if day.year >= 2000 else 0) + (4 if form[6] in "5678" else 0)
+        return f"<{kind} {_laid_out(value, f'{day:%y%m%d}{sex}{rest}')}>"
     if kind in ("phone", "id_number"):
-        digits = iter(feistel([int(c) for c in form if c.isdigit()], 10, key, kind))
-        return f"<{kind} {''.join(str(next(digits)) if c.isdigit() else c for c in form)}>"
+        # the lead digits of a phone number tell what network it is in, not whose it is
+        lead = 3 if kind == "phone" and len(form) >= 9 else 0
+        digits = iter(feistel([int(c) for c in form[lead:] if c.isdigit()], 10, key, f"{kind}|{form[:lead]}|{len(form)}"))
+        signs = form[:lead] + "".join(str(next(digits)) if c.isdigit() else c for c in form[lead:])
+        if len(own) == len(signs) and own.isascii():
+            return f"<{kind} {_laid_out(value, signs)}>"
+        return f"<{kind} {signs}>"  # a notation of another length, as with a country's code or in words
     code = hmac.new(key, f"{kind}|{form}".encode(), hashlib.sha256).digest()
-    return f"<{kind} {''.join(_SIGNS[i] for i in feistel([b % 32 for b in code[:12]], 32, key, kind))}>"
+    return f"<{kind} {''.join(_SIGNS[b % 32] for b in code[:12])}>"
 
 
 def replace(text: str | None, key: bytes) -> str | None:
@@ -404,9 +438,12 @@ def find_mentions(df: DataFrame, key: str, text: str) -> DataFrame:
     return spread(df.select(F.col(key), F.col(text).cast("string"))).mapInArrow(run, schema)
 
 
-def replace_mentions(df: DataFrame, key: str, text: str, secret: str = "respondo") -> DataFrame:
+def replace_mentions(df: DataFrame, key: str, text: str, secret: str) -> DataFrame:
     """(key, redacted): every row's text with placeholders in place of personal data; null stays null.
-    `secret` keys the pseudonyms; one secret links equal values across all documents of all runs."""
+    `secret` keys the pseudonyms; one secret links equal values across all documents of all runs, and whoever has it can
+    tell what stands behind a number. An empty secret is a ValueError."""
+    if not secret:
+        raise ValueError("pseudonyms need a secret")
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("redacted", T.StringType())])
     secret_key = secret.encode()
 

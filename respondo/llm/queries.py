@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,7 +92,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .personal import replace_mentions
 
-    return replace_mentions(read_table(spark, sf_dir, "grammar_records"), "record_id", "corrected")
+    return replace_mentions(read_table(spark, sf_dir, "grammar_records"), "record_id", "corrected", _secret(spark))
+
+
+def _secret(spark: SparkSession) -> str:
+    """The key of pseudonyms: the setting `spark.respondo.secret`, or a random one for this session."""
+    found = spark.conf.get("spark.respondo.secret", None)
+    if not found:
+        found = spark._respondo_secret = getattr(spark, "_respondo_secret", None) or secrets.token_hex(32)
+    return found
 
 
 def _term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,7 +130,8 @@ def test_placeholders_link_equal_values_and_leave_the_rest():
     key = b"secret"
     a = personal.replace("내 번호 010-0283-9973, 끝.", key)
     b = personal.replace("또 01002839973!", key)
-    assert re.search(r"<phone \d{11}>", a).group() == re.search(r"<phone \d{11}>", b).group()
+    kept, bare = re.search(r"<phone (010-\d{4}-\d{4})>", a)[1], re.search(r"<phone (010\d{8})>", b)[1]
+    assert kept.replace("-", "") == bare  # the same number, each in its own notation
     assert a.startswith("내 번호 <") and a.endswith(">, 끝.") and "9973" not in re.sub(r"<[^>]*>", "", a)
     assert personal.replace("Mail A@B.org", key)[5:] == personal.replace("a (at) b.ORG", key)
     assert personal.replace("number 906 02 0601 twice", b"other") != personal.replace("number 906 02 0601 twice", key)
@@ -150,10 +151,31 @@ def test_feistel_is_a_permutation():
 
     days = [date(1950, 1, 1) + timedelta(days=i) for i in range(400)]
     assert len({personal.permute_date(d, b"k") for d in days}) == 400
+    assert re.fullmatch(r"<id_number \d{3}-\d\d-\d{4}>", personal.pseudonym("id_number", "123-45-6789", b"k"))
+    assert re.fullmatch(r"<id_number \d{3}-\*\*-\d{4}>", personal.pseudonym("id_number", "123-**-6789", b"k"))
+    assert personal.pseudonym("phone", "+82 10-1234-5678", b"k")[7:-1] == re.sub(r"\D", "", personal.pseudonym("phone", "010 1234 5678", b"k"))
     found = re.search(r"(\d\d)(\d\d)(\d\d)-", personal.pseudonym("id_number", "030608-1000077", b"k"))
     assert 1 <= int(found[2]) <= 12 and 1 <= int(found[3]) <= 31
 
 
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ("Maria Lopez helped me a lot.", [("person", 0)]), ("I spoke to Maria Lopez about it.", [("person", 11)]), ("Ask for John Smith.", [("person", 8)]), ("홍길동이 도와줬어요", [("person", 0)]),
+        ("order 912345678 arrived", []), ("주문번호 912345678 조회", []), ("my itin 912345678", [("id_number", 8)]), ("Call me at 2125550147", [("phone", 11)]), ("order no. 010-1234-5678", []),
+        ("900230-1234567", []), ("900228-1234567", [("id_number", 0)]), ("000229-3234567", [("id_number", 0)]), ("010229-3234567", []),
+    ],
+)
+def test_mentions_in_other_frames(text, expected):
+    assert [(k, a) for k, a, *_ in personal.find(text)] == expected
+
+
+def test_a_secret_is_demanded(spark):
+    df = spark.createDataFrame([(1, "a@b.org")], "record_id int, corrected string")
+    with pytest.raises(ValueError):
+        personal.replace_mentions(df, "record_id", "corrected", "")
+
+
 # --- sentences
 
 
