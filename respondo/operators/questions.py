@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import BRANCHES, NO_BRANCH, OTHER_BRANCH
-from ..functions.text import anchor, question_type, strip
+from ..functions.text import anchor, number_text, question_type, strip
 
 
 def latest(questions: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -69,11 +69,57 @@ def match_columns(questions: DataFrame, columns: DataFrame, survey: list[str]) -
     return found.groupBy(*survey, "open_question_number").agg(lists.alias("matched_columns"))
 
 
-def parse_questionnaire(lines: DataFrame, text: str = "value") -> DataFrame:
-    """(open_question_number, question_text, rule_type): the open questions of a questionnaire's lines: those
-    with a number such as Q1., 문4) or SQ2) that ask for free text or leave a blank to fill in."""
-    number = F.regexp_extract(F.col(text), r"^\s*((?:SQ|DQ|Q|문|B)\s?\d+(?:-\d+)?)\s*[.):]", 1)
-    body = strip(F.regexp_replace(F.col(text), r"^\s*(?:SQ|DQ|Q|문|B)\s?\d+(?:-\d+)?\s*[.):]\s*", ""))
-    asks = F.col("question_text").rlike(r"_{3,}|자유롭게|구체적으로|적어 주|써 주|말씀해|[Ww]hy|[Ww]hat|[Hh]ow|Was |Warum|Qué|何|なぜ|什么|为什么")
-    found = lines.select(F.regexp_replace(number, r"\s", "").alias("open_question_number"), body.alias("question_text"))
-    return found.where((F.col("open_question_number") != "") & asks).withColumn("rule_type", question_type(F.col("question_text")))
+def choices(questions: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys..., choice, explanation): the circled choices that a question text lists, ranges such as ①~③ spread out; of a
+    number that stands twice, the last. Null texts and texts without such signs give none."""
+    marks = r"([①-⑳])\s*(?:[~～-]\s*([①-⑳]))?\s*([^①-⑳~～]*)"
+    code = lambda c: F.ascii(c) - 9311
+    groups = F.arrays_zip(*[F.regexp_extract_all(F.col(text), F.lit(marks), F.lit(i)).alias(n) for i, n in ((1, "first"), (2, "last"), (3, "text"))])
+    found = questions.where(F.col(text).isNotNull()).select(*keys, F.posexplode(groups).alias("_at", "m"))
+    first = code(F.col("m.first"))
+    last = F.when(F.col("m.last") == "", first).otherwise(F.greatest(first, code(F.col("m.last"))))
+    spread = found.select(*keys, "_at", strip(F.col("m.text")).alias("explanation"), F.explode(F.sequence(first, last)).alias("choice"))
+    return spread.groupBy(*keys, F.col("choice").cast("string").alias("choice")).agg(F.max_by("explanation", "_at").alias("explanation"))
+
+
+def context(answers: DataFrame, questions: DataFrame, keys: list[str], depend: str) -> DataFrame:
+    """Every answer with what its question says about it: question_text, question_type, related_text and explanation, the
+    text of the choice named by its `depend` value where its type depends on one, else null.
+
+    `questions` has one row per `keys` (survey, number) with question_text, question_type and question_that_is_related. A choice
+    listed by the related question explains as well as one listed by the question itself. Joins are on the keys of the questions, which are few
+    beside the answers; answers of unknown questions keep nulls."""
+    survey, number = keys
+    linked = related(questions.select(*keys, "question_text", "question_type", "question_that_is_related"), survey, number, "question_that_is_related", "question_text")
+    own = choices(questions, keys, "question_text")
+    theirs = own.withColumnRenamed(number, "question_that_is_related").withColumnRenamed("explanation", "_other")
+    depends = strip(F.col("question_type")).isin("depend", "depend_pos_neg")
+    wanted = answers.join(linked, keys, "left").withColumn("choice", F.when(depends, number_text(F.col(depend))))
+    known = wanted.join(own, [*keys, "choice"], "left").join(theirs, [survey, "question_that_is_related", "choice"], "left")
+    return known.withColumn("explanation", F.coalesce("explanation", "_other")).drop("_other", "choice", "question_that_is_related")
+
+
+#: Words that refer to the question before.
+_BEFORE = r"앞선|앞 문항|위 문항|윗 문항|바로 앞|방금|이전 문항|고르신|선택하신|답하신|ticked|that answer|your previous|diese Antwort|esa respuesta|その理由|上一题"
+_NUMBER = r"(?:SQ|DQ|Q|문|B)\s?\d+(?:-\d+)?"
+
+
+def parse_questionnaire(lines: DataFrame, text: str = "value", order: str | None = None) -> DataFrame:
+    """(open_question_number, question_text, rule_type, question_that_is_related): the open questions of a questionnaire's lines:
+    those that ask for free text or leave a blank to fill in. A question without a number such as Q1., 문4) or SQ2) gets one by
+    its place among those without (N1, N2, ...). It is related to the question whose number it names, or, where it only refers to
+    the one before, to that. `order` is a column that orders the lines, a questionnaire's, so one window over them is small."""
+    w = Window.partitionBy(F.lit(1)).orderBy(order or F.monotonically_increasing_id())
+    number = F.regexp_replace(F.regexp_extract(F.col(text), rf"^\s*({_NUMBER})\s*[.):]", 1), r"\s", "")
+    body = strip(F.regexp_replace(F.col(text), rf"^\s*{_NUMBER}\s*[.):]\s*", ""))
+    asks = F.col("question_text").rlike(r"_{3,}|자유롭게|구체적으로|적어 주|써 주|말씀해|추가 문항|이유|근거|불만|개선|[Ww]hy|[Ww]hat|[Hh]ow|Was |Warum|Qué|何|なぜ|什么|为什么")
+    asking = F.col("question_text").rlike(r"[?？]|_{3,}|주세요|주십시오|바랍니다|please")
+    found = lines.select(number.alias("own"), body.alias("question_text"), F.row_number().over(w).alias("_line"))
+    found = found.where(asks & ((F.col("own") != "") | asking))
+    w = Window.partitionBy(F.lit(1)).orderBy("_line")
+    bare = F.sum((F.col("own") == "").cast("int")).over(w)
+    numbered = found.withColumn("open_question_number", F.when(F.col("own") == "", F.concat(F.lit("N"), bare.cast("string"))).otherwise(F.col("own")))
+    named = F.regexp_replace(F.regexp_extract("question_text", rf"({_NUMBER})(?!\d)", 1), r"\s", "")
+    before = F.when(F.col("question_text").rlike(_BEFORE), F.lag("open_question_number").over(w))
+    target = F.when((named != "") & (named != F.col("open_question_number")), named).otherwise(before)
+    return numbered.select("open_question_number", "question_text", question_type(F.col("question_text")).alias("rule_type"), target.alias("question_that_is_related"))

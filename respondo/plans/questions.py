@@ -55,11 +55,38 @@ def q_related_self_join(t):
     return ops.related(latest(t), "survey_id", "open_question_number", "question_that_is_related", "question_text").select("question_key", "related_text")
 
 
-@catalogue.add("select c_custkey, coalesce(n_name, '') as explanation from customer left join nation on c_nationkey % 30 = n_nationkey")
+_CHOICES = rf"""ch as (select question_key, survey_id, open_question_number, i, f, l, x from (
+  select question_key, survey_id, open_question_number, generate_subscripts(fs, 1) as i, unnest(fs) as f, unnest(ls) as l, unnest(xs) as x from (
+    select question_key, survey_id, open_question_number, {", ".join(rf"regexp_extract_all(question_text, '([①-⑳])\s*(?:[~～-]\s*([①-⑳]))?\s*([^①-⑳~～]*)', {i}) as {n}" for i, n in ((1, "fs"), (2, "ls"), (3, "xs")))} from latest where question_text is not null))),
+each as (select question_key, survey_id, open_question_number, i, x, unnest(range(unicode(f) - 9311, greatest(unicode(f), case when l = '' then 0 else unicode(l) end) - 9311 + 1)) as n from ch),
+choices as (select question_key, survey_id, open_question_number, cast(n as varchar) as number, {stripped("arg_max(x, i)")} as explanation from each group by 1, 2, 3, 4)"""
+
+
+@catalogue.add(f"with {_LATEST}, {_CHOICES} select question_key, number as choice, explanation from choices")
+def q_choice_table(t):
+    return ops.choices(latest(t), ["question_key"], "question_text")
+
+
+@catalogue.add(f"""with {_LATEST}, {_CHOICES}, a as (select record_id, survey_id, open_question_number, cast(record_id % 3 + 1 as varchar) as number from grammar_records),
+w as (select a.*, l.question_text, l.question_type, l.question_that_is_related as other, {stripped("l.question_type")} in ('depend', 'depend_pos_neg') as depends from a left join latest l using (survey_id, open_question_number))
+select w.record_id, w.question_text, w.question_type, r.question_text as related_text, coalesce(c.explanation, o.explanation) as explanation from w
+left join latest r on r.survey_id = w.survey_id and r.open_question_number = w.other
+left join choices c on w.depends and c.survey_id = w.survey_id and c.open_question_number = w.open_question_number and c.number = w.number
+left join choices o on w.depends and o.survey_id = w.survey_id and o.open_question_number = w.other and o.number = w.number""")
 def q_choice_lookup(t):
-    choices = t("nation").select("n_nationkey", "n_name")  # 25 rows by definition
-    rows = t("customer").select("c_custkey", (F.col("c_nationkey") % 30).alias("n_nationkey"))
-    return rows.join(F.broadcast(choices), "n_nationkey", "left").select("c_custkey", F.coalesce("n_name", F.lit("")).alias("explanation"))
+    answers = t("grammar_records").select("record_id", "survey_id", "open_question_number", F.concat((F.col("record_id") % 3 + 1).cast("string"), F.lit(".0")).alias("depend"))
+    known = ops.context(answers, latest(t), ["survey_id", "open_question_number"], "depend")
+    return known.select("record_id", "question_text", "question_type", "related_text", "explanation")
+
+
+@catalogue.add(f"""with {_LATEST} select record_id, case when l.question_type is not null and {stripped("l.question_type")} in ('depend', 'depend_pos_neg') then 'The answer explains a choice: taste' else 'Split into at most three sentences; give polarity and keywords as JSON.' end
+ || chr(10) || 'Question: ' || coalesce(l.question_text, '') || chr(10) || 'Answer: ' || g.corrected as prompt from grammar_records g left join latest l using (survey_id, open_question_number) where g.corrected is not null""")
+def q_typed_prompts(t):
+    from ..pipeline import analysis_prompt
+
+    answers = t("grammar_records").where("corrected is not null").select("record_id", "survey_id", "open_question_number", "corrected")
+    known = answers.join(latest(t).select("survey_id", "open_question_number", "question_text", "question_type"), ["survey_id", "open_question_number"], "left")
+    return known.select("record_id", analysis_prompt(F.col("corrected"), F.col("question_text"), F.col("question_type"), F.lit("taste")).alias("prompt"))
 
 
 @catalogue.add("select record_id, survey_id from grammar_records where (survey_id, open_question_number) in (select (survey_id, open_question_number) from survey_questions)")

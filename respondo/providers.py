@@ -108,10 +108,22 @@ def keywords(sentence: str) -> dict[str, list[str]]:
     return {"S": subjects, "V": words[-1:] if len(words) > 1 else [], "C": rest}
 
 
-def analysis(text: str) -> dict:
+#: Answers that say that there is none.
+NO_ANSWER = frozenset("없음 없다 없어요 없습니다 모름 모르겠다 모르겠어요 none nothing no idea don't know n/a keine nichts nada ninguno 特になし なし わからない 没有 不知道 нет".split()) | {"no idea", "don't know", "weiß nicht", "no sé"}
+
+
+def analysis(prompt: str) -> dict:
+    """An answer's analysis. A prompt of several lines ends with `Answer: ...`; what stands before it, question and
+    explanation of the choice, decides what the answer says where it says nothing of its own."""
+    _, marker, answer = prompt.rpartition("\nAnswer: ")
+    text = answer if marker else prompt
     sentences = atomic(text)
+    bare = text.strip(" .!?~…。！？").casefold()
+    polarity = sentiment(text)
+    if polarity == "NEUTRAL" and marker and "explains a choice: " in prompt:
+        polarity = sentiment(prompt.split("explains a choice: ", 1)[1].split("\n", 1)[0])
     return {
-        "matching_question": bool(text.strip()), "pos_neg": sentiment(text), "automic_sentence": sentences,
+        "matching_question": bool(bare) and bare not in NO_ANSWER, "pos_neg": polarity, "automic_sentence": sentences,
         "SVC_keywords": {f"sentence{i + 1}": keywords(s) for i, s in enumerate(sentences)},
     }
 

@@ -170,3 +170,31 @@ def test_stream_equals_batch(spark, data, tmp_path):
     query.stop()
     got = {(r.start, r.model_name): (r.calls, r.tokens) for r in spark.table("hours").collect()}
     assert got == {(r.start, r.model_name): (r.calls, r.tokens) for r in usage.windowed(calls).collect()}
+
+
+def test_questionnaires_number_and_relate_questions(spark):
+    from respondo.operators.questions import parse_questionnaire
+
+    lines = ["Q1. 왜 그렇게 생각하십니까? 구체적으로 적어 주세요.", "안내문입니다.", "방금 답하신 이유는 무엇입니까?", "Q3) What did Q1 make you think of? ____", "Q4. 몇 번 가셨습니까?", "추가 문항: 개선할 점을 적어 주세요."]
+    df = spark.createDataFrame(list(enumerate(lines)), "line int, value string")
+    found = {r.open_question_number: (r.rule_type, r.question_that_is_related) for r in parse_questionnaire(df, order="line").collect()}
+    assert found == {"Q1": ("concept", None), "N1": ("depend", "Q1"), "Q3": ("concept", "Q1"), "N2": ("concept", None)}
+
+
+def test_answers_are_analysed_by_type(spark):
+    from respondo import pipeline
+    from respondo.operators.questions import context
+
+    questions = spark.createDataFrame(
+        [("s", "Q1", "고르세요 ① 좋은 맛 ②~③ 비싸요", "etc", None), ("s", "Q2", "방금 고르신 이유는?", "depend", "Q1"), ("s", "Q3", "떠오르는 것은?", "img", None)],
+        "survey string, number string, question_text string, question_type string, question_that_is_related string",
+    )
+    answers = spark.createDataFrame([(1, "s", "Q2", "1.0", "그냥요"), (2, "s", "Q2", "3", "그냥요"), (3, "s", "Q2", "9", "그냥요"), (4, "s", "Q3", "1", "맛"), (5, "s", "Q9", None, "none"), (6, "s", "Q2", "1", None)], "id int, survey string, number string, depend string, text string")
+    known = context(answers, questions, ["survey", "number"], "depend")
+    assert {r.id: r.explanation for r in known.collect()} == {1: "좋은 맛", 2: "비싸요", 3: None, 4: None, 5: None, 6: "좋은 맛"}
+    results, calls = pipeline.analyse(known)
+    rows = {r.id: r for r in results.collect()}
+    assert [rows[i].analysis.pos_neg for i in (1, 2, 3)] == ["POSITIVE", "NEGATIVE", "NEUTRAL"]
+    assert rows[4].error == "unsupported_type" and rows[1].error is None and len(rows) == 6
+    assert rows[1].analysis.matching_question and not rows[5].analysis.matching_question
+    assert calls.count() > 0
