@@ -50,6 +50,21 @@ class RunContext:
     def history(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([tuple(s.values()) for s in self.stages], STAGES)
 
+    def save_history(self, spark: SparkSession) -> str:
+        """Append what the stages did to the project's history table and name its place; earlier runs stay."""
+        place = self.path("history")
+        self.history(spark).write.mode("append").parquet(place)
+        return place
+
+    @staticmethod
+    def registry(spark: SparkSession, root: str, project: str) -> DataFrame:
+        """(pipeline, n_stages, first_started, last_completed, cost_usd, failed): every run in a project's history."""
+        found = spark.read.schema(STAGES).parquet("/".join([root.rstrip("/"), project, "history"]))
+        return found.groupBy("pipeline").agg(
+            F.count("*").alias("n_stages"), F.min("started").alias("first_started"), F.max("completed").alias("last_completed"),
+            F.round(F.sum("cost_usd"), 6).alias("cost_usd"), F.count_if(F.col("status") != "completed").alias("failed"),
+        )
+
     def report(self, spark: SparkSession) -> DataFrame:
         """(pipeline, n_stages, runtime_seconds, calls, cost_usd, tokens, failed)."""
         seconds = F.unix_micros(F.col("completed").cast("timestamp")) - F.unix_micros(F.col("started").cast("timestamp"))

@@ -5,6 +5,8 @@ plan; a group with fewer than five vectors gets no scaled Markov clustering and
 
 from __future__ import annotations
 
+import time
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -199,3 +201,27 @@ def train(vectors: DataFrame, truth: DataFrame, mode: str, **parameters) -> Data
     if mode == "manual_train":
         return manual_train(vectors, **parameters)
     raise ValueError(f"unknown mode {mode}")
+
+
+@dataclass
+class Outcome:
+    """What a run of the clustering stage came to: completed or failed, why, how long it took, what went in, and the rows."""
+
+    mode: str
+    status: str
+    error: str | None
+    seconds: float
+    summary: dict
+    rows: DataFrame | None
+
+
+def serve(vectors: DataFrame, truth: DataFrame, mode: str, **parameters) -> Outcome:
+    """`train` as a service: the rows are written, so the time is theirs, and a failure or an unknown mode is an outcome, not an exception."""
+    began = time.monotonic()
+    try:
+        counted = vectors.agg(F.count_distinct("grp").alias("groups"), F.count("*").alias("vectors")).first()
+        summary = {"groups": counted.groups, "vectors": counted.vectors, "per_group": round(counted.vectors / max(1, counted.groups), 6)}
+        rows = cut(train(vectors, truth, mode, **parameters), "stage-3")
+        return Outcome(mode, "completed", None, time.monotonic() - began, summary, rows)
+    except Exception as failure:  # noqa: BLE001 - whatever a stage raises is its outcome
+        return Outcome(mode, "failed", f"{type(failure).__name__}: {failure}"[:500], time.monotonic() - began, {}, None)

@@ -211,3 +211,11 @@ def test_made_up_truths_separate_groups(spark, method):
 def test_an_unknown_truth_is_an_error(vectors):
     with pytest.raises(ValueError):
         clustering.synthetic_truth(vectors, "guess")
+
+
+def test_the_service_reports_what_it_did(vectors):
+    truth = vectors.select("grp", "id", "truth")
+    done = clustering.serve(vectors, truth, "manual_train")
+    assert done.status == "completed" and done.summary == {"groups": 2, "vectors": 96, "per_group": 48.0} and done.rows.count() == 96
+    failed = clustering.serve(vectors, truth, "guess")
+    assert failed.status == "failed" and "guess" in failed.error and failed.rows is None

@@ -198,3 +198,16 @@ def test_answers_are_analysed_by_type(spark):
     assert rows[4].error == "unsupported_type" and rows[1].error is None and len(rows) == 6
     assert rows[1].analysis.matching_question and not rows[5].analysis.matching_question
     assert calls.count() > 0
+
+
+def test_history_of_several_runs(spark, tmp_path):
+    from datetime import datetime
+
+    from respondo.context import RunContext
+
+    for name, status in (("one", "completed"), ("two", "failed")):
+        run = RunContext("p", str(tmp_path), pipeline=name)
+        run.add_stage("load", "completed", datetime.now(), 1, 0.25)
+        run.add_stage("analyse", status, datetime.now(), 2, 0.5)
+        run.save_history(spark)
+    assert {r.pipeline: (r.n_stages, r.cost_usd, r.failed) for r in RunContext.registry(spark, str(tmp_path), "p").collect()} == {"one": (2, 0.75, 0), "two": (2, 0.75, 1)}
