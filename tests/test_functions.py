@@ -32,7 +32,7 @@ def test_anchor(spark):
 
 
 def test_type_precedence(spark):
-    assert column(spark, ["방금 고르신 곳의 좋은 점은?", "기타 좋은 점", "떠올릴 때 생각나는", "?"], text.question_type) == ["depend_pos_neg", "etc_pos_neg", "img", "etc"]
+    assert column(spark, ["방금 고르신 곳의 좋은 점은?", "기타 좋은 점", "떠올릴 때 생각나는", "?"], text.question_type) == ["depend_pos_neg", "etc_pos_neg", "img", "concept"]
 
 
 def test_lenient_json(spark):
