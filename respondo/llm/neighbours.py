@@ -394,13 +394,18 @@ def fit_forest(df: DataFrame, key: str, emb: str, trees: int = TREES, sample: in
     total = df.count()
     below = -(1 << 63) + min((1 << 64) - 1, (sample << 64) // max(1, total))  # of all 64-bit digests, whatever the total
     rows = df if total <= sample else df.where(F.xxhash64(key, F.lit(11)) < F.lit(below).cast("bigint"))
-    found = rows.select(F.col(emb).cast("array<float>").alias("emb")).where(F.size("emb") > 0).limit(2 * sample).toArrow().column("emb").combine_chunks()
+    found = rows.select(F.col(emb).cast("array<float>").alias("emb")).where(F.size("emb") > 0).limit(2 * sample).toArrow().column("emb")
     dim, x = 0, np.zeros((0, 1), np.float32)
     if len(found):
-        dim = int(np.bincount(found.value_lengths().to_numpy(zero_copy_only=False)).argmax())
-        _, x = usable(found, dim)
+        counts = np.unique(np.concatenate([c.value_lengths().to_numpy(zero_copy_only=False) for c in found.chunks]), return_counts=True)
+        dim = int(counts[0][counts[1].argmax()])
+        parts = [usable(c, dim)[1] for c in found.chunks]  # chunk by chunk, so that the sample is in memory no more than twice
         del found
-    return Forest.fit(unit(x), total, trees, leaf).pack() if len(x) else Forest.fit(np.zeros((1, 1), np.float32), 1, trees, 1).pack(), dim if len(x) else 0
+        pa.default_memory_pool().release_unused()
+        x = np.concatenate(parts)
+        del parts
+        x = unit(x)
+    return Forest.fit(x, total, trees, leaf).pack() if len(x) else Forest.fit(np.zeros((1, 1), np.float32), 1, trees, 1).pack(), dim if len(x) else 0
 
 
 def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int, k: int = 15, least: float = -1.0, visits: int = VISITS, slack: float = SLACK, whole: bool = False) -> DataFrame:
