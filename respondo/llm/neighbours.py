@@ -14,6 +14,12 @@ blocks, one block a leaf and batch, so the shuffle is about `VISITS` times the s
 vectors. Inside a leaf all visitors are compared with all residents by block matrix products, and the
 survivors are scored again in double precision.
 
+That finds the lists without a floor (`neighbours` at its default). A vector that its leaves part from some of its neighbours loses them, more of them
+the more leaves there are, and no set of leaves holds all of a group that is larger than a leaf. So where only neighbours of some cosine are wanted, the forest
+does no more than find who is linked: its blocks carry sketches of `BITS` signs in place of vectors, which makes room for `REACH` leaves of `THICKET` trees,
+and its leaves say which vectors agree in `ALIKE` of them. What is linked, directly or through others, is a group; the vectors of a group come
+together whole, however many they are, and are compared exactly (`Cells`). A pair is missed only if no chain of links joins it.
+
 Exact copies are searched once: each batch sends one of them with the smallest ids of the group, each leaf compares one of them, and lists name
 as many copies as can be among the nearest. The rest of the copies take over the list of the first by a narrow join at the end; a group of
 copies may hold any share of the rows."""
@@ -44,6 +50,17 @@ SLACK = 0.03
 #: Vectors scored again beside the wanted number, and how far two products of single precision may differ.
 SPARE = 6
 BLUR = 2e-6
+#: Trees and leaves a vector visits in search of links, and within which distance of a split.
+THICKET, REACH, WITHIN = 3, 12, 0.2
+#: Of how many leaves a tree for links is at least; they hold `LEAF` vectors at most, as all do.
+THICKET_PARTS = 64
+#: Signs in a sketch, and the part in which linked ones agree; the first `_FIRST` words of 64 have to agree in `_ROUGHLY`.
+BITS, ALIKE = 512, 0.72
+_FIRST, _ROUGHLY = 4, 0.62
+#: Vectors of a group compared at once; so many other blocks meet one in a cell.
+BLOCK, GUESTS = 10_000, 3
+#: The floor from which groups are sought; below it vectors are not told apart from unrelated ones.
+FLOOR = 0.55
 _ANCHORS = 128
 _DRAWS = 24
 _ROWS = 512
@@ -388,7 +405,7 @@ def _distinct(digests: np.ndarray, ids: np.ndarray, x: np.ndarray) -> tuple[np.n
 # --- operators ---------------------------------------------------------------------------------------
 
 
-def fit_forest(df: DataFrame, key: str, emb: str, trees: int = TREES, sample: int = SAMPLE, leaf: int | None = None) -> tuple[Forest, int]:
+def fit_forest(df: DataFrame, key: str, emb: str, trees: int = TREES, sample: int = SAMPLE, leaf: int | None = None, least_leaves: int = PARTS) -> tuple[Forest, int]:
     """(forest, dimension). The sample is drawn by key digest over the whole table; the dimension is the
     commonest length of a vector in it."""
     total = df.count()
@@ -405,32 +422,36 @@ def fit_forest(df: DataFrame, key: str, emb: str, trees: int = TREES, sample: in
         x = np.concatenate(parts)
         del parts
         x = unit(x)
+    leaf = leaf or min(LEAF, max(FEWEST, -(-total // least_leaves)))
     return Forest.fit(x, total, trees, leaf).pack() if len(x) else Forest.fit(np.zeros((1, 1), np.float32), 1, trees, 1).pack(), dim if len(x) else 0
 
 
-def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int, k: int = 15, least: float = -1.0, visits: int = VISITS, slack: float = SLACK, whole: bool = False) -> DataFrame:
+def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest | None, dim: int, k: int = 15, least: float = -1.0, visits: int = VISITS, slack: float = SLACK, whole: bool = False, cells: Cells | None = None) -> DataFrame:
     """(key, near array<struct<far, key>>): for every distinct usable vector - of copies that of smallest
     key - its k nearest others of at least cosine `least`, copies among them; far is (1 - cosine) in units of 1e-9.
 
     With `whole`, of copies only the first is in the lists, and there are also (mass, tops): the sum of the cosines with all others of at least `least`, not only the
     k nearest, weighted by copies and in units of 1e-6, and in each leaf the smallest key that is linked with the
-    vector by such pairs, directly or through others."""
-    shared = df.sparkSession.sparkContext.broadcast(forest)
+    vector by such pairs, directly or through others.
+
+    With `cells`, vectors meet in the cells of their group, which a column `top` names, instead of in leaves."""
+    shared = df.sparkSession.sparkContext.broadcast(cells or forest)
     spare = 0 if whole else min(k, (1 << 15) - 2)  # more than k + 1 copies are in nobody's list; sums need only the first
     names = ["leaf", "n", "ids", "copies", "resident", "digests", "vectors", *(["weights", "places"] if whole else [])]
     blocks_schema = "leaf int, n int, " + ", ".join(f"{c} binary" for c in names[2:])
 
-    def blocks_of(ids: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+    def blocks_of(ids: np.ndarray, x: np.ndarray, tops: np.ndarray | None = None) -> pa.RecordBatch:
         digests = np.fromiter((xxhash.xxh3_64_intdigest(v) for v in x), np.uint64, len(x))
         order, heads = _distinct(digests, ids, x)
         weights = np.diff(np.r_[heads, len(order)])
         place = np.arange(len(order)) - np.repeat(heads, weights)
         ids, x, digests = ids[order][place <= spare], x[order[heads]], digests[order[heads]]
         starts = np.r_[0, np.cumsum(np.minimum(weights, spare + 1))]
-        row, leaf_no, resident = shared.value.route(unit(x), visits, slack)
+        row, leaf_no, resident = shared.value.route(unit(x), visits, slack) if tops is None else shared.value.route(tops[order[heads]], digests)
         if whole:
             first = np.searchsorted(row, np.arange(len(x)))
             turn = np.arange(len(row)) - first[row]
+            leaf_no = leaf_no.astype(np.int32)
             places = np.full((len(x), turn.max() + 1), -1, np.int32)
             places[row, turn] = 2 * leaf_no + resident
         order = np.argsort(leaf_no, kind="stable")
@@ -446,12 +467,13 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int,
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             rows, x = usable(batch.column(1), dim)
             if len(rows):
-                held.append((batch.column(0).take(pa.array(rows)).to_numpy(zero_copy_only=False).astype(np.int64), x))
-            if sum(len(i) for i, _ in held) >= _TOGETHER:
+                numbers = [batch.column(c).take(pa.array(rows)).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(0, batch.num_columns, 2)]
+                held.append((numbers[0], x, *numbers[1:]))
+            if sum(len(h[0]) for h in held) >= _TOGETHER:
                 yield blocks_of(*map(np.concatenate, zip(*held)))
                 held = []
         if held:
@@ -486,7 +508,7 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int,
         more = {"mass": pa.array(mass, pa.int64()), "top": pa.array(tops, pa.int64())} if whole else {}
         return pa.table({"key": pa.array(keys, pa.int64()), "near": lists} | more)
 
-    vectors = df.where(F.col(key).isNotNull() & (F.size(emb) > 0)).select(F.col(key).cast("bigint").alias("key"), F.col(emb).cast("array<float>").alias("emb"))
+    vectors = df.where(F.col(key).isNotNull() & (F.size(emb) > 0)).select(F.col(key).cast("bigint").alias("key"), F.col(emb).cast("array<float>").alias("emb"), *(["top"] if cells else []))
     blocks = vectors.mapInArrow(send, blocks_schema)
     found = blocks.groupBy("leaf").applyInArrow(compare, f"key bigint, near {near_type}" + (", mass bigint, top bigint" if whole else ""))
     # a vector comes from as many leaves as it lives in or visits
@@ -496,6 +518,151 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest, dim: int,
     return lists.select("key", F.slice(once, 1, k).alias("near"), *(["mass", "tops"] if whole else []))
 
 
+# --- groups ------------------------------------------------------------------------------------------
+
+
+def sketches(x: np.ndarray) -> np.ndarray:
+    """On which side of `BITS` random planes each vector lies, as words of 64."""
+    planes = np.random.RandomState(17).standard_normal((x.shape[1], BITS)).astype(np.float32)
+    return np.packbits(x @ planes > 0, axis=1).view(np.uint64)
+
+
+def _alike(ids: np.ndarray, signs: np.ndarray, resident: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(id, smallest id of its component) where they differ, by sketches that agree; one of two has to be a resident."""
+    order = np.lexsort((ids, *signs.T))
+    heads = np.flatnonzero(np.r_[True, (signs[order][1:] != signs[order][:-1]).any(1)])
+    of = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(order)]))
+    lives = np.logical_or.reduceat(resident[order], heads)
+    first = np.argsort(~lives, kind="stable")  # residents first
+    s = np.ascontiguousarray(signs[order[heads]][first])
+    homes, n = int(lives.sum()), len(heads)
+    root = np.arange(n)
+    columns = np.ascontiguousarray(s[:homes].T)
+    rough, most = int(64 * _FIRST * (1 - _ROUGHLY)), int(BITS * (1 - ALIKE))
+    for begin in range(0, n, _ROWS):
+        end = min(begin + _ROWS, n)
+        after = min(begin, homes) if begin < homes else 0  # residents meet once
+        apart = np.zeros((end - begin, homes - after), np.uint16)
+        for w in range(_FIRST):
+            apart += np.bitwise_count(s[begin:end, w, None] ^ columns[w, None, after:])
+        rows, cols = np.divmod(np.flatnonzero(apart <= rough), max(1, homes - after))
+        rows, cols = rows + begin, cols + after
+        while len(rows):  # part by part, so that what is joined meanwhile need not be looked at
+            some, rest = slice(0, 100_000), slice(100_000, None)
+            r, c = rows[some], cols[some]
+            r, c = r[root[r] != root[c]], c[root[r] != root[c]]
+            fine = np.bitwise_count(s[r] ^ s[c]).sum(1, dtype=np.int64) <= most
+            join_all(root, r[fine], c[fine])
+            rows, cols = rows[rest], cols[rest]
+    place = np.empty(n, np.int64)
+    place[first] = np.arange(n)
+    mine = root[place[of]]
+    numbers = ids[order]
+    least = np.full(n, np.iinfo(np.int64).max)
+    np.minimum.at(least, mine, numbers)
+    tops = least[mine]
+    return numbers[tops != numbers], tops[tops != numbers]
+
+
+def links(df: DataFrame, key: str, emb: str, forest: Forest, dim: int, visits: int = REACH, slack: float = WITHIN) -> DataFrame:
+    """(a, b): vectors whose sketches are alike in a leaf of the forest, b the smallest key of its component there."""
+    shared = df.sparkSession.sparkContext.broadcast(forest)
+
+    def blocks_of(ids: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+        x = unit(x)
+        signs = sketches(x)
+        order = np.lexsort((ids, *signs.T))
+        heads = np.flatnonzero(np.r_[True, (signs[order][1:] != signs[order][:-1]).any(1)])
+        copies = np.setdiff1d(np.arange(len(order)), heads)  # only the first of equal ones goes to the leaves
+        of = ids[order[heads[np.searchsorted(heads, copies, "right") - 1]]]
+        out = [(-1 - int(ids[0] % 1009), ids[order[copies]].tobytes(), b"", of.tobytes())] if len(copies) else []
+        own, signs = ids[order[heads]], signs[order[heads]]
+        row, leaf_no, resident = shared.value.route(x[order[heads]], visits, slack)
+        order = np.argsort(leaf_no, kind="stable")
+        row, leaf_no, resident = row[order], leaf_no[order], resident[order]
+        edges = np.flatnonzero(np.r_[True, leaf_no[1:] != leaf_no[:-1], True])
+        for a, b in zip(edges[:-1], edges[1:]):
+            out.append((int(leaf_no[a]), own[row[a:b]].tobytes(), resident[a:b].tobytes(), signs[row[a:b]].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int32(), *[pa.binary()] * 3])], names=["leaf", "ids", "resident", "signs"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            rows, x = usable(batch.column(1), dim)
+            if len(rows):
+                held.append((batch.column(0).take(pa.array(rows)).to_numpy(zero_copy_only=False).astype(np.int64), x))
+            if sum(len(i) for i, _ in held) >= _TOGETHER:
+                yield blocks_of(*map(np.concatenate, zip(*held)))
+                held = []
+        if held:
+            yield blocks_of(*map(np.concatenate, zip(*held)))
+
+    def compare(table: pa.Table) -> pa.Table:
+        joined = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
+        ids = joined("ids", np.int64)
+        if table.column("leaf")[0].as_py() < 0:
+            a, b = ids, joined("signs", np.int64)
+        else:
+            a, b = _alike(ids, joined("signs", np.uint64).reshape(len(ids), -1), joined("resident", bool))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    vectors = df.where(F.col(key).isNotNull() & (F.size(emb) > 0)).select(F.col(key).cast("bigint").alias("key"), F.col(emb).cast("array<float>").alias("emb"))
+    return vectors.mapInArrow(send, "leaf int, ids binary, resident binary, signs binary").groupBy("leaf").applyInArrow(compare, "a bigint, b bigint")
+
+
+class Cells:
+    """Where the vectors of groups meet. Groups up to `block` vectors share cells of about `leaf`, a larger one is cut into blocks by the
+    digests of its vectors, and each pair of blocks meets: a block is at home in a row of cells, and each of them has up to
+    `GUESTS` of the blocks after it, half way round, as visitors."""
+
+    def __init__(self, count: int, large: list[tuple[int, int]], block: int, leaf: int | None = None) -> None:
+        self.bins = -(-count // (leaf or min(LEAF, max(FEWEST, -(-count // PARTS))))) or 1
+        self.large, at = {}, self.bins
+        for top, n in sorted(large):
+            blocks = -(-n // block)
+            row = -(-(blocks // 2) // GUESTS)
+            self.large[top] = (at, blocks, row)
+            at += blocks * row
+
+    def route(self, tops: np.ndarray, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, cell, resident) of every visit, by row."""
+        mixed = (tops.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+        names, which = np.unique(tops, return_inverse=True)
+        apart = np.isin(names, list(self.large))[which] if self.large else np.zeros(len(tops), bool)
+        small = np.flatnonzero(~apart)
+        rows, cells, lives = [small], [(mixed[small] % np.uint64(self.bins)).astype(np.int64)], [np.ones(len(small), bool)]
+        for top in names[np.isin(names, list(self.large))].tolist() if self.large else []:
+            at, n, row = self.large[top]
+            some = np.flatnonzero(tops == top)
+            mine = (digests[some] % np.uint64(n)).astype(np.int64)
+            for c in range(row):
+                rows.append(some)
+                cells.append(at + mine * row + c)
+                lives.append(np.ones(len(some), bool))
+            for d in range(1, n // 2 + 1):
+                host = (mine - d) % n
+                fine = (2 * d < n) | (host < n // 2)  # blocks that face each other meet once
+                rows.append(some[fine])
+                cells.append((at + host * row + (d - 1) // GUESTS)[fine])
+                lives.append(np.zeros(int(fine.sum()), bool))
+        found, cell, resident = map(np.concatenate, (rows, cells, lives))
+        order = np.argsort(found, kind="stable")
+        return found[order], cell[order], resident[order]
+
+
+def grouped_lists(df: DataFrame, key: str, emb: str, k: int, least: float, trees: int | None = None, visits: int | None = None, slack: float | None = None, sample: int = SAMPLE, leaf: int | None = None, whole: bool = False, block: int = BLOCK) -> tuple[DataFrame, int]:
+    """(what `neighbour_lists` gives, dimension) for a floor of at least `FLOOR`, out of whole groups."""
+    from .peaks import join_peaks
+
+    forest, dim = fit_forest(df, key, emb, trees or THICKET, sample, leaf, THICKET_PARTS)
+    found = cut(links(df, key, emb, forest, dim, visits or REACH, WITHIN if slack is None else slack), "vector-links")
+    groups = cut(join_peaks(found).withColumnRenamed("peak", "key"), "vector-groups")
+    large = groups.groupBy("top").count().where(F.col("count") > block).collect()  # fewer than one in `block` of all rows
+    cells = Cells(groups.count(), [tuple(r) for r in large], block, leaf)
+    placed = df.where(F.size(emb) == dim).select(F.col(key).cast("bigint").alias("key"), F.col(emb).cast("array<float>").alias("emb")).join(groups, "key").select("key", "emb", "top")
+    return cut(neighbour_lists(placed, "key", "emb", None, dim, k, least, whole=whole, cells=cells), "neighbour-lists"), dim
+
+
 def copy_groups(df: DataFrame, key: str, emb: str, dim: int) -> DataFrame:
     """(key, head): the usable vectors that have exact copies, each with the smallest key of its group."""
     e = F.col(emb).cast("array<float>")
@@ -508,15 +675,18 @@ def copy_groups(df: DataFrame, key: str, emb: str, dim: int) -> DataFrame:
     return cut(join_unique(rows, groups, ["d1", "d2"], "n").select("key", "head"), "vector-copies")
 
 
-def neighbours(df: DataFrame, key: str, emb: str, k: int = 15, least: float = -1.0, trees: int = TREES, visits: int = VISITS, slack: float = SLACK, sample: int = SAMPLE, leaf: int | None = None) -> DataFrame:
+def neighbours(df: DataFrame, key: str, emb: str, k: int = 15, least: float = -1.0, trees: int | None = None, visits: int | None = None, slack: float | None = None, sample: int = SAMPLE, leaf: int | None = None, block: int = BLOCK) -> DataFrame:
     """(key, other, cosine): the k vectors most similar to each usable vector, itself left out, equal
     cosines by smaller key; only those of cosine `least` or more.
 
     Null, empty, all-zero, non-finite vectors, those with null elements, of another than the table's
     usual dimension or without a key take no part. Copies are neighbours of each other with cosine 1. Keys must be unique; extra
-    columns play no part; an empty table gives no rows."""
-    forest, dim = fit_forest(df, key, emb, trees, sample, leaf)
-    lists = cut(neighbour_lists(df, key, emb, forest, dim, k, least, visits, slack), "neighbour-lists")
+    columns play no part; an empty table gives no rows. From a floor of `FLOOR` on, neighbours come out of whole groups."""
+    if least >= FLOOR:
+        lists, dim = grouped_lists(df, key, emb, k, least, trees, visits, slack, sample, leaf, block=block)
+    else:
+        forest, dim = fit_forest(df, key, emb, trees or TREES, sample, leaf)
+        lists = cut(neighbour_lists(df, key, emb, forest, dim, k, least, visits or VISITS, SLACK if slack is None else slack), "neighbour-lists")
     # a copy has the list of the first of its group, with that one in its own place
     copies = copy_groups(df, key, emb, dim).where("key <> head")
     taken = join_unique(copies, lists.withColumnRenamed("key", "head"), ["head"])

@@ -227,3 +227,28 @@ def test_pairs_that_meet_in_several_leaves_count_once(spark):
     copies = {901: 5}  # those of a vector itself are not in the sum
     assert forest.leaves > 4 and len(lists) > 500 and max(len(r.tops) for r in lists) < 50
     assert all(abs(r.mass / 1e6 + copies.get(r.key, 0) - expected[r.key]) < 2e-4 for r in lists)
+
+
+def test_every_pair_of_blocks_of_a_large_group_meets_once():
+    digests = np.arange(700, dtype=np.uint64)
+    for n in range(2, 11):
+        cells = neighbours.Cells(1000, [(5, n * 100)], 100)
+        row, cell, lives = cells.route(np.full(700, 5), digests)
+        meet = np.zeros((n, n), int)
+        for c in np.unique(cell):
+            at = cell == c
+            hosts = set((digests[row[at & lives]] % n).tolist())
+            guests = set((digests[row[at & ~lives]] % n).tolist())
+            assert len(hosts) == 1 and len(guests) <= neighbours.GUESTS
+            for h in hosts:
+                for g in guests:
+                    meet[h, g] += 1
+                    meet[g, h] += 1
+        assert (meet + np.eye(n, dtype=int) == 1).all()
+
+
+def test_pairs_of_groups_larger_than_a_block(spark):
+    """A group of isotropic noise: its members' nearest are spread over all of it, so any leaf that cuts it loses some."""
+    rows = make(seed=9, groups=2, each=400, alone=100)
+    found = {tuple(r) for r in neighbours.pairs(table(spark, rows), "vec_id", "emb", 15, 0.6, leaf=100, block=60).collect()}
+    assert found == neighbour_pairs(usable(rows))
