@@ -1,8 +1,8 @@
 """Clusters of mutually similar vectors by density peaks.
 
-Neighbour joins run blocked: vectors are placed in the leaves of a random-projection forest and compared
-inside them, so no pair of blocks meets that has nothing in common. The density of a vector is the sum of
-its cosines with all similar vectors that its leaves hold, copies included. Its delta is the distance to the nearest denser vector
+Neighbour joins run blocked: a random-projection forest finds which vectors are linked, and the vectors of what is linked, directly or through others,
+are compared in blocks, so no pair of blocks meets that has nothing in common. The density of a vector is the sum of
+its cosines with all similar vectors, copies included. Its delta is the distance to the nearest denser vector
 among those it is linked with, which is where its pointer goes (of equal densities, that of smaller key is denser); a vector that is linked with
 no denser one has the greatest delta, 1, and is a peak. Pointers are followed by doubling - after r rounds a pointer has covered
 2^r steps - until each vector knows its peak, which is its group.
@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .neighbours import copy_groups, fit_forest, neighbour_lists
+from .neighbours import FLOOR, SLACK, copy_groups, fit_forest, grouped_lists, neighbour_lists
 from .skew import join_unique
 
 #: Neighbours a pointer chooses from, on each side; density and clusters come from all similar pairs.
 LINKS = 15
-#: Leaves a vector visits; members of a cluster find each other through others, so fewer than for single neighbours.
+#: Leaves a vector visits below the floor from which whole groups are compared.
 VISITS = 3
 #: The delta of a peak, in units of 1e-9.
 FARTHEST = 1_000_000_000
@@ -96,7 +96,7 @@ def _supported(links: DataFrame, placed: DataFrame, support: float) -> DataFrame
     return both.where(F.col("border") >= support * F.least("pa", "pb")).select("a", "b")
 
 
-def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size: int = 5, links: int = LINKS, support: float = 0.0, visits: int = VISITS, **options) -> DataFrame:
+def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size: int = 5, links: int = LINKS, support: float = 0.0, visits: int | None = None, **options) -> DataFrame:
     """(head, key, peak, density, delta): one row per member of every cluster of at least `least_size` vectors; head is the
     smallest key of the cluster, peak that of its group's peak. With support 0, two vectors belong together if their cosine is at least `similar`,
     directly or through other members.
@@ -104,8 +104,11 @@ def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size
     Density is the sum of the cosines with all other members of at least `similar`, each copy counted.
     Exact copies count as members of one density; null, empty, all-zero, non-finite and odd-length vectors and null keys belong
     to none. Equal densities and cosines go by smaller key. An empty table gives no rows."""
-    forest, dim = fit_forest(df, key, emb)
-    lists = cut(neighbour_lists(df, key, emb, forest, dim, links, similar, visits=visits, whole=True, **options), "cluster-lists")
+    if similar >= FLOOR:
+        lists, dim = grouped_lists(df, key, emb, links, similar, visits=visits, whole=True, **options)
+    else:
+        forest, dim = fit_forest(df, key, emb)
+        lists = cut(neighbour_lists(df, key, emb, forest, dim, links, similar, visits or VISITS, options.get("slack", SLACK), True), "cluster-lists")
     copies = copy_groups(df, key, emb, dim)
     multiplicity = copies.groupBy("head").agg(F.count("*").alias("n"))
     # density in whole units, so that it is the same in whatever order it is summed

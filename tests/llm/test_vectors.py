@@ -252,3 +252,14 @@ def test_pairs_of_groups_larger_than_a_block(spark):
     rows = make(seed=9, groups=2, each=400, alone=100)
     found = {tuple(r) for r in neighbours.pairs(table(spark, rows), "vec_id", "emb", 15, 0.6, leaf=100, block=60).collect()}
     assert found == neighbour_pairs(usable(rows))
+
+
+def test_clusters_of_groups_the_forest_parts(spark):
+    """Many small groups in leaves too small and too many to hold each whole."""
+    rows = make(seed=10, groups=60, each=6, alone=300)
+    found = {(r.head, r.key) for r in peaks.clusters(table(spark, rows), "vec_id", "emb", leaf=64, block=20).collect()}
+    expected = brute_clusters(usable(rows))
+    assert len(found & expected) >= 0.97 * len(expected) and len(found & expected) >= 0.97 * len(found)
+    masses = {r.key: r.density for r in peaks.clusters(table(spark, rows), "vec_id", "emb", leaf=64, block=20).collect()}
+    true = densities(usable(rows))
+    assert sum(abs(masses[i] - true[i]) < 2e-4 for _, i in found & expected) >= 0.97 * len(found)
