@@ -10,9 +10,9 @@ Inside brackets and quotations no boundary is possible, nor at a place with neit
 signs of a script that writes on without spaces.
 
 Words are units between spaces; Han and kana are taken sign by sign, Thai stretches by their first and
-last signs, rare words by a class of their ending. The model is fitted on at most `MAX_ROWS` analysed
-answers (a documented bound; the sample is drawn by key digest over the whole table) and is broadcast:
-its size is bounded by that sample. Texts are then decoded partition by partition, whole, without a
+last signs, rare words by a class of their ending. The model is fitted on all analysed answers: their words and
+then the triples of these are counted where the answers are, and only the sums come to the driver and are broadcast.
+Their number grows with the vocabulary, not with the rows. Texts are then decoded partition by partition, whole, without a
 shuffle."""
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import regex
@@ -31,12 +31,12 @@ from pyspark.sql import types as T
 from ..session import spread
 from .personal import shadow
 
-#: Analysed answers the model is fitted on at most.
-MAX_ROWS = 60_000
-#: One in so many of them is also learned without end marks.
+#: One in so many answers is also learned without end marks.
 BARE_ONE_IN = 2
 BOUNDARY = "</s>"
 _DISCOUNT = 0.6
+#: Different words or triples a task sums up before it hands them on.
+_TOGETHER = 200_000
 _END_FORMS = frozenset((".", "!", "?", "…", "~", "♪"))
 _MARKS = ".!?…。！？।॥؟♪~～⋯‥"
 _TOKEN = regex.compile(
@@ -142,6 +142,25 @@ def _class(form: str) -> str:
     return "<word>"
 
 
+def _streams(sentences: list[str]) -> Iterator[list[list[str]]]:
+    """The words of an answer's sentences as they are written and, of some answers, without end marks."""
+    stream = [[form for form, *_ in tokens(" ".join(s.split()))] for s in sentences if s and s.strip()]
+    stream = [s for s in stream if s]
+    if not stream:
+        return
+    yield stream
+    if zlib.crc32("".join(sentences).encode()) % BARE_ONE_IN == 0:
+        yield [s[:-1] if s[-1] in _END_FORMS and len(s) > 1 else s for s in stream]
+
+
+def _triples(stream: list[list[str]], known: set[str]) -> Iterator[tuple[str, str, str]]:
+    flat = [BOUNDARY, BOUNDARY]
+    for s in stream:
+        flat += [f if f in known else _class(f) for f in s]
+        flat.append(BOUNDARY)
+    return zip(flat, flat[1:], flat[2:])
+
+
 class BoundaryModel:
     """Trigram counts with interpolated absolute discounting over words and boundary tokens."""
 
@@ -162,31 +181,25 @@ class BoundaryModel:
     @classmethod
     def fit(cls, answers: list[list[str]]) -> BoundaryModel:
         """From answers given as lists of sentences."""
-        streams: list[list[list[str]]] = []
-        for sentences in answers:
-            stream = [[form for form, *_ in tokens(" ".join(s.split()))] for s in sentences if s and s.strip()]
-            stream = [s for s in stream if s]
-            if not stream:
-                continue
-            streams.append(stream)
-            if zlib.crc32("".join(sentences).encode()) % BARE_ONE_IN == 0:
-                bare = [s[:-1] if s[-1] in _END_FORMS and len(s) > 1 else s for s in stream]
-                streams.append(bare)
+        streams = [stream for sentences in answers for stream in _streams(sentences)]
         seen = Counter(form for stream in streams for s in stream for form in s)
         known = {form for form, n in seen.items() if n > 1}
+        return cls.of_counts(Counter(t for stream in streams for t in _triples(stream, known)).items())
+
+    @classmethod
+    def of_counts(cls, counts: Iterable[tuple[tuple[str, str, str], int]]) -> BoundaryModel:
+        """From the triples of all answers with their numbers, each triple once."""
         model = cls()
         index = model.ids
         index[BOUNDARY] = 0
-        triples: Counter = Counter()
+        triples: dict[tuple[int, int, int], int] = {}
         lonely: Counter = Counter()
-        for stream in streams:
-            flat = [BOUNDARY, BOUNDARY]
-            for s in stream:
-                flat += [f if f in known else _class(f) for f in s]
-                flat.append(BOUNDARY)
-            numbers = [index.setdefault(f, len(index)) for f in flat]
-            lonely.update(numbers[1:])
-            triples.update(zip(numbers, numbers[1:], numbers[2:]))
+        for forms, count in counts:
+            u, v, w = (index.setdefault(f, len(index)) for f in forms)
+            triples[u, v, w] = count
+            lonely[w] += count
+            if u == v == 0:  # an answer begins with two boundaries, the second of which counts
+                lonely[0] += count
         for rest in ("<word>", "<sign>", "<mark>", "<letter>", "<th^>", "<n>", "<mail>", "<path>"):
             index.setdefault(rest, len(index))
         n = model.size = len(index)
@@ -361,12 +374,37 @@ def _original_end(text: str, at: list[int], end: int) -> int:
     return start + len(piece.rstrip().rstrip("\u200b\u200c\u2060\ufeff\u00ad").rstrip()) if piece.strip() else stop
 
 
-def fit_model(analysed: DataFrame, key: str, sentences: str, max_rows: int = MAX_ROWS) -> BoundaryModel:
-    """The model of a table of answers with known sentences (an array column). At most `max_rows` rows,
-    those of smallest key digest, are fetched."""
-    rows = analysed.where(F.size(sentences) > 0).select(F.xxhash64(F.col(key)).alias("h"), F.col(sentences).alias("s"))
-    taken = rows.orderBy("h").limit(max_rows).select("s").collect()
-    return BoundaryModel.fit([[s for s in r.s if s] for r in taken])
+def _sums(answers: DataFrame, names: list[str], parts: Callable[[list[list[str]]], Iterable[tuple[str, ...]]]) -> DataFrame:
+    """(names, n): how often each of the `parts` of the answers' streams occurs; tasks add up before they hand on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def taken() -> pa.RecordBatch:
+            columns = [pa.array(c, pa.string()) for c in zip(*held)] or [pa.array([], pa.string())] * len(names)
+            return pa.RecordBatch.from_arrays([*columns, pa.array(list(held.values()), pa.int64())], names=[*names, "n"])
+
+        for batch in batches:
+            for sentences in batch.column(0).to_pylist():
+                for stream in _streams([s for s in sentences if s]):
+                    held.update(parts(stream))
+                if len(held) >= _TOGETHER:
+                    yield taken()
+                    held.clear()
+        yield taken()
+
+    counted = spread(answers).mapInArrow(run, ", ".join(f"{c} string" for c in names) + ", n bigint")
+    return counted.groupBy(*names).agg(F.sum("n").alias("n"))
+
+
+def fit_model(analysed: DataFrame, key: str, sentences: str) -> BoundaryModel:
+    """The model of a table of answers with known sentences (an array column), from all its rows; the key plays no part."""
+    answers = analysed.where(F.size(sentences) > 0).select(F.col(sentences).cast("array<string>").alias("s"))
+    words = _sums(answers, ["form"], lambda stream: ((form,) for s in stream for form in s))
+    known = set(words.where("n > 1").select("form").toArrow().column(0).to_pylist())
+    shared = analysed.sparkSession.sparkContext.broadcast(known)
+    found = _sums(answers, ["u", "v", "w"], lambda stream: _triples(stream, shared.value)).orderBy("u", "v", "w").toArrow()
+    return BoundaryModel.of_counts(((u, v, w), n) for b in found.to_batches() for u, v, w, n in zip(*(c.to_pylist() for c in b.columns)))
 
 
 def split_documents(df: DataFrame, key: str, text: str, model: BoundaryModel) -> DataFrame:

@@ -264,6 +264,17 @@ def test_sentence_rows(spark, model):
     assert len(sentences.sentence_ends(model, long)) == 4000
 
 
+def test_model_comes_from_every_analysed_answer(spark):
+    """More answers than the sample of 60,000 that it was once fitted on; what is told by few of them counts too."""
+    common = spark.range(70_000).selectExpr("id as analysis_id", "array('All fine.', null) as automic_sentence")
+    rare = spark.range(2).selectExpr("id + 70000 as analysis_id", "array('Zebras ate grass.', 'All fine!') as automic_sentence")
+    fitted = sentences.fit_model(common.unionByName(rare), "analysis_id", "automic_sentence")
+    assert "zebras" in fitted.ids
+    plain = sentences.BoundaryModel.fit([["All fine."]] * 70_000 + [["Zebras ate grass.", "All fine!"]] * 2)
+    for u, v, w in (("</s>", "all", "fine"), ("fine", ".", "</s>"), ("zebras", "ate", "grass"), ("</s>", "all", "grass"), ("grass", "</s>", "all")):
+        assert fitted.p(*map(fitted.number, (u, v, w))) == pytest.approx(plain.p(*map(plain.number, (u, v, w))), rel=1e-12)
+
+
 def test_model_of_nothing(spark):
     empty = spark.createDataFrame([], "analysis_id bigint, automic_sentence array<string>")
     fitted = sentences.fit_model(empty, "analysis_id", "automic_sentence")
