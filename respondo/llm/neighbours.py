@@ -26,7 +26,7 @@ copies may hold any share of the rows."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,8 @@ BITS, ALIKE = 512, 0.72
 _FIRST, _ROUGHLY = 4, 0.62
 #: Vectors of a group compared at once; so many other blocks meet one in a cell.
 BLOCK, GUESTS = 10_000, 3
+#: What is known of a vector of a group that was finished in its cell.
+SETTLED = ("head", "peak", "density", "delta")
 #: The floor from which groups are sought; below it vectors are not told apart from unrelated ones.
 FLOOR = 0.55
 _ANCHORS = 128
@@ -426,7 +428,7 @@ def fit_forest(df: DataFrame, key: str, emb: str, trees: int = TREES, sample: in
     return Forest.fit(x, total, trees, leaf).pack() if len(x) else Forest.fit(np.zeros((1, 1), np.float32), 1, trees, 1).pack(), dim if len(x) else 0
 
 
-def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest | None, dim: int, k: int = 15, least: float = -1.0, visits: int = VISITS, slack: float = SLACK, whole: bool = False, cells: Cells | None = None) -> DataFrame:
+def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest | None, dim: int, k: int = 15, least: float = -1.0, visits: int = VISITS, slack: float = SLACK, whole: bool = False, cells: Cells | None = None, settle: Callable | None = None) -> DataFrame:
     """(key, near array<struct<far, key>>): for every distinct usable vector - of copies that of smallest
     key - its k nearest others of at least cosine `least`, copies among them; far is (1 - cosine) in units of 1e-9.
 
@@ -434,9 +436,14 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest | None, di
     k nearest, weighted by copies and in units of 1e-6, and in each leaf the smallest key that is linked with the
     vector by such pairs, directly or through others.
 
-    With `cells`, vectors meet in the cells of their group, which a column `top` names, instead of in leaves."""
+    With `cells`, vectors meet in the cells of their group, which a column `top` names, instead of in leaves.
+
+    With `cells` and `settle` as well, the groups that are whole in one cell are finished there: the rows are
+    (key, near, mass, top, *`SETTLED`), as they come out of the cells. Those of larger groups have the first four, of each cell, for
+    `merged_lists`; those of the others have the key and `SETTLED`, from `settle(copies, all pairs, keys, near, far)`, copies included."""
     shared = df.sparkSession.sparkContext.broadcast(cells or forest)
     spare = 0 if whole else min(k, (1 << 15) - 2)  # more than k + 1 copies are in nobody's list; sums need only the first
+    counted = np.int32 if settle else np.int16
     names = ["leaf", "n", "ids", "copies", "resident", "digests", "vectors", *(["weights", "places"] if whole else [])]
     blocks_schema = "leaf int, n int, " + ", ".join(f"{c} binary" for c in names[2:])
 
@@ -445,8 +452,10 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest | None, di
         order, heads = _distinct(digests, ids, x)
         weights = np.diff(np.r_[heads, len(order)])
         place = np.arange(len(order)) - np.repeat(heads, weights)
-        ids, x, digests = ids[order][place <= spare], x[order[heads]], digests[order[heads]]
-        starts = np.r_[0, np.cumsum(np.minimum(weights, spare + 1))]
+        # what is finished in its cell names all copies there
+        kept = (place <= spare) | ~np.isin(tops[order], list(cells.large)) if settle else place <= spare
+        ids, x, digests = ids[order][kept], x[order[heads]], digests[order[heads]]
+        starts = np.r_[0, np.cumsum(np.add.reduceat(kept, heads, dtype=np.int64))]
         row, leaf_no, resident = shared.value.route(unit(x), visits, slack) if tops is None else shared.value.route(tops[order[heads]], digests)
         if whole:
             first = np.searchsorted(row, np.arange(len(x)))
@@ -462,7 +471,7 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest | None, di
             r = row[a:b]
             counts = starts[r + 1] - starts[r]
             taken = np.repeat(starts[r] - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
-            out.append((int(leaf_no[a]), b - a, ids[taken].tobytes(), counts.astype(np.int16).tobytes(), resident[a:b].tobytes(), digests[r].tobytes(), pack(x[r]), *((weights[r].astype(np.int64).tobytes(), places[r].tobytes()) if whole else ())))
+            out.append((int(leaf_no[a]), b - a, ids[taken].tobytes(), counts.astype(counted).tobytes(), resident[a:b].tobytes(), digests[r].tobytes(), pack(x[r]), *((weights[r].astype(np.int64).tobytes(), places[r].tobytes()) if whole else ())))
         kinds = [pa.int32(), pa.int32(), *[pa.binary()] * (len(names) - 2)]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
@@ -485,13 +494,15 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest | None, di
     def compare(table: pa.Table) -> pa.Table:
         sizes = table.column("n").to_pylist()
         joined = lambda c, kind: np.concatenate([np.frombuffer(v, kind) for v in table.column(c).to_pylist()])
-        everyone, counts = joined("ids", np.int64), joined("copies", np.int16).astype(np.int64)
+        everyone, counts = joined("ids", np.int64), joined("copies", counted).astype(np.int64)
         resident, digests = joined("resident", bool), joined("digests", np.uint64)
         x = np.concatenate([unpack(v, n) for v, n in zip(table.column("vectors").to_pylist(), sizes)])
         starts = np.r_[0, np.cumsum(counts)]
         order, heads = _distinct(digests, everyone[starts[:-1]], x)
         ends = np.r_[heads[1:], len(order)]
-        copies = [everyone[starts[order[a]] : starts[order[a] + 1]] if b == a + 1 else np.sort(np.concatenate([everyone[starts[i] : starts[i + 1]] for i in order[a:b]]))[: spare + 1] for a, b in zip(heads, ends)]
+        finished = settle is not None and table.column("leaf")[0].as_py() < cells.bins
+        most = None if finished else spare + 1
+        copies = [everyone[starts[order[a]] : starts[order[a] + 1]] if b == a + 1 else np.sort(np.concatenate([everyone[starts[i] : starts[i + 1]] for i in order[a:b]]))[:most] for a, b in zip(heads, ends)]
         pairs_ = None
         if whole:
             weights = np.add.reduceat(joined("weights", np.int64)[order], heads)
@@ -499,19 +510,31 @@ def neighbour_lists(df: DataFrame, key: str, emb: str, forest: Forest | None, di
             width = max(b.shape[1] for b in blocks)
             places = np.concatenate([np.pad(b, ((0, 0), (0, width - b.shape[1])), constant_values=-1) for b in blocks])
             pairs_ = AllPairs(table.column("leaf")[0].as_py(), weights, places[order[heads]])
-        keys, near, cosines, sums = leaf_neighbours(x[order[heads]], copies, resident[order[heads]], k, least, pairs_)
+        firsts = [c[:1] for c in copies] if finished else copies
+        keys, near, cosines, sums = leaf_neighbours(x[order[heads]], firsts, resident[order[heads]], k, least, pairs_)
         offsets = np.cumsum([0, *map(len, near)])
         far = np.rint((1 - np.concatenate(cosines)) * 1e9).astype(np.int64) if near else np.zeros(0, np.int64)
         other = np.concatenate(near) if near else np.zeros(0, np.int64)
+        if finished:
+            key_, *rest = settle(copies, pairs_, np.repeat(np.array(keys, np.int64), np.diff(offsets)), other, far)
+            nothing = lambda kind: pa.nulls(len(key_), kind)
+            return pa.table({"key": key_, "near": nothing(pa.list_(struct)), "mass": nothing(pa.int64()), "top": nothing(pa.int64())} | dict(zip(SETTLED, rest)))
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(far), pa.array(other)], fields=list(struct)))
         mass, tops = zip(*sums) if sums else ((), ())
         more = {"mass": pa.array(mass, pa.int64()), "top": pa.array(tops, pa.int64())} if whole else {}
+        if settle:
+            more |= {c: pa.nulls(len(keys), pa.int64()) for c in SETTLED}
         return pa.table({"key": pa.array(keys, pa.int64()), "near": lists} | more)
 
     vectors = df.where(F.col(key).isNotNull() & (F.size(emb) > 0)).select(F.col(key).cast("bigint").alias("key"), F.col(emb).cast("array<float>").alias("emb"), *(["top"] if cells else []))
     blocks = vectors.mapInArrow(send, blocks_schema)
-    found = blocks.groupBy("leaf").applyInArrow(compare, f"key bigint, near {near_type}" + (", mass bigint, top bigint" if whole else ""))
-    # a vector comes from as many leaves as it lives in or visits
+    columns = [*(["mass", "top"] if whole else []), *(SETTLED if settle else [])]
+    found = blocks.groupBy("leaf").applyInArrow(compare, ", ".join([f"key bigint, near {near_type}", *(f"{c} bigint" for c in columns)]))
+    return found if settle else merged_lists(found, k, whole)
+
+
+def merged_lists(found: DataFrame, k: int, whole: bool) -> DataFrame:
+    """The lists of each vector as one: it comes from as many leaves as it lives in or visits."""
     more = [F.sum("mass").alias("mass"), F.collect_set("top").alias("tops")] if whole else []
     lists = found.groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"), *more)
     once = F.filter("near", lambda n, i: (i == 0) | (n["key"] != F.get("near", i - 1)["key"]))
@@ -650,8 +673,8 @@ class Cells:
         return found[order], cell[order], resident[order]
 
 
-def grouped_lists(df: DataFrame, key: str, emb: str, k: int, least: float, trees: int | None = None, visits: int | None = None, slack: float | None = None, sample: int = SAMPLE, leaf: int | None = None, whole: bool = False, block: int = BLOCK) -> tuple[DataFrame, int]:
-    """(what `neighbour_lists` gives, dimension) for a floor of at least `FLOOR`, out of whole groups."""
+def grouped(df: DataFrame, key: str, emb: str, trees: int | None = None, visits: int | None = None, slack: float | None = None, sample: int = SAMPLE, leaf: int | None = None, block: int = BLOCK) -> tuple[DataFrame, Cells, int]:
+    """((key, emb, top) of the vectors that are linked with others, the cells where they meet, dimension)."""
     from .peaks import join_peaks
 
     forest, dim = fit_forest(df, key, emb, trees or THICKET, sample, leaf, THICKET_PARTS)
@@ -660,6 +683,12 @@ def grouped_lists(df: DataFrame, key: str, emb: str, k: int, least: float, trees
     large = groups.groupBy("top").count().where(F.col("count") > block).collect()  # fewer than one in `block` of all rows
     cells = Cells(groups.count(), [tuple(r) for r in large], block, leaf)
     placed = df.where(F.size(emb) == dim).select(F.col(key).cast("bigint").alias("key"), F.col(emb).cast("array<float>").alias("emb")).join(groups, "key").select("key", "emb", "top")
+    return placed, cells, dim
+
+
+def grouped_lists(df: DataFrame, key: str, emb: str, k: int, least: float, whole: bool = False, **options) -> tuple[DataFrame, int]:
+    """(what `neighbour_lists` gives, dimension) for a floor of at least `FLOOR`, out of whole groups."""
+    placed, cells, dim = grouped(df, key, emb, **options)
     return cut(neighbour_lists(placed, "key", "emb", None, dim, k, least, whole=whole, cells=cells), "neighbour-lists"), dim
 
 
@@ -683,7 +712,7 @@ def neighbours(df: DataFrame, key: str, emb: str, k: int = 15, least: float = -1
     usual dimension or without a key take no part. Copies are neighbours of each other with cosine 1. Keys must be unique; extra
     columns play no part; an empty table gives no rows. From a floor of `FLOOR` on, neighbours come out of whole groups."""
     if least >= FLOOR:
-        lists, dim = grouped_lists(df, key, emb, k, least, trees, visits, slack, sample, leaf, block=block)
+        lists, dim = grouped_lists(df, key, emb, k, least, trees=trees, visits=visits, slack=slack, sample=sample, leaf=leaf, block=block)
     else:
         forest, dim = fit_forest(df, key, emb, trees or TREES, sample, leaf)
         lists = cut(neighbour_lists(df, key, emb, forest, dim, k, least, visits or VISITS, SLACK if slack is None else slack), "neighbour-lists")

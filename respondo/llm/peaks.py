@@ -11,16 +11,21 @@ Groups that touch are tops of one cluster where the density at their border supp
 the largest density of the sparser end of a link between them, and they are united if it is at least `support` times the density of the
 lower of the two peaks. With the default, 0, any link supports a union, and clusters are what is linked directly or through others; with
 more, thin bridges do not join dense groups. For support 0 all similar pairs count, not those of the lists alone: each leaf joins
-them to components before it cuts its lists to the nearest. Everything after the blocks works on narrow
-rows of keys, cut from their lineage each round."""
+them to components before it cuts its lists to the nearest.
+
+For support 0 a group that is whole in one cell is finished there (`settled`): density, delta, pointers, peak and cluster of each of its
+vectors come out of the cell, and no table of links. What groups cut into blocks still need works on narrow rows of keys, cut from their lineage each round."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ..operators.graph import join_all
 from ..session import cut
-from .neighbours import FLOOR, SLACK, copy_groups, fit_forest, grouped_lists, neighbour_lists
+from .neighbours import FLOOR, SETTLED, SLACK, AllPairs, copy_groups, fit_forest, grouped, grouped_lists, merged_lists, neighbour_lists
 from .skew import join_unique
 
 #: Neighbours a pointer chooses from, on each side; density and clusters come from all similar pairs.
@@ -83,6 +88,36 @@ def ranked(lists: DataFrame, density: DataFrame) -> DataFrame:
     return density.join(nearest, "key", "left").select("key", "density", F.coalesce("far", F.lit(FARTHEST)).alias("delta"), F.coalesce("parent", "key").alias("parent"))
 
 
+def settled(copies: list[np.ndarray], pairs: AllPairs, one: np.ndarray, other: np.ndarray, far: np.ndarray, least_size: int) -> list[pa.Array]:
+    """(key, head, peak, density, delta) of the vectors of whole groups, one row a member of a cluster of at least `least_size`: what `ranked`,
+    `follow` and `join_peaks` find with support 0. `copies` has the keys of each distinct vector, in order; `pairs` has met
+    all pairs; `one`, `other` and `far` are the links of the lists, by first keys."""
+    numbers = np.array([c[0] for c in copies], np.int64)
+    weights = np.array([len(c) for c in copies], np.int64)
+    density = np.rint(pairs.mass * 1e6).astype(np.int64) + (weights - 1) * 1_000_000
+    by = np.argsort(numbers)
+    a, b = (by[np.searchsorted(numbers, keys, sorter=by)] for keys in (one, other))
+    up = (density[b] > density[a]) | ((density[b] == density[a]) & (numbers[b] < numbers[a]))
+    low, high = np.where(up, a, b), np.where(up, b, a)
+    order = np.lexsort((numbers[high], far, low))
+    nearest = order[np.r_[True, low[order][1:] != low[order][:-1]][: len(order)]]
+    parent, delta = np.arange(len(numbers)), np.full(len(numbers), FARTHEST)
+    parent[low[nearest]], delta[low[nearest]] = high[nearest], far[nearest]
+    while (parent[parent] != parent).any():
+        parent = parent[parent]
+    root = pairs.root
+    join_all(root, low, high)
+    head = np.full(len(numbers), np.iinfo(np.int64).max)
+    np.minimum.at(head, root, numbers)
+    size = np.zeros(len(numbers), np.int64)
+    np.add.at(size, root, weights)
+    of = np.repeat(np.arange(len(numbers)), weights)
+    first = np.r_[True, of[1:] != of[:-1]][: len(of)]
+    fine = size[root[of]] >= least_size
+    of, first = of[fine], first[fine]
+    return [pa.array(c, pa.int64()) for c in (np.concatenate(copies)[fine], head[root[of]], numbers[parent[of]], density[of], np.where(first, delta[of], 0))]
+
+
 def _supported(links: DataFrame, placed: DataFrame, support: float) -> DataFrame:
     """(a, b): pairs of peaks whose groups are linked, with enough density at their border. `links` is (key, other),
     `placed` (key, density, peak)."""
@@ -104,12 +139,32 @@ def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size
     Density is the sum of the cosines with all other members of at least `similar`, each copy counted.
     Exact copies count as members of one density; null, empty, all-zero, non-finite and odd-length vectors and null keys belong
     to none. Equal densities and cosines go by smaller key. An empty table gives no rows."""
+    if similar >= FLOOR and support <= 0:
+        placed, cells, dim = grouped(df, key, emb, visits=visits, **options)
+        finish = lambda *cell: settled(*cell, least_size=least_size)
+        found = neighbour_lists(placed, "key", "emb", None, dim, links, similar, whole=True, cells=cells, settle=finish)
+        if cells.large:  # a few groups at most
+            found = cut(found, "cluster-cells")
+        members = _in_units(found.where(F.col("head").isNotNull()).select("key", *SETTLED))
+        if not cells.large:
+            return members
+        lists = cut(merged_lists(found.where(F.col("head").isNull()), links, True), "neighbour-lists")
+        copies = copy_groups(placed.where(F.col("top").isin(list(cells.large))), "key", "emb", dim)
+        return members.unionByName(_of_lists(lists, copies, least_size, support))
     if similar >= FLOOR:
         lists, dim = grouped_lists(df, key, emb, links, similar, visits=visits, whole=True, **options)
     else:
         forest, dim = fit_forest(df, key, emb)
         lists = cut(neighbour_lists(df, key, emb, forest, dim, links, similar, visits or VISITS, options.get("slack", SLACK), True), "cluster-lists")
-    copies = copy_groups(df, key, emb, dim)
+    return _of_lists(lists, copy_groups(df, key, emb, dim), least_size, support)
+
+
+def _in_units(members: DataFrame) -> DataFrame:
+    return members.select("head", "key", "peak", (F.col("density") / 1e6).alias("density"), (F.col("delta") / 1e9).alias("delta"))
+
+
+def _of_lists(lists: DataFrame, copies: DataFrame, least_size: int, support: float) -> DataFrame:
+    """The clusters of the vectors in `lists` (key, near, mass, tops) and of their `copies` (key, head)."""
     multiplicity = copies.groupBy("head").agg(F.count("*").alias("n"))
     # density in whole units, so that it is the same in whatever order it is summed
     density = lists.select("key", F.col("mass").alias("density")).join(multiplicity, F.col("key") == F.col("head"), "full").select(
@@ -128,7 +183,7 @@ def clusters(df: DataFrame, key: str, emb: str, similar: float = 0.6, least_size
     others = join_unique(copies.where("key <> head"), members.withColumnRenamed("key", "head"), ["head"]).select("key", "peak", "density", F.lit(0).cast("bigint").alias("delta"), "top")
     members = cut(members.unionByName(others), "cluster-members")
     sizes = members.groupBy("top").agg(F.count("*").alias("n"), F.min("key").alias("head")).where(F.col("n") >= least_size)
-    return join_unique(members, sizes, ["top"], "n").select("head", "key", "peak", (F.col("density") / 1e6).alias("density"), (F.col("delta") / 1e9).alias("delta"))
+    return _in_units(join_unique(members, sizes, ["top"], "n"))
 
 
 def describe(found: DataFrame, typical: int = 3) -> DataFrame:

@@ -263,3 +263,17 @@ def test_clusters_of_groups_the_forest_parts(spark):
     masses = {r.key: r.density for r in peaks.clusters(table(spark, rows), "vec_id", "emb", leaf=64, block=20).collect()}
     true = densities(usable(rows))
     assert sum(abs(masses[i] - true[i]) < 2e-4 for _, i in found & expected) >= 0.97 * len(found)
+
+
+@pytest.mark.parametrize("block", [10_000, 60])
+def test_whole_groups_are_finished_in_their_cells(spark, rows, monkeypatch, block):
+    """Peaks, densities and deltas as tables of links give them; no such table is made for groups that are in one cell."""
+    df = table(spark, rows + [(900 + i, v) for i, v in crowd()] + [(2000 + i, v) for i, v in make(seed=9, groups=1, each=90, alone=0)[:90]])
+    found = {r.key: r for r in peaks.clusters(df, "vec_id", "emb", block=block).collect()}
+    tables = {r.key: r for r in peaks.clusters(df, "vec_id", "emb", block=block, support=1e-9).collect()}
+    assert len(tables) > 300 and found.keys() == tables.keys()
+    assert all((r.peak, r.delta) == (tables[i].peak, tables[i].delta) and abs(r.density - tables[i].density) < 1e-5 for i, r in found.items())
+    ranked, seen = peaks.ranked, []
+    monkeypatch.setattr(peaks, "ranked", lambda lists, density: seen.append(density.count()) or ranked(lists, density))
+    peaks.clusters(df, "vec_id", "emb", block=block).count()
+    assert seen == ([] if block == 10_000 else [90])
