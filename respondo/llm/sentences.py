@@ -10,9 +10,9 @@ Inside brackets and quotations no boundary is possible, nor at a place with neit
 signs of a script that writes on without spaces.
 
 Words are units between spaces; Han and kana are taken sign by sign, Thai stretches by their first and
-last signs, rare words by a class of their ending. The model is fitted on all analysed answers: their words and
-then the triples of these are counted where the answers are, and only the sums come to the driver and are broadcast.
-Their number grows with the vocabulary, not with the rows. Texts are then decoded partition by partition, whole, without a
+last signs, rare words by a class of their ending. The model is fitted on all analysed answers, which are read and cut into words once: the triples
+of their words are counted where the answers are, the sums tell which words are rare, and with these put into their classes the sums come to the
+driver and are broadcast. Their number grows with the vocabulary, not with the rows. Texts are then decoded partition by partition, whole, without a
 shuffle."""
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import spread
+from ..session import cut, spread
 from .personal import shadow
 
 #: One in so many answers is also learned without end marks.
@@ -51,6 +51,7 @@ _TOKEN = regex.compile(
 )
 _OPEN = {"(": ")", "（": "）", "[": "]", "「": "」", "『": "』", "“": "”", "„": "“", "«": "»", "《": "》", "【": "】", "‘": "’", "‹": "›"}
 _CLOSERS = set(_OPEN.values())
+_MARK_FORMS = _END_FORMS | _CLOSERS | {'"', "'"}
 _ENCLOSING = regex.compile(r"""[(\[（「『“„«《【‘‹"'＂＇’]""")
 #: The posterior above which a place without a mark ends a sentence: in a line that has marks; between two signs in such a line
 #: and in one without marks.
@@ -62,6 +63,8 @@ _LINE = regex.compile(r"[^\n\r\x0b\x0c\x85\u2028\u2029]+")
 
 
 def _mark(run: str) -> str:
+    if len(run) == 1 and run in _END_FORMS:
+        return run
     if any(c in run for c in "?？؟"):
         return "?"
     if any(c in run for c in "!！"):
@@ -73,34 +76,40 @@ def _mark(run: str) -> str:
     return run[0]
 
 
-def tokens(line: str) -> list[tuple[str, int, int, bool]]:
-    """(form, start, end, may end a sentence here) of each word, mark and sign of a line."""
+def _cut(line: str) -> list[tuple[str, int, int, bool]]:
+    """The words, marks and signs of a line, as if each place were free."""
     found = []
     for m in _TOKEN.finditer(line):
-        kind, text = m.lastgroup, m.group()
+        kind = m.lastgroup
         a, b = m.span()
         if kind == "word":
-            found.append((text.casefold(), a, b))
+            found.append((line[a:b].casefold(), a, b, True))
         elif kind == "mark":
-            found.append((_mark(text), a, b))
+            found.append((_mark(line[a:b]), a, b, True))
         elif kind == "num":
-            found.append(("<n>", a, b))
+            found.append(("<n>", a, b, True))
         elif kind == "thai":
             if b - a > 6:
-                found.append(("^" + text[:3], a, b - 4))
-            found.append((text[-4:] + "$", b - min(4, b - a), b))
+                found.append(("^" + line[a : a + 3], a, b - 4, True))
+            found.append((line[max(a, b - 4) : b] + "$", b - min(4, b - a), b, True))
         elif kind in ("mail", "path"):
-            found.append((f"<{kind}>", a, b))
+            found.append((f"<{kind}>", a, b, True))
         else:
-            found.append((text, a, b))
-    return _inside(line, found) if _ENCLOSING.search(line) else [(form, a, b, True) for form, a, b in found]
+            found.append((line[a:b], a, b, True))
+    return found
+
+
+def tokens(line: str) -> list[tuple[str, int, int, bool]]:
+    """(form, start, end, may end a sentence here) of each word, mark and sign of a line."""
+    found = _cut(line)
+    return _inside(line, found) if _ENCLOSING.search(line) else found
 
 
-def _inside(line: str, found: list[tuple[str, int, int]]) -> list[tuple[str, int, int, bool]]:
+def _inside(line: str, found: list[tuple[str, int, int, bool]]) -> list[tuple[str, int, int, bool]]:
     """Mark the places within brackets and quotations that are closed again in the line."""
     shut = [False] * len(found)
     stack: list[tuple[str, int]] = []
-    for i, (form, a, b) in enumerate(found):
+    for i, (_, a, b, _) in enumerate(found):
         if b - a != 1:
             continue
         sign = line[a]
@@ -125,7 +134,7 @@ def _inside(line: str, found: list[tuple[str, int, int]]) -> list[tuple[str, int
             _, since = stack.pop()
             for k in range(since, i):
                 shut[k] = True
-    return [(form, a, b, not s) for (form, a, b), s in zip(found, shut)]
+    return [(form, a, b, not s) for (form, a, b, _), s in zip(found, shut)]
 
 
 def _class(form: str) -> str:
@@ -144,7 +153,7 @@ def _class(form: str) -> str:
 
 def _streams(sentences: list[str]) -> Iterator[list[list[str]]]:
     """The words of an answer's sentences as they are written and, of some answers, without end marks."""
-    stream = [[form for form, *_ in tokens(" ".join(s.split()))] for s in sentences if s and s.strip()]
+    stream = [[found[0] for found in _cut(" ".join(s.split()))] for s in sentences if s and s.strip()]
     stream = [s for s in stream if s]
     if not stream:
         return
@@ -153,10 +162,11 @@ def _streams(sentences: list[str]) -> Iterator[list[list[str]]]:
         yield [s[:-1] if s[-1] in _END_FORMS and len(s) > 1 else s for s in stream]
 
 
-def _triples(stream: list[list[str]], known: set[str]) -> Iterator[tuple[str, str, str]]:
+def _triples(stream: list[list[str]], known: set[str] | None = None) -> Iterator[tuple[str, str, str]]:
+    """The triples of a stream; with `known` words, others by their classes. Each word is the last of one triple."""
     flat = [BOUNDARY, BOUNDARY]
     for s in stream:
-        flat += [f if f in known else _class(f) for f in s]
+        flat += s if known is None else [f if f in known else _class(f) for f in s]
         flat.append(BOUNDARY)
     return zip(flat, flat[1:], flat[2:])
 
@@ -173,6 +183,7 @@ class BoundaryModel:
         self.context2: dict[int, tuple[int, int]] = {}
         self.size = 0
         self.memory: dict[tuple, tuple] = {}
+        self.numbers: dict[str, int] = {}
         self.ending: list[bool] = []
         self.starting: list[bool] = []
 
@@ -229,10 +240,12 @@ class BoundaryModel:
     def number(self, form: str) -> int:
         found = self.ids.get(form)
         if found is None:
-            rare = _class(form)
-            found = self.ids.get(rare)
-            if found is None:
-                found = self.ids["<word>"]
+            found = self.numbers.get(form)
+        if found is None:
+            found = self.ids.get(_class(form), self.ids["<word>"])
+            if len(self.numbers) > 400_000:
+                self.numbers.clear()
+            self.numbers[form] = found
         return found
 
     def p(self, u: int, v: int, w: int) -> float:
@@ -334,24 +347,28 @@ def sentence_ends(model: BoundaryModel, text: str | None, threshold: float = 0.5
             allowed = []
             may_end, may_start, marked = model.enders(), model.starters(), False
             for i, (form, _, b, free) in enumerate(found):
-                if i == last or not free:
+                mark = form in _MARK_FORMS
+                if i == last or not free or not (mark or may_end[words[i]]):
                     allowed.append(False)
                     continue
                 following = found[i + 1]
                 glued = following[1] == b
-                nxt = line[following[1]]
-                mark = form in _END_FORMS or line[b - 1] in _CLOSERS or line[b - 1] in "\"'"
-                if following[0] in _END_FORMS or (glued and nxt in ",、，;:；：") or (glued and nxt in _CLOSERS):
+                if following[0] in _END_FORMS:
                     allowed.append(False)
-                elif glued and line[b - 1] == "." and not (following[2] - following[1] > 1 and i and found[i - 1][2] - found[i - 1][1] > 1 and found[i - 1][0] != "<n>"):
+                elif not glued:
+                    allowed.append(may_end[words[i]])
+                    marked |= mark
+                elif (nxt := line[b]) in ",、，;:；：" or nxt in _CLOSERS:
+                    allowed.append(False)
+                elif line[b - 1] == "." and not (following[2] - following[1] > 1 and i and found[i - 1][2] - found[i - 1][1] > 1 and found[i - 1][0] != "<n>"):
                     allowed.append(False)  # 2.º, U.S.
                 else:
-                    allowed.append(may_end[words[i]] and (mark or not glued or (may_start[words[i + 1]] and _SIGN.match(line, b - 1) is not None and _SIGN.match(nxt) is not None)))
+                    allowed.append(may_end[words[i]] and (mark or (may_start[words[i + 1]] and _SIGN.match(line, b - 1) is not None and _SIGN.match(nxt) is not None)))
                     marked |= mark
             marked |= found[last][0] in _END_FORMS
             for i, probability in model.posteriors(words, allowed).items():
                 form, _, b, _ = found[i]
-                bare = form not in _END_FORMS and line[b - 1] not in _CLOSERS and line[b - 1] not in "\"'"
+                bare = form not in _MARK_FORMS
                 if bare and found[i + 1][1] == b:
                     least = max(threshold, BETWEEN_SIGNS if marked else SIGNS_ALONE)
                 else:
@@ -374,36 +391,53 @@ def _original_end(text: str, at: list[int], end: int) -> int:
     return start + len(piece.rstrip().rstrip("\u200b\u200c\u2060\ufeff\u00ad").rstrip()) if piece.strip() else stop
 
 
-def _sums(answers: DataFrame, names: list[str], parts: Callable[[list[list[str]]], Iterable[tuple[str, ...]]]) -> DataFrame:
-    """(names, n): how often each of the `parts` of the answers' streams occurs; tasks add up before they hand on."""
+def _sums(answers: DataFrame) -> DataFrame:
+    """(u, v, w, n): how often each triple of words occurs in the answers' streams; tasks add up before they hand on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
 
         def taken() -> pa.RecordBatch:
-            columns = [pa.array(c, pa.string()) for c in zip(*held)] or [pa.array([], pa.string())] * len(names)
-            return pa.RecordBatch.from_arrays([*columns, pa.array(list(held.values()), pa.int64())], names=[*names, "n"])
+            columns = [pa.array(c, pa.string()) for c in zip(*held)] or [pa.array([], pa.string())] * 3
+            return pa.RecordBatch.from_arrays([*columns, pa.array(list(held.values()), pa.int64())], names=["u", "v", "w", "n"])
 
         for batch in batches:
             for sentences in batch.column(0).to_pylist():
                 for stream in _streams([s for s in sentences if s]):
-                    held.update(parts(stream))
+                    held.update(_triples(stream))
                 if len(held) >= _TOGETHER:
                     yield taken()
                     held.clear()
         yield taken()
 
-    counted = spread(answers).mapInArrow(run, ", ".join(f"{c} string" for c in names) + ", n bigint")
-    return counted.groupBy(*names).agg(F.sum("n").alias("n"))
+    counted = spread(answers).mapInArrow(run, "u string, v string, w string, n bigint")
+    return counted.groupBy("u", "v", "w").agg(F.sum("n").alias("n"))
+
+
+def _classed(triples: DataFrame, known: set[str]) -> DataFrame:
+    """`triples` (u, v, w, n) with words that are not `known` put into their classes, each triple once."""
+    shared = triples.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = shared.value
+        for batch in batches:
+            columns = []
+            for column in batch.columns[:3]:
+                coded = column.dictionary_encode()
+                forms = [f if f in common or f == BOUNDARY else _class(f) for f in coded.dictionary.to_pylist()]
+                columns.append(pa.array(forms, pa.string()).take(coded.indices))
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(3)], names=["u", "v", "w", "n"])
+
+    return triples.mapInArrow(run, triples.schema).groupBy("u", "v", "w").agg(F.sum("n").alias("n"))
 
 
 def fit_model(analysed: DataFrame, key: str, sentences: str) -> BoundaryModel:
     """The model of a table of answers with known sentences (an array column), from all its rows; the key plays no part."""
     answers = analysed.where(F.size(sentences) > 0).select(F.col(sentences).cast("array<string>").alias("s"))
-    words = _sums(answers, ["form"], lambda stream: ((form,) for s in stream for form in s))
-    known = set(words.where("n > 1").select("form").toArrow().column(0).to_pylist())
-    shared = analysed.sparkSession.sparkContext.broadcast(known)
-    found = _sums(answers, ["u", "v", "w"], lambda stream: _triples(stream, shared.value)).orderBy("u", "v", "w").toArrow()
+    triples = cut(_sums(answers), "sentence-triples")
+    words = triples.where(F.col("w") != BOUNDARY).groupBy("w").agg(F.sum("n").alias("n"))
+    known = set(words.where("n > 1").select("w").toArrow().column(0).to_pylist())
+    found = _classed(triples, known).orderBy("u", "v", "w").toArrow()
     return BoundaryModel.of_counts(((u, v, w), n) for b in found.to_batches() for u, v, w, n in zip(*(c.to_pylist() for c in b.columns)))
 
 

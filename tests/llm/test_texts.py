@@ -275,6 +275,26 @@ def test_model_comes_from_every_analysed_answer(spark):
         assert fitted.p(*map(fitted.number, (u, v, w))) == pytest.approx(plain.p(*map(plain.number, (u, v, w))), rel=1e-12)
 
 
+def test_answers_of_the_sentence_model_are_read_once(spark, data):
+    """The whole table, each row once, gives the model that a fit in memory gives."""
+    analysed = spark.read.parquet(f"{data}/sentence_analysis.parquet").select("analysis_id", "automic_sentence")
+    answers = [[s for s in r.automic_sentence if s] for r in analysed.collect() if r.automic_sentence]
+    passed = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    fitted = sentences.fit_model(analysed.mapInArrow(watch, analysed.schema), "analysis_id", "automic_sentence")
+    assert passed.value == analysed.count()
+    plain = sentences.BoundaryModel.fit(answers)
+    named = lambda m: {(*divmod(k // m.size, m.size), k % m.size): n for k, n in m.three.items()}
+    words = {m: {i: f for f, i in m.ids.items()} for m in (fitted, plain)}
+    of = lambda m: {tuple(words[m][i] for i in k): n for k, n in named(m).items()}
+    assert fitted.ids.keys() == plain.ids.keys() and len(plain.three) > 100 and of(fitted) == of(plain)
+
+
 def test_model_of_nothing(spark):
     empty = spark.createDataFrame([], "analysis_id bigint, automic_sentence array<string>")
     fitted = sentences.fit_model(empty, "analysis_id", "automic_sentence")
