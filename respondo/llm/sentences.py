@@ -49,6 +49,10 @@ _TOKEN = regex.compile(
     r"|(?P<word>[\p{L}\p{M}]+(?:['’-][\p{L}\p{M}]+)*)"
     r"|(?P<other>\S)",
 )
+#: All of a line, piece by piece: a token, with the space after it where no token begins with that, or white space.
+_PIECE = regex.compile(rf"(?:{regex.sub(r'\?P<[a-z]+>', '?:', _TOKEN.pattern)})(?: (?!\.\.\.))?|\s")
+_PIECES = 100_000
+_seen: dict[str, tuple[int, tuple[tuple[str, int, int], ...]]] = {}
 _OPEN = {"(": ")", "（": "）", "[": "]", "「": "」", "『": "』", "“": "”", "„": "“", "«": "»", "《": "》", "【": "】", "‘": "’", "‹": "›"}
 _CLOSERS = set(_OPEN.values())
 _MARK_FORMS = _END_FORMS | _CLOSERS | {'"', "'"}
@@ -76,26 +80,41 @@ def _mark(run: str) -> str:
     return run[0]
 
 
-def _cut(line: str) -> list[tuple[str, int, int, bool]]:
-    """The words, marks and signs of a line, as if each place were free."""
-    found = []
-    for m in _TOKEN.finditer(line):
-        kind = m.lastgroup
-        a, b = m.span()
+def _piece(piece: str) -> tuple[int, tuple[tuple[str, int, int], ...]]:
+    """The length of a piece of a line, and (form, start, end) of what it holds; which kind of token it is shows in itself."""
+    m = _TOKEN.match(piece)
+    if m is None:
+        found = ()
+    else:
+        kind, text = m.lastgroup, m.group()
+        n = len(text)
         if kind == "word":
-            found.append((line[a:b].casefold(), a, b, True))
+            found = ((text.casefold(), 0, n),)
         elif kind == "mark":
-            found.append((_mark(line[a:b]), a, b, True))
+            found = ((_mark(text), 0, n),)
         elif kind == "num":
-            found.append(("<n>", a, b, True))
+            found = (("<n>", 0, n),)
         elif kind == "thai":
-            if b - a > 6:
-                found.append(("^" + line[a : a + 3], a, b - 4, True))
-            found.append((line[max(a, b - 4) : b] + "$", b - min(4, b - a), b, True))
+            end = (text[-4:] + "$", n - min(4, n), n)
+            found = (("^" + text[:3], 0, n - 4), end) if n > 6 else (end,)
         elif kind in ("mail", "path"):
-            found.append((f"<{kind}>", a, b, True))
+            found = ((f"<{kind}>", 0, n),)
         else:
-            found.append((line[a:b], a, b, True))
+            found = ((text, 0, n),)
+    if len(_seen) >= _PIECES:
+        _seen.clear()
+    known = _seen[piece] = (len(piece), found)
+    return known
+
+
+def _cut(line: str) -> list[tuple[str, int, int, bool]]:
+    """The words, marks and signs of a line, as if each place were free."""
+    found, at = [], 0
+    for piece in _PIECE.findall(line):
+        n, forms = _seen.get(piece) or _piece(piece)
+        for form, a, b in forms:
+            found.append((form, at + a, at + b, True))
+        at += n
     return found
 
 
@@ -153,7 +172,7 @@ def _class(form: str) -> str:
 
 def _streams(sentences: list[str]) -> Iterator[list[list[str]]]:
     """The words of an answer's sentences as they are written and, of some answers, without end marks."""
-    stream = [[found[0] for found in _cut(" ".join(s.split()))] for s in sentences if s and s.strip()]
+    stream = [[form for piece in _PIECE.findall(" ".join(s.split())) for form, _, _ in (_seen.get(piece) or _piece(piece))[1]] for s in sentences if s and s.strip()]
     stream = [s for s in stream if s]
     if not stream:
         return

@@ -275,6 +275,17 @@ def test_model_comes_from_every_analysed_answer(spark):
         assert fitted.p(*map(fitted.number, (u, v, w))) == pytest.approx(plain.p(*map(plain.number, (u, v, w))), rel=1e-12)
 
 
+def test_pieces_of_a_line_are_its_tokens(monkeypatch):
+    """Remembered pieces lie where the tokens of the whole line do, also when few are remembered."""
+    monkeypatch.setattr(sentences, "_PIECES", 3)
+    for line in ("It is  ... fine ...", "a\t...b ....", "write a [at] b.com or x@y.org ,ok", "see ab/cd.py 1.5 ½ ๑๒", "漢字カナ ไทยสวัสดีครับ '품질' 좋다.", " x ", "ŉ İx"):
+        places = [m.span() for m in sentences._TOKEN.finditer(line)]
+        found = sentences.tokens(line)
+        assert {b for _, b in places} <= {b for _, _, b, _ in found} and {a for a, _ in places} <= {a for _, a, _, _ in found}
+        assert len(found) == len(places) + sum(b - a > 6 and sentences._TOKEN.match(line, a).lastgroup == "thai" for a, b in places)
+    assert len(sentences._seen) <= 3
+
+
 def test_answers_of_the_sentence_model_are_read_once(spark, data):
     """The whole table, each row once, gives the model that a fit in memory gives."""
     analysed = spark.read.parquet(f"{data}/sentence_analysis.parquet").select("analysis_id", "automic_sentence")
