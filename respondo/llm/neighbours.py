@@ -54,9 +54,12 @@ BLUR = 2e-6
 THICKET, REACH, WITHIN = 3, 12, 0.2
 #: Of how many leaves a tree for links is at least; they hold `LEAF` vectors at most, as all do.
 THICKET_PARTS = 64
-#: Signs in a sketch, and the part in which linked ones agree; the first `_FIRST` words of 64 have to agree in `_ROUGHLY`.
+#: Signs in a sketch, and the part in which linked ones agree; of the first `_FIRST` signs no more than `_ROUGHLY` may differ. Of two that
+#: differ in as many signs as linked ones may, 70 of these are expected to differ, and 93 or more do for about six pairs in a million.
 BITS, ALIKE = 512, 0.72
-_FIRST, _ROUGHLY = 4, 0.62
+_FIRST, _ROUGHLY = 252, 92
+#: Sketches that are compared at once, by threes, and pairs of them that are counted out at once.
+_SKETCHES, _PAIRS = 3 * 256, 20_000
 #: Vectors of a group compared at once; so many other blocks meet one in a cell.
 BLOCK, GUESTS = 10_000, 3
 #: What is known of a vector of a group that was finished in its cell.
@@ -232,37 +235,39 @@ def _split(x: np.ndarray, grouped: np.ndarray, rng) -> tuple[np.ndarray, float]:
     pool = np.flatnonzero(grouped) if grouped.sum() > 10 else np.arange(len(x))
     pool = x[np.sort(pool[rng.permutation(len(pool))[:4000]])]
     g = np.empty((len(pool), len(pool)), bool)
-    for a in range(0, len(pool), 500):  # no more than a strip of products at once
-        np.greater_equal(pool[a : a + 500] @ pool.T, 0.6, out=g[a : a + 500])
+    for a in range(0, len(pool), 500):  # no more than a strip of products at once, and each pair once
+        np.greater_equal(pool[a : a + 500] @ pool[a:].T, 0.6, out=g[a : a + 500, a:])
+        g[a + 500 :, a : a + 500] = g[a : a + 500, a + 500 :].T
     alive = np.ones(len(pool), bool)
-    anchors, mass = [], []
-    for i in np.argsort(-g.sum(1), kind="stable"):
+    anchor = np.full(len(pool), -1)
+    found = 0
+    for i in np.argsort(-g.sum(1), kind="stable").tolist():
         if alive[i]:
-            members = g[i] & alive
-            anchors.append(pool[members].mean(0))
-            mass.append(members.sum())
+            anchor[g[i] & alive] = found
             alive &= ~g[i]
-            if len(anchors) == _ANCHORS:
+            found += 1
+            if found == _ANCHORS:
                 break
-    a, mass = np.array(anchors), np.array(mass, float)
+    order = np.argsort(anchor, kind="stable")[np.count_nonzero(anchor < 0) :]
+    mass = np.bincount(anchor[order]).astype(float)
+    a = np.add.reduceat(pool[order], np.r_[0, np.cumsum(mass).astype(int)[:-1]]) / mass[:, None].astype(np.float32)
     gram = a @ a.T + np.diag(0.3 / np.sqrt(mass / mass.max()))
-    measured = grouped if grouped.sum() > 10 else slice(None)
-    best = None
-    for _ in range(_DRAWS):
-        signs = np.zeros(len(a))
-        balance = 0.0
-        for i in np.argsort(-mass * rng.uniform(0.5, 1.5, len(mass))):
-            signs[i] = rng.choice([-1, 1]) if abs(balance) < mass[i] else -np.sign(balance)
-            balance += signs[i] * mass[i]
-        w = a.T @ np.linalg.solve(gram, signs)
-        w = (w / (np.linalg.norm(w) or 1.0)).astype(np.float32)
-        p = x @ w
-        q = p[measured]
-        for t in np.quantile(p, (0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65)):
-            loss = (np.abs(q - t) < 0.05).mean()
-            if best is None or loss < best[0]:
-                best = (loss, w, float(t))
-    return best[1], best[2]
+    signs = np.zeros((len(a), _DRAWS))
+    weights = mass.tolist()
+    for draw in range(_DRAWS):
+        balance, toss = 0.0, rng.choice([-1, 1], len(mass)).tolist()
+        for i in np.argsort(-mass * rng.uniform(0.5, 1.5, len(mass))).tolist():
+            sign = toss[i] if abs(balance) < weights[i] else -1 if balance > 0 else 1
+            signs[i, draw] = sign
+            balance += sign * weights[i]
+    w = np.linalg.solve(gram, signs).T @ a
+    w = (w / np.maximum(np.linalg.norm(w, axis=1), 1e-30)[:, None]).astype(np.float32)
+    p = w @ x.T
+    cuts = np.quantile(p, (0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65), axis=1).T
+    q = p[:, grouped] if grouped.sum() > 10 else p
+    loss = np.array([(np.abs(near - t[:, None]) < 0.05).mean(1) for near, t in zip(q, cuts)])
+    draw, cut_at = np.unravel_index(np.argmin(loss), loss.shape)
+    return w[draw], float(cuts[draw, cut_at])
 
 
 # --- inside a leaf -----------------------------------------------------------------------------------
@@ -550,6 +555,39 @@ def sketches(x: np.ndarray) -> np.ndarray:
     return np.packbits(x @ planes > 0, axis=1).view(np.uint64)
 
 
+def _signs(sketch: np.ndarray) -> np.ndarray:
+    """The first `_FIRST` signs as 1 and -1."""
+    return np.unpackbits(sketch.view(np.uint8)[:, : -(-_FIRST // 8)], axis=1, count=_FIRST).astype(np.float32) * 2 - 1
+
+
+def _roughly_alike(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of `a`, column of `b`): vectors of signs of which no more than `_ROUGHLY` differ.
+
+    Three rows are multiplied as one, as the digits of a number of base 256. Half a product of signs is from -126 to 126, so the digits, 128 added,
+    are the bytes of a number below 2^24; whatever is added up on the way is a multiple of a half below 2^23, so single precision is exact."""
+    three = np.zeros((-(-len(a) // 3) * 3, a.shape[1]), np.float32)
+    three[: len(a)] = a / 2
+    packed = (three.reshape(-1, 3, a.shape[1]) * np.array([1, 256, 65536], np.float32)[:, None]).sum(1)
+    numbers = packed @ b
+    numbers += np.float32(128 * 65793)
+    high = numbers.astype(np.uint32).view(np.uint8) >= 128 + _FIRST // 2 - _ROUGHLY
+    high = high.view(np.uint32).ravel()
+    place = np.flatnonzero(high != 0)
+    digits = np.flatnonzero(high[place].view(np.uint8))
+    place, digit = place[digits >> 2], digits & 3
+    triple = place // b.shape[1]
+    rows, cols = 3 * triple + digit, place - triple * b.shape[1]
+    real = rows < len(a)  # a row of zeros that fills up a triple is 128
+    return rows[real], cols[real]
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many of the 512 signs each sketch of `a` differs from its one of `b`."""
+    counts = np.bitwise_count(np.bitwise_xor(a, b)).view(np.uint64)[:, 0]  # a byte a word
+    low = np.uint64(0x00FF00FF00FF00FF)
+    return ((counts & low) + (counts >> np.uint64(8) & low)) * np.uint64(0x0001000100010001) >> np.uint64(48)
+
+
 def _alike(ids: np.ndarray, signs: np.ndarray, resident: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(id, smallest id of its component) where they differ, by sketches that agree; one of two has to be a resident."""
     order = np.lexsort((ids, *signs.T))
@@ -560,21 +598,20 @@ def _alike(ids: np.ndarray, signs: np.ndarray, resident: np.ndarray) -> tuple[np
     s = np.ascontiguousarray(signs[order[heads]][first])
     homes, n = int(lives.sum()), len(heads)
     root = np.arange(n)
-    columns = np.ascontiguousarray(s[:homes].T)
-    rough, most = int(64 * _FIRST * (1 - _ROUGHLY)), int(BITS * (1 - ALIKE))
-    for begin in range(0, n, _ROWS):
-        end = min(begin + _ROWS, n)
-        after = min(begin, homes) if begin < homes else 0  # residents meet once
-        apart = np.zeros((end - begin, homes - after), np.uint16)
-        for w in range(_FIRST):
-            apart += np.bitwise_count(s[begin:end, w, None] ^ columns[w, None, after:])
-        rows, cols = np.divmod(np.flatnonzero(apart <= rough), max(1, homes - after))
+    columns = np.ascontiguousarray(_signs(s[:homes]).T)
+    most = int(BITS * (1 - ALIKE))
+    # no part holds both residents, which meet once, and visitors, which meet all of them
+    parts = [*range(0, homes, _SKETCHES), *range(homes, n, _SKETCHES), n]
+    for begin, end in zip(parts[:-1], parts[1:]):
+        after = begin if begin < homes else 0
+        rows, cols = _roughly_alike(_signs(s[begin:end]), columns[:, after:])
         rows, cols = rows + begin, cols + after
         while len(rows):  # part by part, so that what is joined meanwhile need not be looked at
-            some, rest = slice(0, 100_000), slice(100_000, None)
+            some, rest = slice(0, _PAIRS), slice(_PAIRS, None)
             r, c = rows[some], cols[some]
-            r, c = r[root[r] != root[c]], c[root[r] != root[c]]
-            fine = np.bitwise_count(s[r] ^ s[c]).sum(1, dtype=np.int64) <= most
+            new = root[r] != root[c]
+            r, c = r[new], c[new]
+            fine = _apart(s.take(r, 0), s.take(c, 0)) <= most
             join_all(root, r[fine], c[fine])
             rows, cols = rows[rest], cols[rest]
     place = np.empty(n, np.int64)
@@ -678,7 +715,7 @@ def grouped(df: DataFrame, key: str, emb: str, trees: int | None = None, visits:
     from .peaks import join_peaks
 
     forest, dim = fit_forest(df, key, emb, trees or THICKET, sample, leaf, THICKET_PARTS)
-    found = cut(links(df, key, emb, forest, dim, visits or REACH, WITHIN if slack is None else slack), "vector-links")
+    found = links(df, key, emb, forest, dim, visits or REACH, WITHIN if slack is None else slack)
     groups = cut(join_peaks(found).withColumnRenamed("peak", "key"), "vector-groups")
     large = groups.groupBy("top").count().where(F.col("count") > block).collect()  # fewer than one in `block` of all rows
     cells = Cells(groups.count(), [tuple(r) for r in large], block, leaf)

@@ -60,20 +60,24 @@ def follow(pointers: DataFrame) -> DataFrame:
 
 def join_peaks(links: DataFrame) -> DataFrame:
     """(peak, top): for every peak in `links` (a, b), the smallest peak it is linked with, directly or
-    through others. Each round takes the smallest top around and then the top of that top."""
-    both = links.select(F.col("a").alias("key"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("key"), F.col("a").alias("other")))
-    edges, n_edges = _round(both.distinct(), "peak-links", F.lit(True))
-    tops, n = _round(edges.groupBy("key").agg(F.least("key", F.min("other")).alias("top")), "peak-tops", F.lit(True))
-    size = n
-    while n:
-        around = join_unique(edges, tops.select(F.col("key").alias("other"), F.col("top").alias("seen")), ["other"], total=n_edges).groupBy("key").agg(F.min("seen").alias("seen"))
-        hooked = tops.join(around, "key", "left").select("key", F.col("top").alias("old"), F.least("top", F.coalesce("seen", "top")).alias("top"))
-        hooked = cut(hooked, "peak-hooks")
-        up = hooked.select(F.col("key").alias("top"), F.col("top").alias("next"))  # a top is a key: every row has its match
-        shorter = join_unique(hooked, up, ["top"], total=size).select("key", "old", F.least("top", "next").alias("top"))
-        now, n = _round(shorter, "peak-tops", F.col("old") != F.col("top"))
-        tops = now.drop("old")
-    return tops.withColumnRenamed("key", "peak")
+    through others. Each peak points to the smallest one it is linked with, pointers are followed, and only the links between
+    different ends go on to the next round, as links of these ends, of which at least half disappear each time."""
+    edges, n = _round(links.select(F.greatest("a", "b").alias("key"), F.least("a", "b").alias("other")).distinct(), "peak-links", F.lit(True))
+    tops = None
+    while True:
+        ends = edges.select("key", "other").unionByName(edges.select(F.col("other").alias("key"), "other"))
+        roots = follow(ends.groupBy("key").agg(F.min("other").alias("parent")))
+        if tops is None:
+            tops = roots.withColumnRenamed("peak", "top")
+        else:  # few are left after the first round
+            moved = roots.select(F.col("key").alias("top"), F.col("peak").alias("next"))
+            all_tops = tops.where("key = top").select("top").join(moved, "top", "left").select("top", F.coalesce("next", "top").alias("next"))
+            tops = cut(join_unique(tops, all_tops, ["top"]).select("key", F.col("next").alias("top")), "peak-tops")
+        one = edges.join(roots, "key").select("other", F.col("peak").alias("a"))
+        two = join_unique(one, roots.select(F.col("key").alias("other"), F.col("peak").alias("b")), ["other"], total=n).where("a <> b")
+        edges, n = _round(two.select(F.greatest("a", "b").alias("key"), F.least("a", "b").alias("other")).distinct(), "peak-links", F.lit(True))
+        if not n:
+            return tops.withColumnRenamed("key", "peak")
 
 
 def ranked(lists: DataFrame, density: DataFrame) -> DataFrame:

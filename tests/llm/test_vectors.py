@@ -277,3 +277,36 @@ def test_whole_groups_are_finished_in_their_cells(spark, rows, monkeypatch, bloc
     monkeypatch.setattr(peaks, "ranked", lambda lists, density: seen.append(density.count()) or ranked(lists, density))
     peaks.clusters(df, "vec_id", "emb", block=block).count()
     assert seen == ([] if block == 10_000 else [90])
+
+
+def test_every_visitor_of_a_leaf_meets_every_resident():
+    """Also one that stands among the first visitors, right behind the residents, and is like the first resident."""
+    rng = np.random.RandomState(12)
+    residents, visitors = rng.randn(600, 256).astype(np.float32), rng.randn(40, 256).astype(np.float32)
+    visitors[:30] = residents[:30] + 0.1 * rng.randn(30, 256).astype(np.float32)
+    x, ids = np.r_[residents, visitors], np.r_[np.arange(600), 1000 + np.arange(40)]
+    a, b = neighbours._alike(ids, neighbours.sketches(x), np.arange(640) < 600)
+    assert dict(zip(a.tolist(), b.tolist())) == {1000 + i: i for i in range(30)}
+    assert not len(neighbours._alike(ids, neighbours.sketches(x), np.zeros(640, bool))[0])  # nobody is at home
+
+
+def test_rows_multiplied_by_threes_are_counted_exactly():
+    rng = np.random.RandomState(13)
+    a, b = neighbours.sketches(rng.randn(100, 16).astype(np.float32)), neighbours.sketches(rng.randn(70, 16).astype(np.float32))
+    a[4], a[5] = b[7], ~b[7]  # the ends of what a digit can be
+    signs = lambda s: np.unpackbits(s.view(np.uint8), axis=1)[:, : neighbours._FIRST]
+    apart = (signs(a)[:, None] != signs(b)[None]).sum(2)
+    rows, cols = neighbours._roughly_alike(neighbours._signs(a), neighbours._signs(b).T)
+    assert sorted(zip(rows.tolist(), cols.tolist())) == list(zip(*(i.tolist() for i in np.nonzero(apart <= neighbours._ROUGHLY)))) and len(rows) > 100
+    assert (neighbours._apart(a[:70], b) == np.unpackbits((a[:70] ^ b).view(np.uint8), axis=1).sum(1)).all()
+
+
+def test_links_that_are_joined_leave_the_next_round(spark, monkeypatch):
+    """Combs: two ends that point to different tops are joined by their tops, not by all of their links once more."""
+    rows = [(10 * g + i, 10 * g) for g in range(40) for i in range(1, 9)] + [(10 * g + 8, 10 * g + 11) for g in range(19)] + [(10 * g + 8, 10 * g + 11) for g in range(20, 39)]
+    counts, whole = [], peaks._round
+    monkeypatch.setattr(peaks, "_round", lambda df, name, still_open: (lambda r: counts.append((name, r[0].count())) or r)(whole(df, name, still_open)))
+    found = {r.peak: r.top for r in peaks.join_peaks(spark.createDataFrame(rows, "a bigint, b bigint")).collect()}
+    assert found == {10 * g + i: 0 if g < 20 else 200 for g in range(40) for i in range(9)}
+    links = [n for name, n in counts if name == "peak-links"]
+    assert links[0] == len(rows) and links[-1] == 0 and sum(links) <= 2 * len(rows)
