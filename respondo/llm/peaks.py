@@ -73,7 +73,7 @@ def join_peaks(links: DataFrame) -> DataFrame:
             moved = roots.select(F.col("key").alias("top"), F.col("peak").alias("next"))
             all_tops = tops.where("key = top").select("top").join(moved, "top", "left").select("top", F.coalesce("next", "top").alias("next"))
             tops = cut(join_unique(tops, all_tops, ["top"]).select("key", F.col("next").alias("top")), "peak-tops")
-        one = edges.join(roots, "key").select("other", F.col("peak").alias("a"))
+        one = join_unique(edges, roots, ["key"], total=n).select("other", F.col("peak").alias("a"))
         two = join_unique(one, roots.select(F.col("key").alias("other"), F.col("peak").alias("b")), ["other"], total=n).where("a <> b")
         edges, n = _round(two.select(F.greatest("a", "b").alias("key"), F.least("a", "b").alias("other")).distinct(), "peak-links", F.lit(True))
         if not n:
